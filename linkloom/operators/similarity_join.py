@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.similarity import jarow, least_common_letters
 from linkloom.operators.skew import chunked_equi_join
+from linkloom.session import cut_lineage
 
 # Any fixed order is exact; listing rare letters first keeps the token groups small.
 _RARE_FIRST = "QZXJ9876543210KVWYPBFGCMULDHSNRTOAIE "
@@ -34,11 +35,15 @@ def _prepare(df: DataFrame, text: str, threshold: float, tag: str) -> DataFrame:
         df.withColumn("_letters", F.array_sort(letters))
         .withColumn(f"_t{tag}", tokens)
         .withColumn(f"_p{tag}", F.expr(f"slice(_t{tag}, 1, {size} - {least} + 1)"))
-        .withColumn("_token", F.explode(f"_p{tag}"))
         .drop("_letters")
     )
 
 
+def _by_token(df: DataFrame, tag: str) -> DataFrame:
+    # the outer form keeps the optimizer from adding a size test that builds the tokens twice
+    return df.withColumn("_token", F.explode_outer(f"_p{tag}")).where(F.col("_token").isNotNull())
+
+
 def similar_pairs(
     left: DataFrame,
     right: DataFrame,
@@ -47,17 +52,16 @@ def similar_pairs(
     right_text: str,
     threshold: float,
     pair_filter: Column | None = None,
-    score: Column | None = None,
     score_name: str = "similarity",
 ) -> DataFrame:
     """Pairs of rows in one block whose texts score above ``threshold``.
 
     ``left`` is the comparator's first argument.  Apart from the block columns the two
     sides must not share column names.  Blank texts and NULL blocks match nothing.
-    ``score`` replaces the reported value, the threshold still applies to the texts.
     """
-    left_side = _prepare(left.where(F.col(left_text) != ""), left_text, threshold, "l")
-    right_side = _prepare(right.where(F.col(right_text) != ""), right_text, threshold, "r")
+    # both inputs are read for the hot-key counts and for the join: write them once
+    left_side = _by_token(cut_lineage(_prepare(left.where(F.col(left_text) != ""), left_text, threshold, "l")), "l")
+    right_side = _by_token(cut_lineage(_prepare(right.where(F.col(right_text) != ""), right_text, threshold, "r")), "r")
     need = least_common_letters(threshold, f"length({left_text})", f"length({right_text})")
     fits = F.expr(f"least(length({left_text}), length({right_text})) >= {need}")
     overlap = F.expr(f"size(array_intersect(_tl, _tr)) >= {need}")
@@ -73,7 +77,6 @@ def similar_pairs(
         F.struct(*[F.col(c) for c in left.columns]),
         F.struct(*[F.col(c) for c in right.columns]),
     ).drop("_token", "_tl", "_tr", "_pl", "_pr")
-    scored = candidates.withColumn("_score", jarow(left_text, right_text)).where(F.col("_score") > threshold)
-    if score is not None:
-        return scored.withColumn(score_name, score).drop("_score")
-    return scored.withColumnRenamed("_score", score_name)
+    # as a generator the costly score runs once, after the join and its cheap tests
+    passing = F.filter(F.array(jarow(left_text, right_text)), lambda s: s > threshold)
+    return candidates.withColumn(score_name, F.explode_outer(passing)).where(F.col(score_name).isNotNull())
