@@ -130,7 +130,7 @@ def _spread(edges: DataFrame) -> DataFrame:
     return cut_lineage(both_ways(edges)).repartition("win", "src").persist()
 
 
-def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 10, damping: float = DAMPING, cut_every: int = 5) -> DataFrame:
+def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 10, damping: float = DAMPING) -> DataFrame:
     """(win, person, pagerank) after a fixed number of rounds on the simple graph."""
     links = _spread(edges)
     out = links.groupBy("win", "src").agg(F.count(F.lit(1)).alias("out"))
@@ -140,7 +140,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 10, damping: f
     )
     totals = nodes.groupBy("win").agg(F.count(F.lit(1)).alias("n"))
     ranks = nodes.join(totals, "win").withColumn("rank", 1 / F.col("n"))
-    for step in range(1, rounds + 1):
+    for _ in range(rounds):
         inflow = (
             links.join(
                 ranks.where("out is not null").select("win", F.col("person").alias("src"), (F.col("rank") / F.col("out")).alias("share")),
@@ -160,12 +160,12 @@ def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 10, damping: f
             )
             .select("win", "person", "out", "n", "rank")
         )
-        if step % cut_every == 0 and step < rounds:
-            ranks = cut_lineage(ranks)
+        # a round reads its predecessor several times, so each is written once
+        ranks = cut_lineage(ranks)
     return ranks.select("win", "person", F.col("rank").alias("pagerank"))
 
 
-def eigenvector(vertices: DataFrame, edges: DataFrame, rounds: int = 10, cut_every: int = 5) -> DataFrame:
+def eigenvector(vertices: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:
     """(win, person, eigenvector), largest 1, by power iteration on A + I.
 
     The identity leaves the eigenvectors as they are and keeps two-sided graphs from
@@ -173,7 +173,7 @@ def eigenvector(vertices: DataFrame, edges: DataFrame, rounds: int = 10, cut_eve
     """
     links = _spread(edges)
     scores = cut_lineage(vertices.select("win", "person").distinct()).withColumn("score", F.lit(1.0))
-    for step in range(1, rounds + 1):
+    for _ in range(rounds):
         inflow = (
             links.join(scores.withColumnRenamed("person", "src"), ["win", "src"])
             .groupBy("win", F.col("dst").alias("person"))
@@ -182,8 +182,7 @@ def eigenvector(vertices: DataFrame, edges: DataFrame, rounds: int = 10, cut_eve
         raw = scores.join(inflow, ["win", "person"], "left").select(
             "win", "person", (F.col("score") + F.coalesce("inflow", F.lit(0.0))).alias("score")
         )
-        if step % cut_every == 0:
-            raw = cut_lineage(raw)
+        raw = cut_lineage(raw)
         top = raw.groupBy("win").agg(F.max("score").alias("top"))
         scores = raw.join(top, "win").select("win", "person", (F.col("score") / F.col("top")).alias("score"))
     return scores.withColumnRenamed("score", "eigenvector")

@@ -1,6 +1,6 @@
 """Run bound queries next to their SQL counterparts and report differences.
 
-usage: python tools/compare.py SF_DIR [module|query ...]
+usage: python tools/compare.py SF_DIR [module|module:query ...]
 """
 
 from __future__ import annotations
@@ -76,15 +76,11 @@ def compare(spark, connection, sf_dir, name, query, sql):
 def main():
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
     queries, oracles = {}, {}
-    modules = [m for m in wanted if m in bindings.MODULES] or (bindings.MODULES if not wanted else [])
-    for m in modules:
-        module = importlib.import_module(f"linkloom.bindings.{m}")
-        queries.update(module.QUERIES)
+    for item in wanted or bindings.MODULES:
+        name, _, only = item.partition(":")
+        module = importlib.import_module(f"linkloom.bindings.{name}")
+        queries.update({q: f for q, f in module.QUERIES.items() if only in ("", q)})
         oracles.update(module.ORACLES)
-    names = [w for w in wanted if w not in bindings.MODULES]
-    if names:
-        queries.update({n: q for n, q in bindings.queries().items() if n in names})
-        oracles.update(bindings.oracles())
     spark, connection = local_session(8), duck(sf_dir)
     failed = []
     for name, query in queries.items():
