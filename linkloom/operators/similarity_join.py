@@ -5,8 +5,8 @@ A pair above the threshold must share a computable number of letters (see
 A2 for its second - turns that into a set overlap, so two texts can only match if
 their rarest few tokens share one.  The equi join is therefore on (block, token);
 lengths and the whole overlap are tested before the score is computed, and a pair
-is kept only at the first token it shares, so no duplicate pairs arise.  Every step
-is a necessary condition: the result equals that of comparing the whole block.
+is kept only at the first token it shares, so no duplicate pairs arise.  Blocks of a few
+rows skip the tokens.  Every step is a necessary condition: the result equals that of comparing the whole block.
 """
 
 from __future__ import annotations
@@ -22,26 +22,36 @@ from linkloom.session import cut_lineage
 
 # Any fixed order is exact; listing rare letters first keeps the token groups small.
 _RARE_FIRST = "QZXJ9876543210KVWYPBFGCMULDHSNRTOAIE "
+# blocks of up to this many pairs are compared without tokens
+SMALL_BLOCK = 4096
 _RANK_LETTERS = "".join(chr(0x4E00 + i) for i in range(len(_RARE_FIRST)))
 
 
-def _prepare(df: DataFrame, text: str, threshold: float, tag: str) -> DataFrame:
+def _tokenised(df: DataFrame, text: str, threshold: float, tag: str) -> DataFrame:
     size = f"length({text})"
     least = least_common_letters(threshold, size)
     letters = F.filter(F.split(F.translate(F.col(text), _RARE_FIRST, _RANK_LETTERS), ""), lambda c: c != "")
     # in sorted order a letter's occurrence number is its distance from its first place
-    tokens = F.expr("transform(_letters, (c, i) -> concat(c, string(i + 2 - array_position(_letters, c))))")
+    tokens = "transform(_letters, (c, i) -> concat(c, string(i + 2 - array_position(_letters, c))))"
+    # the outer form keeps the optimizer from adding a size test that builds the tokens twice
     return (
-        df.withColumn("_letters", F.array_sort(letters))
-        .withColumn(f"_t{tag}", tokens)
-        .withColumn(f"_p{tag}", F.expr(f"slice(_t{tag}, 1, {size} - {least} + 1)"))
-        .drop("_letters")
+        df.withColumn("_letters", F.when(~F.col("_small"), F.sort_array(letters)))
+        .withColumn(f"_t{tag}", F.expr(tokens))
+        .withColumn(f"_p{tag}", F.expr(f"IF(_small, array(''), slice(_t{tag}, 1, {size} - {least} + 1))"))
+        .drop("_letters", "_small")
+        .withColumn("_token", F.explode_outer(f"_p{tag}"))
+        .where(F.col("_token").isNotNull())
     )
 
 
-def _by_token(df: DataFrame, tag: str) -> DataFrame:
-    # the outer form keeps the optimizer from adding a size test that builds the tokens twice
-    return df.withColumn("_token", F.explode_outer(f"_p{tag}")).where(F.col("_token").isNotNull())
+def _shared_blocks(left: DataFrame, right: DataFrame, block: Sequence[str], one_table: bool) -> DataFrame:
+    """Blocks that can hold a pair; ``_small`` ones are cheaper to compare outright."""
+    counts = left.groupBy(*block).agg(F.count(F.lit(1)).alias("_nl"))
+    if one_table:
+        counts = counts.where(F.col("_nl") > 1).withColumn("_nr", F.col("_nl"))
+    else:
+        counts = counts.join(right.groupBy(*block).agg(F.count(F.lit(1)).alias("_nr")), list(block))
+    return counts.select(*block, (F.col("_nl") * F.col("_nr") <= SMALL_BLOCK).alias("_small"))
 
 
 def similar_pairs(
@@ -53,20 +63,25 @@ def similar_pairs(
     threshold: float,
     pair_filter: Column | None = None,
     score_name: str = "similarity",
+    one_table: bool = False,
 ) -> DataFrame:
     """Pairs of rows in one block whose texts score above ``threshold``.
 
     ``left`` is the comparator's first argument.  Apart from the block columns the two
     sides must not share column names.  Blank texts and NULL blocks match nothing.
+    ``one_table`` says that both sides are the same rows, so single-row blocks drop out.
     """
-    # both inputs are read for the hot-key counts and for the join: write them once
-    left_side = _by_token(cut_lineage(_prepare(left.where(F.col(left_text) != ""), left_text, threshold, "l")), "l")
-    right_side = _by_token(cut_lineage(_prepare(right.where(F.col(right_text) != ""), right_text, threshold, "r")), "r")
+    # both inputs are read for the block sizes and for the join: write them once
+    left = cut_lineage(left.where(F.col(left_text) != ""))
+    right = cut_lineage(right.where(F.col(right_text) != ""))
+    blocks = _shared_blocks(left, right, block, one_table)
+    left_side = _tokenised(left.join(blocks, list(block)), left_text, threshold, "l")
+    right_side = _tokenised(right.join(blocks, list(block)), right_text, threshold, "r")
     need = least_common_letters(threshold, f"length({left_text})", f"length({right_text})")
     fits = F.expr(f"least(length({left_text}), length({right_text})) >= {need}")
-    overlap = F.expr(f"size(array_intersect(_tl, _tr)) >= {need}")
-    first_shared = F.expr("get(array_intersect(_pl, _pr), 0) = l._token")
-    condition = fits & first_shared & overlap
+    first_shared = "get(array_intersect(_pl, _pr), 0) = l._token"
+    overlap = f"size(array_intersect(_tl, _tr)) >= {need}"
+    condition = fits & F.expr(f"_tl IS NULL OR ({first_shared} AND {overlap})")
     if pair_filter is not None:
         condition = pair_filter & condition
     candidates = chunked_equi_join(

@@ -144,10 +144,10 @@ def close_names(features: DataFrame) -> DataFrame:
     left = rows.select("pass", "block", F.col("org_id").alias("id_a"), F.col("name").alias("na"), F.col("name3").alias("oa"))
     right = rows.select("pass", "block", F.col("org_id").alias("id_b"), F.col("name").alias("nb"), F.col("name3").alias("ob"))
     bigger = F.col("id_a") > F.col("id_b")
-    by_name = similar_pairs(left, right, ["pass", "block"], "na", "nb", BOTH_CLOSE, bigger).where(
+    by_name = similar_pairs(left, right, ["pass", "block"], "na", "nb", BOTH_CLOSE, bigger, one_table=True).where(
         (F.col("similarity") > CLOSE) | (jarow("oa", "ob") > BOTH_CLOSE)
     )
-    by_order = similar_pairs(left, right, ["pass", "block"], "oa", "ob", CLOSE, bigger)
+    by_order = similar_pairs(left, right, ["pass", "block"], "oa", "ob", CLOSE, bigger, one_table=True)
     return by_name.select("pass", "id_a", "id_b").union(by_order.select("pass", "id_a", "id_b")).distinct()
 
 

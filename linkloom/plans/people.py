@@ -59,10 +59,10 @@ def fuzzy_links(names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     both = F.col("two_a") & F.col("two_b")
     nested = F.col("given_a").contains(F.col("given_b")) | F.col("given_b").contains(F.col("given_a"))
-    right_kind = F.when(F.col("kind") == 2, ~both).otherwise(both & nested)
+    right_kind = F.when(F.col("l.kind") == 2, ~both).otherwise(both & nested)
     pairs = similar_pairs(
         side("a"), side("b"), ["block", "kind"], "text_a", "text_b", loose,
-        (F.col("at_a") < F.col("at_b")) & right_kind,
+        (F.col("at_a") < F.col("at_b")) & right_kind, one_table=True,
     )
     scored = pairs.where(person_similarity("label_a", "label_b") > threshold)
     return scored.groupBy(F.col("at_b").alias("child")).agg(F.min("at_a").alias("parent"))
