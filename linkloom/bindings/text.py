@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linkloom.bindings import duck
 from linkloom.bindings.base import table
 from linkloom.functions import dates, ids, names, places, text
-from linkloom.operators.normalize import normalize_columns, normalize_report
+from linkloom.operators.normalize import compute_once, normalize_columns, normalize_report
 from linkloom.operators.similarity_join import similar_pairs
 from linkloom.plans import consolidate
 
@@ -71,13 +71,14 @@ def _cities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def country_recode(spark: SparkSession, d: str) -> DataFrame:
-    return _cities(spark, d).withColumn("new_country", places.recode_country(F.col("city"), F.col("country")))
+    cleaned = compute_once(_cities(spark, d), "place", text.clean_place(F.col("city")))
+    return cleaned.withColumn("new_country", places.recode_country(F.col("place"), F.col("country"))).drop("place")
 
 
 def city_rules(spark: SparkSession, d: str) -> DataFrame:
     rows = _cities(spark, d)
     for name, stage in places.normalise_city_stages("city", "country"):
-        rows = rows.withColumn(name, stage)
+        rows = compute_once(rows, name, stage)
     return rows.select("city", "country", F.col("_clean_city").alias("clean_city"))
 
 

@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 Rule = Callable[[Column], Column]
 
 
+def compute_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a costly column that later filters and columns refer to without copying its expression.
+
+    As a generator's output it is neither merged into the next projection nor pushed down
+    with a filter.
+    """
+    return df.withColumn(name, F.explode_outer(F.array(column)))
+
+
 def normalize_columns(
     df: DataFrame, rules: Mapping[str, Rule], suffix: str = "", distinct: bool = False
 ) -> DataFrame:

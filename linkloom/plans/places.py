@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.places import normalise_city_stages, recode_country
 from linkloom.functions.text import prefix, segment, separator_count, suffix, without_spaces
+from linkloom.operators.normalize import compute_once
 from linkloom.operators.similarity_join import similar_pairs
 from linkloom.operators.update_join import update_join
 from linkloom.operators.upsert import insert_or_replace
@@ -43,10 +44,10 @@ def place_counts(df: DataFrame, city: str, state: str, country: str, zipcode: st
         .agg(F.count(F.lit(1)).alias("n"))
     )
     for name, stage in normalise_city_stages("city_x", "country_x", compat):
-        raw = raw.withColumn(name, stage)
+        raw = compute_once(raw, name, stage)
     return (
         raw.withColumn("city", F.col("_clean_city"))
-        .withColumn("country", recode_country(F.col("city_x"), F.col("country_x")))
+        .withColumn("country", recode_country(F.col("_base"), F.col("country_x")))
         .where(F.col("city") != "")
         .groupBy(*PLACE_KEY)
         .agg(F.sum("n").alias("cnt"))
