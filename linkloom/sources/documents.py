@@ -53,15 +53,15 @@ def split_documents(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_documents(spark: SparkSession, root: str, pattern: str = r".*") -> DataFrame:
-    """(file_name, file_date, layout, root, body), one row per document.
+    """(file_name, file_date, layout, root, body), one row per document; the date may also be a folder's.
 
     The prolog is the record separator, so large files are split between tasks and no
     file is read whole.
     """
     lines = (
         spark.read.option("lineSep", PROLOG).option("recursiveFileLookup", "true").text(root)
-        .select("value", F.col("_metadata.file_name").alias("file_name"))
-        .where(F.col("file_name").rlike(f"(?i){pattern}"))
+        .select("value", F.col("_metadata.file_path").alias("file_name"))
+        .where(F.element_at(F.split("file_name", "/"), -1).rlike(f"(?i){pattern}"))
     )
     date = file_date(F.col("file_name"))
     return split_documents(lines).select(

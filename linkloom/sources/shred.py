@@ -242,27 +242,32 @@ def related_documents(grants: DataFrame) -> DataFrame:
         )
 
     none = F.lit(None).cast("string")
+
+    def of_relation(kind: str):
+        def found(r: Column) -> Column:
+            parent, child = r["parent-doc"], r["child-doc"]
+            docs = [
+                row(kind, F.lit(name), doc["document-id"], doc["parent-status"])
+                for name, doc in (
+                    ("parent-doc", parent),
+                    ("parent-grant-document", parent["parent-grant-document"]),
+                    ("parent-pct-document", parent["parent-pct-document"]),
+                )
+            ]
+            docs.append(row(kind, F.lit("child-doc"), child["document-id"], none))
+            return F.filter(F.array(*docs), lambda d: d["number"].isNotNull())
+
+        return found
+
+    def plain(kind: str):
+        return lambda block: row(kind, none, block["document-id"], none)
+
     lists = []
     for kind in RELATION_KINDS:
-        def of_relation(r: Column, kind: str = kind) -> Column:
-            parent = r["parent-doc"]
-            found = F.array(
-                row(kind, F.lit("parent-doc"), parent["document-id"], parent["parent-status"]),
-                row(kind, F.lit("parent-grant-document"), parent["parent-grant-document"]["document-id"], parent["parent-grant-document"]["parent-status"]),
-                row(kind, F.lit("parent-pct-document"), parent["parent-pct-document"]["document-id"], parent["parent-pct-document"]["parent-status"]),
-                row(kind, F.lit("child-doc"), r["child-doc"]["document-id"], none),
-            )
-            return F.filter(found, lambda d: d["number"].isNotNull())
-
         blocks = F.coalesce(_at(f"us-related-documents.{kind}.relation"), F.array())
-        lists.append(F.flatten(F.transform(F.flatten(blocks), of_relation)))
+        lists.append(F.flatten(F.transform(F.flatten(blocks), of_relation(kind))))
     for kind in PLAIN_RELATIONS:
-        lists.append(
-            F.transform(
-                F.coalesce(_at(f"us-related-documents.{kind}"), F.array()),
-                lambda d, kind=kind: row(kind, none, d["document-id"], none),
-            )
-        )
+        lists.append(F.transform(F.coalesce(_at(f"us-related-documents.{kind}"), F.array()), plain(kind)))
     rows = _position(grants, F.flatten(F.array(*lists)))
     order = F.when(F.col("e.relationship") == "child-doc", -1).when(F.col("e.relationship").isNull(), 0).otherwise(1)
     return rows.select(
