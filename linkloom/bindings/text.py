@@ -11,13 +11,14 @@ from linkloom.functions import dates, ids, names, places, text
 from linkloom.operators.normalize import compute_once, normalize_columns, normalize_report
 from linkloom.operators.similarity_join import similar_pairs
 from linkloom.plans import consolidate
+from linkloom.session import spread
 
 # Which country each document source stands for in the city and country queries.
 SOURCE_COUNTRIES = ["US", "GB", "DE", "FR", "JP", "KR", "CA", "AU", "AR", "CN", "SU", "TW", "NL", "DK", "BE", "AT", "USA", "CS"]
 
 
 def clean_names(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return normalize_columns(docs, {"text": text.clean_name})
 
 
@@ -43,22 +44,22 @@ def clean_lawyers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_markup(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "pages").select("page_id", "html")
+    pages = spread(table(spark, d, "pages").select("page_id", "html"))
     return normalize_columns(pages, {"html": text.clean_markup})
 
 
 def escape_outside_sub(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "pages").select("page_id", "html")
+    pages = spread(table(spark, d, "pages").select("page_id", "html"))
     return normalize_columns(pages, {"html": text.escape_outside_sub})
 
 
 def fold_ascii(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return normalize_columns(docs, {"text": text.fold_ascii})
 
 
 def clean_places(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return normalize_columns(docs, {"text": text.clean_place})
 
 
@@ -84,7 +85,7 @@ def city_rules(spark: SparkSession, d: str) -> DataFrame:
 
 def segment_split(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("text")
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents")).select(
         "doc_id", text.separator_count(c).alias("seps"), text.segment(c, -1).alias("whole"),
         text.segment(c, 0).alias("seg0"), text.segment(c, 1).alias("seg1"), text.segment(c, 2).alias("seg2"),
         text.prefix(text.without_spaces(c), 3).alias("first3"), text.suffix(text.without_spaces(c), 4).alias("last4"),

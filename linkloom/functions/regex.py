@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -11,8 +12,15 @@ _WORD = "[A-Za-z0-9_]"
 _BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
 
 
+# next to a pattern part that is surely a word character one look suffices
+_BEFORE_WORD = re.compile(r"\\b(?=[A-Za-z0-9]|\[A-Z\]|\[0-9\]|\([A-Z])")
+_AFTER_WORD = re.compile(r"(?<=[A-Za-z0-9?+})])\\b")
+
+
 def ascii_bounds(pattern: str) -> str:
     """Spell ``\\b`` out over ASCII word characters (the JVM's own is Unicode-aware)."""
+    pattern = _BEFORE_WORD.sub(f"(?<!{_WORD})", pattern)
+    pattern = _AFTER_WORD.sub(f"(?!{_WORD})", pattern)
     return pattern.replace(r"\b", _BOUNDARY)
 
 

@@ -52,17 +52,39 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), longer
 
 
+def _ranges(letters: str) -> str:
+    """A character class of the letters as code-point ranges."""
+    points = sorted(map(ord, letters))
+    spans: list[list[int]] = []
+    for point in points:
+        if spans and point == spans[-1][1] + 1:
+            spans[-1][1] = point
+        else:
+            spans.append([point, point])
+    return "".join(f"\\x{{{low:X}}}-\\x{{{high:X}}}" for low, high in spans)
+
+
 def fold_ascii(col: Column) -> Column:
     """NFKD, then drop what is not ASCII; plain ASCII values skip the work."""
     source, target, longer = _fold_tables()
-    singles = F.translate(col, source, target)
     table = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
-    spelled = F.array_join(
-        F.transform(F.split(singles, ""), lambda c: F.coalesce(F.element_at(table, c), c)), ""
-    )
-    rare = "[" + "".join(longer) + "]"
-    folded = F.when(singles.rlike(rare), spelled).otherwise(singles)
-    return F.when(col.rlike(r"[^\x00-\x7F]"), F.regexp_replace(folded, r"[^\x00-\x7F]", "")).otherwise(col)
+    # the intersection keeps ASCII letters from being tried against every range
+    rare = rf"[\x{{80}}-\x{{10FFFF}}&&[{_ranges(''.join(longer))}]]"
+
+    def fold(singles: Column) -> Column:
+        spelled = F.array_join(
+            F.transform(
+                F.split(singles, ""),
+                lambda c: F.when(c.rlike(r"[^\x00-\x7F]"), F.coalesce(F.element_at(table, c), c)).otherwise(c),
+            ),
+            "",
+        )
+        whole = F.when(singles.rlike(rare), spelled).otherwise(singles)
+        return F.regexp_replace(whole, r"[^\x00-\x7F]+", "")
+
+    # a lambda names the translated text, which is then computed once
+    folded = F.get(F.transform(F.array(F.translate(col, source, target)), fold), F.lit(0))
+    return F.when(col.rlike(r"[^\x00-\x7F]"), folded).otherwise(col)
 
 
 def upper_keeping_sharp_s(col: Column) -> Column:
@@ -84,10 +106,14 @@ def clean_assignee(col: Column) -> Column:
 def clean_place(col: Column) -> Column:
     """Upper-case a place, drop postal codes, digits and punctuation, fold to ASCII."""
     text = swap_all(F.upper(F.translate(col, _SHARP_S, _STAND_IN)), PLACE_RULES)
-    bare = strip(F.regexp_replace(text, "[,|-]", " "))
-    # an edge separator or edge blank costs the value its last character
-    text = F.when(F.length(text) > F.length(bare), _drop_last(text)).otherwise(text)
-    return fold_ascii(text)
+
+    def trim_edge(text: Column) -> Column:
+        bare = strip(F.regexp_replace(text, "[,|-]", " "))
+        # an edge separator or edge blank costs the value its last character
+        return fold_ascii(F.when(F.length(text) > F.length(bare), _drop_last(text)).otherwise(text))
+
+    # a lambda names the cleaned text, which is then computed once
+    return F.get(F.transform(F.array(text), trim_edge), F.lit(0))
 
 
 def _drop_last(col: Column) -> Column:

@@ -72,8 +72,9 @@ def similar_pairs(
     ``one_table`` says that both sides are the same rows, so single-row blocks drop out.
     """
     # both inputs are read for the block sizes and for the join: write them once
-    left = cut_lineage(left.where(F.col(left_text) != ""))
-    right = cut_lineage(right.where(F.col(right_text) != ""))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = cut_lineage(left.where(F.col(left_text) != "").repartition(tasks))
+    right = cut_lineage(right.where(F.col(right_text) != "").repartition(tasks))
     blocks = _shared_blocks(left, right, block, one_table)
     left_side = _tokenised(left.join(blocks, list(block)), left_text, threshold, "l")
     right_side = _tokenised(right.join(blocks, list(block)), right_text, threshold, "r")

@@ -55,3 +55,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the reliable checkpoint folder and read it from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when a small input has fewer partitions than the cluster has cores.
+
+    For plain scans before work that is heavy per row; large inputs are split already and
+    pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
