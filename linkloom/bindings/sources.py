@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.bindings.base import table
 from linkloom.operators.aggregates import concat_values
-from linkloom.session import cut_lineage, scratch_path
+from linkloom.session import cut_lineage, scratch_path, spread
 from linkloom.sources import claims, delimited, documents, shred, sinks
 
 _GRANT = """concat('<?xml version="1.0" encoding="UTF-8"?>\\n<!DOCTYPE ', kind, ' SYSTEM "grant.dtd" [ ]>\\n<', kind, ' lang="EN"><us-bibliographic-data-grant>',
@@ -41,7 +41,7 @@ SHRED_TABLES = tuple(shred.TABLES)
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
     rows = (
-        table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        spread(table(spark, d, "orders")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .withColumn("kind", F.when(F.col("o_orderpriority") == "5-LOW", "sequence-cwu").otherwise("us-patent-grant"))
         .withColumn("day", F.date_format("o_orderdate", "yyyyMMdd")).withColumn("month", F.date_format("o_orderdate", "yyyyMM"))
     )

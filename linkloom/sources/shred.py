@@ -9,6 +9,7 @@ from linkloom.functions.dates import citation_date
 from linkloom.functions.ids import class_label, strip_leading_zero
 from linkloom.functions.names import join_prefix, person_label, split_given
 from linkloom.functions.text import clean_markup, escape_outside_sub
+from linkloom.operators.normalize import compute_once
 
 GRANT_ROOT = "us-patent-grant"
 
@@ -78,7 +79,8 @@ def prepare_markup(body: Column) -> Column:
 
 def parse_grants(documents: DataFrame, body: str = "body", root: str = "root") -> DataFrame:
     """(patent, g, abstract, plus the input's other columns) for every readable grant."""
-    parsed = documents.where(F.lower(root) == GRANT_ROOT).withColumn(
+    parsed = compute_once(
+        documents.where(F.lower(root) == GRANT_ROOT),
         "_x",
         F.from_xml(
             prepare_markup(F.col(body)), GRANT_SCHEMA,
@@ -107,7 +109,7 @@ def bad_documents(documents: DataFrame, body: str = "body", root: str = "root")
         .when(F.col("_x._corrupt_record").isNotNull(), "not well-formed")
         .when(number.isNull(), "no document number")
     )
-    return documents.withColumn("_x", corrupt).withColumn("reason", reason).where("reason is not null").drop("_x")
+    return compute_once(documents, "_x", corrupt).withColumn("reason", reason).where("reason is not null").drop("_x")
 
 
 def _text(path: str) -> Column:
