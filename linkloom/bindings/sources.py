@@ -72,7 +72,7 @@ def write_documents(spark: SparkSession, d: str) -> str:
     """Concatenated document files, one folder per month named as the archive names its files."""
     path = scratch_path(spark, "documents")
     folder = F.concat(F.lit("ipg"), F.date_format("o_orderdate", "yyMM"), F.lit("01"))
-    _documents(spark, d).select("value", folder.alias("issue")).repartition("issue").write.partitionBy("issue").text(path)
+    _documents(spark, d).select("value", folder.alias("issue")).hint("rebalance", F.col("issue")).write.partitionBy("issue").text(path)
     return path
 
 

@@ -59,7 +59,7 @@ def word_table(names: DataFrame) -> DataFrame:
 
 def frequent_words(words: DataFrame) -> DataFrame:
     """(word, freq): words above mean plus three deviations, and rarer near-misspellings of them."""
-    limited = words.crossJoin(F.broadcast(spread_limit(words, "count")))  # the limit is one row
+    limited = words.withColumn("cutoff", spread_limit(words, "count").scalar())
     top = limited.where(F.col("count") > F.col("cutoff"))
     rare = limited.where(
         (F.col("count") < F.col("cutoff")) & (F.length("word") >= MISSPELLING_MIN_LENGTH)
@@ -80,9 +80,9 @@ def name_features(names: DataFrame, words: DataFrame, frequent: DataFrame) -> Da
     Words are joined to their statistics one row each; what is gathered again is the
     words of one name.
     """
-    cutoff = F.broadcast(spread_limit(words, "count"))  # one row
+    cutoff = spread_limit(words, "count").scalar()
     pieces = names.select("name", F.posexplode(F.split("name", " ")).alias("pos", "word"))
-    stats = words.join(frequent, "word", "left").crossJoin(cutoff)
+    stats = words.join(frequent, "word", "left").withColumn("cutoff", cutoff)
     rated = pieces.join(stats, "word").withColumn(
         "item",
         F.struct(

@@ -230,11 +230,9 @@ def unresolved(places: DataFrame, resolved: DataFrame) -> DataFrame:
 
 def progress(places: DataFrame, resolved: DataFrame) -> DataFrame:
     """Remaining, matched and total places."""
-    total = places.agg(F.count(F.lit(1)).alias("total"))
-    matched = resolved.agg(F.count(F.lit(1)).alias("matched"))
-    return total.crossJoin(matched).select(  # one row each
-        (F.col("total") - F.col("matched")).alias("remaining"), "matched", "total"
-    )
+    matched = resolved.agg(F.count(F.lit(1))).scalar()
+    total = places.agg(F.count(F.lit(1)).alias("total")).withColumn("matched", matched)
+    return total.select((F.col("total") - F.col("matched")).alias("remaining"), "matched", "total")
 
 
 def attach_places(df: DataFrame, resolved: DataFrame, city: str, state: str, country: str, zipcode: str | None = None) -> DataFrame:
