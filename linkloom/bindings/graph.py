@@ -216,7 +216,7 @@ def _eigen_ctes() -> str:
 
 
 def _label_ctes(rounds: int) -> str:
-    """Least label within ``rounds`` steps, enough for graphs of small diameter."""
+    """Least label within ``rounds`` steps, which must cover the longest shortest path of the graph."""
     steps = ["lb0 AS MATERIALIZED (SELECT win, person, person AS c FROM ver)"]
     for i in range(1, rounds + 1):
         steps.append(f"""lb{i} AS MATERIALIZED (SELECT p.win, p.person, least(p.c, min(q.c)) AS c FROM lb{i - 1} p LEFT JOIN two t ON t.win = p.win AND t.src = p.person
@@ -259,11 +259,11 @@ ORACLES = {
     "central_labels": f"""WITH RECURSIVE {_SPARSE}, {_EDGES}, {_REACH}, {_rank_ctes(0.95)},
         sc AS (SELECT p.person, round(r, 12) AS pagerank, component, count(*) OVER (PARTITION BY component) AS n FROM pr{ROUNDS} p JOIN cmp ON cmp.person = p.person)
         SELECT person, pagerank, component, row_number() OVER (PARTITION BY component ORDER BY pagerank DESC, person)::INTEGER AS label_rank FROM sc WHERE n >= 3 QUALIFY label_rank <= 2""",
-    "window_measures": f"""WITH {_MEMBERS}, {_EDGES}, {_DEGREE}, {_CLUSTER}, {_CONSTRAINT}, {_rank_ctes()}, {_eigen_ctes()}, {_label_ctes(6)},
-        sz AS (SELECT win, c, count(*) AS size FROM lb6 GROUP BY ALL), rz AS (SELECT *, dense_rank() OVER (PARTITION BY win ORDER BY size DESC) - 1 AS rank FROM sz)
-        SELECT v.win, v.person, n_docs, degree, coalesce(k, 0) AS unique_degree, lb6.c AS component, size, rank, round(clustering, 9) AS clustering,
+    "window_measures": f"""WITH {_MEMBERS}, {_EDGES}, {_DEGREE}, {_CLUSTER}, {_CONSTRAINT}, {_rank_ctes()}, {_eigen_ctes()}, {_label_ctes(24)},
+        sz AS (SELECT win, c, count(*) AS size FROM lb24 GROUP BY ALL), rz AS (SELECT *, dense_rank() OVER (PARTITION BY win ORDER BY size DESC) - 1 AS rank FROM sz)
+        SELECT v.win, v.person, n_docs, degree, coalesce(k, 0) AS unique_degree, lb24.c AS component, size, rank, round(clustering, 9) AS clustering,
         round(constr, 9) AS "constraint", round(r, 9) AS pagerank, round(s, 9) AS eigenvector
-        FROM ver v JOIN dgr USING (win, person) LEFT JOIN deg USING (win, person) JOIN lb6 USING (win, person) JOIN rz ON rz.win = v.win AND rz.c = lb6.c
+        FROM ver v JOIN dgr USING (win, person) LEFT JOIN deg USING (win, person) JOIN lb24 USING (win, person) JOIN rz ON rz.win = v.win AND rz.c = lb24.c
         LEFT JOIN clu USING (win, person) LEFT JOIN con USING (win, person) JOIN pr{ROUNDS} q USING (win, person) JOIN ev{ROUNDS} e USING (win, person)""",
     "graphml": f"""WITH {_SPARSE}, {_EDGES} SELECT 0 AS section, '' AS ord, '<graphml><key id="n_docs" for="node" attr.name="n_docs"/><key id="weight" for="edge" attr.name="weight"/><graph edgedefault="undirected">' AS line
         UNION ALL SELECT 3, '', '</graph></graphml>'

@@ -53,6 +53,11 @@ def escape_outside_sub(spark: SparkSession, d: str) -> DataFrame:
     return normalize_columns(pages, {"html": text.escape_outside_sub})
 
 
+def valid_text(spark: SparkSession, d: str) -> DataFrame:
+    raw = spread(table(spark, d, "documents").select("doc_id", "text"))
+    return raw.select("doc_id", text.valid_text(F.encode("text", "UTF-8")).alias("text"))
+
+
 def fold_ascii(spark: SparkSession, d: str) -> DataFrame:
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return normalize_columns(docs, {"text": text.fold_ascii})
@@ -153,7 +158,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         clean_names, clean_assignee, clean_roles, clean_report, clean_lawyers, clean_markup, escape_outside_sub,
-        fold_ascii, clean_places, country_recode, city_rules, segment_split, date_normalise, doc_number_formats,
+        valid_text, fold_ascii, clean_places, country_recode, city_rules, segment_split, date_normalise, doc_number_formats,
         name_prefix, year_list, similar_words,
     )
 }
@@ -249,6 +254,7 @@ ORACLES = {
     "clean_lawyers": "SELECT s_suppkey, replace(s_name, '#', '') AS orgname FROM supplier",
     "clean_markup": f"SELECT page_id, {_MARKUP} AS html FROM pages",
     "escape_outside_sub": f"SELECT page_id, {_ESC} AS html FROM pages",
+    "valid_text": "SELECT doc_id, text FROM documents",
     "fold_ascii": f"SELECT doc_id, {duck.fold('text')} AS text FROM documents",
     "clean_places": f"WITH {_place_sql('documents', 'text')} SELECT doc_id, place AS text FROM _p3",
     "country_recode": _country_sql(),

@@ -68,16 +68,6 @@ def value_index(df: DataFrame, column: Column, name: str, start: int = 0) -> Dat
     return keyed.join(numbered, "_value").drop("_value")
 
 
-def size_rank(groups: DataFrame, size: str, dense: str, plain: str | None = None, tie: str | None = None) -> DataFrame:
-    """Rank groups by size, largest first, from 0: equal sizes share ``dense``; ``plain`` has no ties."""
-    sizes = groups.select(F.col(size).alias("_size")).distinct()
-    ranks = global_index(sizes, [F.col("_size").desc()], dense)
-    ranked = groups.join(ranks, F.col(size) == F.col("_size")).drop("_size")
-    if plain:
-        ranked = global_index(ranked, [F.col(size).desc(), F.col(tie)], plain)
-    return ranked
-
-
 def top_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "_rank") -> DataFrame:
     """The first ``n`` rows per key; Spark cuts each partition to ``n`` before the shuffle."""
     window = Window.partitionBy(*keys).orderBy(*order)

@@ -162,6 +162,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 10, damping: f
         )
         # a round reads its predecessor several times, so each is written once
         ranks = cut_lineage(ranks)
+    links.unpersist()  # every round is written, nothing reads the links any more
     return ranks.select("win", "person", F.col("rank").alias("pagerank"))
 
 
@@ -185,6 +186,7 @@ def eigenvector(vertices: DataFrame, edges: DataFrame, rounds: int = 10) -> Data
         raw = cut_lineage(raw)
         top = raw.groupBy("win").agg(F.max("score").alias("top"))
         scores = raw.join(top, "win").select("win", "person", (F.col("score") / F.col("top")).alias("score"))
+    links.unpersist()
     return scores.withColumnRenamed("score", "eigenvector")
 
 
@@ -303,7 +305,7 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame
     of the deepest search, not per source.
     """
     links = _spread(edges)
-    nodes = links.select("win", F.col("src").alias("person")).distinct()
+    nodes = cut_lineage(links.select("win", F.col("src").alias("person")).distinct())
     start = (nodes if sources is None else sources.select("win", "person").distinct()).select(
         "win", F.col("person").alias("source"), "person"
     )
@@ -343,6 +345,7 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame
         )
         if level > 1:
             total = total.unionByName(gain)
+    links.unpersist()
     through = total.groupBy("win", "person").agg((F.sum("gain") / 2).alias("betweenness"))
     return nodes.join(through, ["win", "person"], "left").select(
         "win", "person", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness")
