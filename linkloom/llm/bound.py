@@ -6,8 +6,10 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkloom.bindings.base import table
+from linkloom.llm.chat import MAXIMAL_SQL
 from linkloom.session import scratch_path
 
 TOKENIZERS = os.environ.get("LINKLOOM_TOKENIZERS")
@@ -43,10 +45,42 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.warc import read_warc, write_warc
+
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
+    number = r"^<urn:page:(-?\d+)>$"
+    found = read_warc(spark, path).where("kind = 'record'")
+    return found.select(
+        F.regexp_extract("record_id", number, 1).try_cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.regexp_extract("refers_to", number, 1).try_cast("long").alias("refers_to"))
+
+
+WARC_SQL = """
+WITH r AS (SELECT page_id, coalesce(html, '') AS p, sha1(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT p, max(page_id) AS response FROM r GROUP BY p)
+SELECT page_id, CAST(strlen(r.p) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((CAST('0x' || substr(d, 1 + 10 * (k // 8), 10) AS BIGINT) >> (35 - 5 * (k % 8))) & 31) + 1 AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM r JOIN g ON r.p = g.p
+"""
+
+
+def maximal_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.chat import maximal_conversations
+
+    return maximal_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_ids": token_ids,
+    "op4_warc": warc,
     "op6_token_counts": token_counts,
+    "op8_maximal_chats": maximal_chats,
     "op10_packing": packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_warc": WARC_SQL, "op8_maximal_chats": MAXIMAL_SQL}
