@@ -45,6 +45,12 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.quality import quality_verdicts
+
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkloom.llm.warc import read_warc, write_warc
 
@@ -77,6 +83,7 @@ def maximal_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_ids": token_ids,
+    "op3_quality": quality,
     "op4_warc": warc,
     "op6_token_counts": token_counts,
     "op8_maximal_chats": maximal_chats,
