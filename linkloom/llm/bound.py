@@ -75,6 +75,13 @@ FROM r JOIN g ON r.p = g.p
 """
 
 
+def line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.templates import drop_recurring_lines
+
+    cleaned = drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def maximal_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkloom.llm.chat import maximal_conversations
 
@@ -87,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": warc,
     "op6_token_counts": token_counts,
     "op8_maximal_chats": maximal_chats,
+    "op9_line_templates": line_templates,
     "op10_packing": packing,
 }
 
