@@ -75,6 +75,12 @@ FROM r JOIN g ON r.p = g.p
 """
 
 
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.decontamination import find_contamination
+
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkloom.llm.templates import drop_recurring_lines
 
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": quality,
     "op4_warc": warc,
     "op6_token_counts": token_counts,
+    "op7_contamination": contamination,
     "op8_maximal_chats": maximal_chats,
     "op9_line_templates": line_templates,
     "op10_packing": packing,
