@@ -75,6 +75,12 @@ FROM r JOIN g ON r.p = g.p
 """
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.near_duplicates import near_duplicate_components
+
+    return near_duplicate_components(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkloom.llm.decontamination import find_contamination
 
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_ids": token_ids,
     "op3_quality": quality,
     "op4_warc": warc,
+    "op5_near_duplicates": near_duplicates,
     "op6_token_counts": token_counts,
     "op7_contamination": contamination,
     "op8_maximal_chats": maximal_chats,
