@@ -24,6 +24,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def exact_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.exact_repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=200)
+
+
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from linkloom.llm.token_files import read_ids, write_ids
 
@@ -101,6 +107,7 @@ def maximal_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_repeats": exact_repeats,
     "op2_token_ids": token_ids,
     "op3_quality": quality,
     "op4_warc": warc,
