@@ -19,7 +19,7 @@ import zlib
 import numpy as np
 
 _MAGIC = b"LLIC"
-_HEAD = struct.Struct("<4sHHIQIII")  # magic, version, -, documents, ids, lanes, steps, vocabulary
+_HEAD = struct.Struct("<4sHHIIQIII")  # magic, version, -, documents, of them without id, ids, lanes, steps, vocabulary
 _SLOT_BITS, _ID_BITS = 12, 22
 _WORD = 32
 _LOW = (1 << _WORD) - 1
@@ -159,9 +159,12 @@ def _decode_lanes(words: np.ndarray, used: np.ndarray, steps: int, vocabulary: i
     return ids
 
 
-def encode_block(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, vocabulary: int,
+def encode_block(doc_ids: list, counts: list, ids: np.ndarray, vocabulary: int,
                  most_lanes: int = 8192, lane_ids: int = 128) -> bytes:
-    """One block of whole documents; ``ids`` are below ``vocabulary`` (at most 2**21)."""
+    """One block of whole documents, those without id (None) first; ``ids`` are below ``vocabulary`` (at most 2**21)."""
+    nameless = sum(d is None for d in doc_ids)
+    if any(d is not None for d in doc_ids[:nameless]):
+        raise ValueError("documents without id must come first")
     if vocabulary > 1 << (_ID_BITS - 1) or (len(ids) and int(ids.max()) >= vocabulary):
         raise ValueError("an id lies outside the vocabulary")
     lanes = max(1, min(most_lanes, len(ids) // lane_ids))
@@ -170,25 +173,25 @@ def encode_block(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, vocab
     padded[: len(ids)] = ids
     words, used = _encode_lanes(padded.reshape(lanes, steps), vocabulary)
     body = b"".join([
-        _HEAD.pack(_MAGIC, 1, 0, len(doc_ids), len(ids), lanes, steps, vocabulary),
-        np.asarray(doc_ids, "<i8").tobytes(), np.asarray(counts, "<u8").tobytes(),
+        _HEAD.pack(_MAGIC, 1, 0, len(doc_ids), nameless, len(ids), lanes, steps, vocabulary),
+        np.asarray([0] * nameless + list(doc_ids[nameless:]), "<i8").tobytes(), np.asarray(counts, "<u8").tobytes(),
         used.astype("<u4").tobytes(), words.astype("<u4").tobytes(),
     ])
     return body + struct.pack("<I", zlib.crc32(body))
 
 
-def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def decode_block(block: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     """(document ids, id counts, ids) of a block; BlockError where its check fails."""
     if len(block) < _HEAD.size + 4 or block[:4] != _MAGIC:
         raise BlockError("not a block")
     body = memoryview(block)[:-4]
     if zlib.crc32(body) != struct.unpack("<I", block[-4:])[0]:
         raise BlockError("checksum differs")
-    _, version, _, n_docs, n_ids, lanes, steps, vocabulary = _HEAD.unpack_from(block)
+    _, version, _, n_docs, nameless, n_ids, lanes, steps, vocabulary = _HEAD.unpack_from(block)
     if version != 1:
         raise BlockError(f"version {version}")
     at = _HEAD.size
-    doc_ids = np.frombuffer(body, "<i8", n_docs, at)
+    doc_ids = [None] * nameless + np.frombuffer(body, "<i8", n_docs, at)[nameless:].tolist()
     counts = np.frombuffer(body, "<u8", n_docs, at + 8 * n_docs).astype(np.int64)
     used = np.frombuffer(body, "<u4", lanes, at + 16 * n_docs).astype(np.int64)
     words = np.frombuffer(body, "<u4", int(used.sum()), at + 16 * n_docs + 4 * lanes)

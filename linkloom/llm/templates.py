@@ -105,15 +105,15 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
 
     dropped = (
         lines.join(recurring, ["_leaf", "_form"]).where(F.col("_digest") != F.col("_first._digest"))
-        .groupBy("_digest").agg(F.collect_set("_no").alias("_drop"))
+        .groupBy(F.col("_digest").alias("_llm_digest")).agg(F.collect_set("_no").alias("_llm_drop"))
     )
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*own, digest.alias("_digest")).join(dropped, "_digest", "left")
-    rows = compute_once(rows, "_all", F.split(F.col(text_col), "\n"))
-    rows = compute_once(rows, "_gone", F.when(F.col("_drop").isNotNull(), F.sort_array("_drop")))
-    left = F.filter("_all", lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
+    rows = docs.select(*own, digest.alias("_llm_digest")).join(dropped, "_llm_digest", "left")
+    rows = compute_once(rows, "_llm_all", F.split(F.col(text_col), "\n"))
+    rows = compute_once(rows, "_llm_gone", F.when(F.col("_llm_drop").isNotNull(), F.sort_array("_llm_drop")))
+    left = F.filter("_llm_all", lambda x, i: ~F.array_contains("_llm_gone", i))
+    text = F.when(F.col("_llm_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     return rows.select(
         *(text.alias(c) if c == text_col else F.col(c) for c in own),
-        F.coalesce(F.size("_all"), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_dropped"))
+        F.coalesce(F.size("_llm_all"), F.lit(0)).cast("long").alias("n_lines"),
+        F.when(F.col("_llm_gone").isNull(), 0).otherwise(F.size("_llm_gone")).cast("long").alias("n_dropped"))

@@ -58,12 +58,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, voca
     The rows are dealt by ranges of the id and sorted, so files and blocks ascend by id.  Each
     row of the written Parquet container is one self-contained block of whole documents with at
     least ``block_ids`` ids (but the last of a part); Spark's commit keeps the files of finished
-    tasks only.  A null or empty text is its end id alone.  Rows without id are an error, as
-    they have no place in the order; equal ids lie side by side; other columns are ignored.
+    tasks only.  A null or empty text is its end id alone.  Rows without id come first; equal ids lie
+    side by side, in any order among themselves; an empty table gives no blocks; other columns are ignored.
     """
     (
-        docs.select(F.coalesce(docs[id_col].cast("long"), F.raise_error(F.lit("a document has no id")).cast("long")).alias("doc_id"),
-                    docs[text_col].alias("text"))
+        docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
         .mapInArrow(lambda it: _coded(it, tokenizer_path, end_id, vocabulary, block_ids), BLOCKS)
         .write.parquet(path)
@@ -78,7 +77,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.R
             ends = np.cumsum(counts)
             raw = ids.tobytes()
             crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), counts.tolist())]
-            columns = [pa.array(np.full(len(docs), part)), pa.array(docs), pa.array(start + ends - counts),
+            columns = [pa.array(np.full(len(docs), part)), pa.array(docs, pa.int64()), pa.array(start + ends - counts),
                        pa.array(counts), pa.array(crc, pa.int64())]
             names = ["part", "doc_id", "part_start", "n_tokens", "ids_crc32"]
             if with_ids:
