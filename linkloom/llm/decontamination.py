@@ -9,6 +9,7 @@ blocks of a fixed size, one pass over the documents each.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -140,15 +141,16 @@ def _matches(index: _Index, texts: list[str]) -> Iterator[tuple[int, int, int, i
                 yield number, segment, edits, end
 
 
-_BUILT: dict[int, _Index] = {}
+_BUILT: dict[tuple, _Index] = {}
 
 
 def _index_of(block, q: int, edit_rate: float, segment: int) -> _Index:
     """A worker builds the index of a block once."""
-    key = hash((block.id if hasattr(block, "id") else id(block), q, edit_rate, segment))
+    name, items = block.value
+    key = (name, q, edit_rate, segment)
     if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = _Index(block.value, q, edit_rate, segment)
+        _BUILT[key] = _Index(items, q, edit_rate, segment)
     return _BUILT[key]
 
 
@@ -164,17 +166,17 @@ def _slices(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int):
-    """Broadcasts of the benchmark's items, ``block_chars`` characters each at most but for one longer item."""
+    """Broadcasts of (name, items) of the benchmark, ``block_chars`` characters each at most but for one longer item."""
     context = benchmark.sparkSession.sparkContext
     held, size = [], 0
     for item, text in benchmark.select(benchmark[id_col].cast("long"), text_col).where(F.col(text_col).isNotNull()).toLocalIterator():
         if held and size + len(text) > block_chars:
-            yield context.broadcast(held)
+            yield context.broadcast((uuid.uuid4().hex, held))
             held, size = [], 0
         held.append((item, text))
         size += len(text)
     if held:
-        yield context.broadcast(held)
+        yield context.broadcast((uuid.uuid4().hex, held))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, q: int = 12, edit_rate: float = 0.06, segment: int = 120,

@@ -111,8 +111,8 @@ def _record(text: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         if not colon:
             raise ValueError("header line without colon")
         fields[key.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
-    if not fields.get("content-length", "").isdigit() or "warc-type" not in fields:
-        raise ValueError("length or type missing")
+    if not fields.get("content-length", "").isdigit() or not {"warc-type", "warc-record-id"} <= fields.keys():
+        raise ValueError("length, type or id missing")
     start = stop + 4
     end = start + int(fields["content-length"])
     if end > len(text):
