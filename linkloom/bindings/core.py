@@ -124,7 +124,7 @@ SELECT * FROM {add} WHERE NOT EXISTS (SELECT 1 FROM {keep} k WHERE k.l_orderkey
 
 
 def unique_values(spark: SparkSession, d: str) -> DataFrame:
-    return aggregates.unique_values(table(spark, d, "events"), ["user_id"], "event_type", "types")
+    return aggregates.unique_values(table(spark, d, "events"), ["user_id"], "event_type", "type")
 
 
 def modal_value(spark: SparkSession, d: str) -> DataFrame:
@@ -132,11 +132,11 @@ def modal_value(spark: SparkSession, d: str) -> DataFrame:
 
 
 def concat_values(spark: SparkSession, d: str) -> DataFrame:
-    joined = aggregates.concat_values(table(spark, d, "events"), ["user_id"], "event_type", "types")
+    rows = aggregates.ordered_values(table(spark, d, "events"), ["user_id"], "event_type", "type")
     first = table(spark, d, "events").groupBy("user_id").agg(
         F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type"), F.count(F.lit(1)).alias("n")
     )
-    return joined.join(first, "user_id")
+    return rows.join(first, "user_id")
 
 
 def per_doc_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -216,7 +216,7 @@ def schema_evolve(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sample_rows(spark: SparkSession, d: str) -> DataFrame:
-    return tables.sample_rows(table(spark, d, "customer"), ["c_custkey", "c_name"], 100, seed=7)
+    return tables.sample_rows(table(spark, d, "customer"), ["c_custkey", "c_name"], ["c_custkey"], 100, seed=7)
 
 
 def sql_functions(spark: SparkSession, d: str) -> DataFrame:
@@ -255,12 +255,15 @@ ORACLES = {
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN f ON o_custkey = c_custkey""",
     "upsert_first_wins": _UPSERT_SQL.format(first=_REST.format(""), way="", rest=_REST.format(""), keep="e", add="i"),
     "upsert_last_wins": _UPSERT_SQL.format(first=_REST.format(""), way="DESC", rest=_REST.format("DESC"), keep="i", add="e"),
-    "unique_values": """SELECT user_id, 0::BIGINT AS part, CASE WHEN count(DISTINCT upper(event_type)) = 1 THEN '' ELSE
-        string_agg(DISTINCT upper(event_type), '|' ORDER BY upper(event_type)) END AS types FROM events GROUP BY user_id""",
+    "unique_values": """WITH v AS (SELECT DISTINCT user_id, upper(event_type) AS v FROM events)
+        SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY v) - 1 AS ordinal,
+        CASE WHEN count(*) OVER (PARTITION BY user_id) = 1 THEN '' ELSE v END AS type FROM v""",
     "modal_value": """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)
         SELECT user_id, arg_max(event_type, (n, event_type)) AS modal_type FROM c GROUP BY user_id""",
-    "concat_values": """SELECT user_id, 0::BIGINT AS part, string_agg(event_type, ',' ORDER BY event_type) AS types, count(*) AS n_values,
-        arg_min(event_type, (ts, event_id)) AS first_type, count(*) AS n FROM events GROUP BY user_id""",
+    "concat_values": """WITH f AS (SELECT user_id, arg_min(event_type, (ts, event_id)) AS first_type, count(*) AS n FROM events GROUP BY user_id)
+        SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_type) - 1 AS ordinal, event_type AS type, first_type, n
+        FROM events JOIN f USING (user_id)""",
+    "sample_rows": """SELECT c_custkey, c_name FROM customer ORDER BY md5('7|' || c_custkey), c_custkey, c_name LIMIT 100""",
     "per_doc_counts": """SELECT o_orderkey, o_custkey, count(l_orderkey) AS n_lines, count(DISTINCT l_suppkey) AS n_persons,
         count(DISTINCT l_partkey) AS n_parts, count(*) FILTER (l_returnflag = 'R') AS n_returned
         FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""",

@@ -54,7 +54,7 @@ def _domestic(spark: SparkSession, d: str) -> DataFrame:
     name = F.col("p_name")
     city = (
         F.when(F.expr("l_returnflag = 'A' AND l_linestatus = 'O'"), F.replace(name, F.lit(" "), F.lit("")))
-        .when(F.expr("l_returnflag = 'A'"), F.concat(F.substring(name, 1, 5), F.lit("e"), F.substring(name, 6, 50)))
+        .when(F.expr("l_returnflag = 'A'"), F.concat(F.substring(name, 1, 5), F.lit("e"), F.substr(name, F.lit(6))))
         .when(F.expr("l_returnflag = 'R' AND l_linestatus = 'O'"), F.concat(F.lit("old quarter, "), name))
         .when(F.expr("l_returnflag = 'R'"), F.reverse(name))
         .when(F.expr("l_linestatus = 'O'"), F.concat(name, F.lit("x")))

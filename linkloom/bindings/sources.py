@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.bindings.base import table
-from linkloom.operators.aggregates import concat_values
+from linkloom.operators.aggregates import joined_values
 from linkloom.session import cut_lineage, scratch_path, spread
 from linkloom.sources import claims, delimited, documents, shred, sinks
 
@@ -104,11 +104,11 @@ def csv_infer(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cluster_file_load(spark: SparkSession, d: str) -> DataFrame:
-    """Lines ``id###n###id,...`` per supplier (several for a large one), written, read and joined back."""
+    """Lines ``id###n###id,...`` per supplier, written, read and joined back."""
     lines = table(spark, d, "lineitem")
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     facts = cut_lineage(lines.select(key.alias("fact"), F.col("l_suppkey").cast("string").alias("supplier")).groupBy("fact").agg(F.min("supplier").alias("supplier")))
-    joined = concat_values(facts, ["supplier"], "fact", "members")
+    joined = joined_values(facts, ["supplier"], "fact", "members")
     path = scratch_path(spark, "clusters")
     joined.select(F.concat_ws("###", "supplier", F.col("n_values").cast("string"), "members")).write.text(path)
     return delimited.load_clusters(facts.select("fact"), "fact", delimited.read_clusters(spark, path))
@@ -164,7 +164,8 @@ ORACLES = {
     "claims_extract": """WITH l AS (SELECT doc_id, string_split(replace(text, '&', 'and'), chr(10)) AS p FROM documents)
         SELECT 'D' || doc_id AS patent, (unnest(range(1, len(p) + 1)) - 1)::INTEGER AS claim_no, unnest(p) AS claim FROM l""",
     "csv_infer": "SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice FROM part",
-    "cluster_file_load": "SELECT l_orderkey || '-' || l_linenumber AS fact, min(l_suppkey::VARCHAR) AS cluster_id FROM lineitem GROUP BY 1",
+    "cluster_file_load": """WITH f AS (SELECT l_orderkey || '-' || l_linenumber AS fact, min(l_suppkey::VARCHAR) AS cluster_id FROM lineitem GROUP BY 1)
+        SELECT fact, cluster_id, n FROM f JOIN (SELECT cluster_id, count(*) AS n FROM f GROUP BY 1) USING (cluster_id)""",
     "graph_export": """WITH mem AS (SELECT DISTINCT year(l_shipdate)::INTEGER AS win, l_orderkey AS doc, l_suppkey AS person FROM lineitem),
         edg AS (SELECT a.win, a.person AS src, b.person AS dst, count(*) AS weight FROM mem a JOIN mem b ON a.win = b.win AND a.doc = b.doc AND a.person < b.person GROUP BY ALL)
         SELECT v.win, n_vertices, coalesce(n_edges, 0) AS n_edges, coalesce(w, 0)::BIGINT AS total_weight FROM (SELECT win, count(DISTINCT person) AS n_vertices FROM mem GROUP BY 1) v

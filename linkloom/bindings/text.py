@@ -143,8 +143,8 @@ def year_list(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _vocabulary(spark: SparkSession, d: str, name: str) -> DataFrame:
-    words = F.explode(F.split(F.upper(F.translate("text", "ß", "·")), "[ .,\n]+"))
-    return table(spark, d, name).select(words.alias("word")).where(F.length("word") >= 3).distinct()
+    words = F.explode(F.split(F.upper("text"), "[ .,\n]+"))
+    return table(spark, d, name).select(words.alias("word")).where(F.col("word") != "").distinct()
 
 
 def similar_words(spark: SparkSession, d: str) -> DataFrame:
@@ -222,11 +222,11 @@ c3 AS (SELECT *, CASE {' '.join(marks)} ELSE c2 END AS c3 FROM c2)
 SELECT city, country, {duck.strip(f"regexp_replace({edged}, '[-]|  +', ' ', 'g')")} AS clean_city FROM c3"""
 
 
-_MARKUP = f"lower(regexp_replace(html, '[\\r\\n\\t\\x0B\\x08\\f\\x07 ]+', ' ', 'g'))"
+_MARKUP = f"lower(regexp_replace(nfc_normalize(html), '[\\r\\n\\t\\x0B\\x08\\f\\x07 ]+', ' ', 'g'))"
 for _idiom in text.UNDERSCORE_IDIOMS:
     _MARKUP = f"replace({_MARKUP}, '{_idiom}', '_')"
 _MARKUP = f"replace(replace(replace({_MARKUP}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
-_MARKUP = f"replace(upper(replace({_MARKUP}, 'ß', '·')), '·', 'ß')"
+_MARKUP = f"array_to_string(list_transform(string_split({_MARKUP}, 'ß'), lambda part: upper(part)), 'ß')"
 _SPLIT = "regexp_split_to_array(text, ' *?[,|] *')"
 
 # RE2 has no look-around: protect what stays, escape the rest, restore.
@@ -241,7 +241,7 @@ _ESC = f"replace(replace({_ESC}, '\x03', '<'), '\x04', '>')"
 for _entity, _mark in _KEEP:
     _ESC = f"replace({_ESC}, '{_mark}', '{_entity}')"
 
-_WORDS = "SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(upper(replace(text, 'ß', '·')), '[ .,\\n]+')) AS w FROM {0}) WHERE length(w) >= 3"
+_WORDS = "SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(upper(replace(text, 'ß', 'SS')), '[ .,\\n]+')) AS w FROM {0}) WHERE w <> ''"
 
 ORACLES = {
     "clean_names": f"SELECT doc_id, {_name_sql('text')} AS text FROM documents",

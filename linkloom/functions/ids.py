@@ -56,6 +56,6 @@ def number_type(col: Column) -> Column:
 
 def class_label(col: Column) -> Column:
     """``mmmsssxxx`` as ``mmm/sss.xxx``."""
-    rest = F.substring(col, 7, 100)
+    rest = F.substr(col, F.lit(7))
     label = F.concat(F.substring(col, 1, 3), F.lit("/"), F.substring(col, 4, 3))
     return F.when(rest != "", F.concat(label, F.lit("."), rest)).otherwise(label)

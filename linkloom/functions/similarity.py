@@ -100,38 +100,3 @@ def least_common_letters(threshold: float, length: str, other: str | None = None
         share = max(room - 1, 0.0)
         return f"greatest(1, int(ceil({share!r}D * {length} - 1e-9D)))"
     return f"greatest(1, int(ceil({room!r}D / (1D / {length} + 1D / {other}) - 1e-9D)))"
-
-
-def length_ratio_floor(threshold: float) -> float:
-    """Shortest-to-longest ratio below which no pair can pass."""
-    return max(3 * jaro_floor(threshold) - 2, 0.0)
-
-
-def python_jarow(a: str, b: str) -> float:
-    """Driver-side restatement for tests."""
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    short, long_ = (b, a) if len(a) > len(b) else (a, b)
-    free = list(short)
-    reach = len(long_) // 2 - 1
-    hits = []
-    for at, letter in enumerate(long_):
-        low, high = max(0, at - reach), min(len(short), at + reach)
-        if low == high:
-            high += 1
-        for spot in range(low, min(high, len(short))):
-            if free[spot] == letter:
-                free[spot] = None
-                hits.append((spot, letter))
-                break
-    scan = min(PREFIX_SCAN, len(short))
-    common = next((k for k in range(scan) if short[k] != long_[k]), scan - 1)
-    if not hits:
-        return PREFIX_WEIGHT * common
-    moved = sum(x[1] != y[1] for x, y in zip(hits, sorted(hits))) / 2
-    m = len(hits)
-    d = (m / len(short) + m / len(long_) + (m - moved) / m) / 3
-    return d + PREFIX_WEIGHT * common * (1 - d)
-

@@ -31,8 +31,13 @@ PLACE_RULES = [
 ESCAPE_RUN = r"[\r\n\t\x0B\x08\f\x07 ]+"
 UNDERSCORE_IDIOMS = ["<sub>&#x2014;</sub>", "<sub>-</sub>", "<sub>—</sub>"]
 
-# Sharp s has no capital in the rules' upper-casing; this stand-in has no case either.
-_SHARP_S, _STAND_IN = "ß", "·"
+# Fixed patterns: what the subscript-keeping escape leaves alone.
+BARE_AMPERSAND = r"(?i)&(?!(amp;|lt;|gt;))"
+OPENING_OUTSIDE_SUB = r"(?i)<(?!/?sub>)"
+CLOSING_OUTSIDE_SUB = r"(?i)(?<!sub)>"
+
+# Sharp s has no capital in the rules' upper-casing.
+_SHARP_S = "ß"
 
 
 @lru_cache(maxsize=1)
@@ -89,7 +94,33 @@ def fold_ascii(col: Column) -> Column:
 
 def upper_keeping_sharp_s(col: Column) -> Column:
     """Upper-case without turning one letter into two."""
-    return F.translate(F.upper(F.translate(col, _SHARP_S, _STAND_IN)), _STAND_IN, _SHARP_S)
+    pieces = F.array_join(F.transform(F.split(col, _SHARP_S), F.upper), _SHARP_S)
+    return F.when(col.contains(_SHARP_S), pieces).otherwise(F.upper(col))
+
+
+@lru_cache(maxsize=1)
+def _compositions() -> dict[str, str]:
+    """Letters that canonical composition makes of a letter and its marks."""
+    found = {}
+    for point in range(128, sys.maxunicode + 1):
+        letter = chr(point)
+        if 0xD800 <= point <= 0xDFFF:
+            continue
+        apart = unicodedata.normalize("NFD", letter)
+        if len(apart) > 1 and unicodedata.normalize("NFC", apart) == letter and all(unicodedata.combining(c) for c in apart[1:]):
+            found[apart] = letter
+            # the marks of two steps may come with the first step composed already
+            for cut in range(2, len(apart)):
+                found[unicodedata.normalize("NFC", apart[:cut]) + apart[cut:]] = letter
+    return found
+
+
+def composed(col: Column) -> Column:
+    """Canonical composition (NFC) of letters followed by their combining marks; texts without marks skip the work."""
+    table = F.create_map(*[F.lit(x) for pair in _compositions().items() for x in pair])
+    letters = F.split(col, r"(?=\P{M})")
+    joined = F.array_join(F.transform(letters, lambda c: F.when(c.rlike(r"\p{M}"), F.coalesce(F.element_at(table, c), c)).otherwise(c)), "")
+    return F.when(col.rlike(r"\p{M}"), joined).otherwise(col)
 
 
 def clean_name(col: Column, strict: bool = True) -> Column:
@@ -105,7 +136,7 @@ def clean_assignee(col: Column) -> Column:
 
 def clean_place(col: Column) -> Column:
     """Upper-case a place, drop postal codes, digits and punctuation, fold to ASCII."""
-    text = swap_all(F.upper(F.translate(col, _SHARP_S, _STAND_IN)), PLACE_RULES)
+    text = swap_all(upper_keeping_sharp_s(col), PLACE_RULES)
 
     def trim_edge(text: Column) -> Column:
         bare = strip(F.regexp_replace(text, "[,|-]", " "))
@@ -121,8 +152,8 @@ def _drop_last(col: Column) -> Column:
 
 
 def clean_markup(col: Column) -> Column:
-    """One blank per white-space run, the subscript dash as ``_``, HTML-escaped, upper-cased."""
-    text = F.lower(F.regexp_replace(col, ESCAPE_RUN, " "))
+    """Composed letters, one blank per white-space run, the subscript dash as ``_``, HTML-escaped, upper-cased."""
+    text = F.lower(F.regexp_replace(composed(col), ESCAPE_RUN, " "))
     for idiom in UNDERSCORE_IDIOMS:
         text = F.replace(text, F.lit(idiom), F.lit("_"))
     for raw, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
@@ -132,9 +163,9 @@ def clean_markup(col: Column) -> Column:
 
 def escape_outside_sub(col: Column) -> Column:
     """Escape ``& < >`` but leave ``<sub>`` and known entities alone."""
-    text = F.regexp_replace(col, r"(?i)&(?!(amp;|lt;|gt;))", "&amp;")
-    text = F.regexp_replace(text, r"(?i)<(?!/?sub>)", "&lt;")
-    return F.regexp_replace(text, r"(?i)(?<!sub)>", "&gt;")
+    text = F.regexp_replace(col, BARE_AMPERSAND, "&amp;")
+    text = F.regexp_replace(text, OPENING_OUTSIDE_SUB, "&lt;")
+    return F.regexp_replace(text, CLOSING_OUTSIDE_SUB, "&gt;")
 
 
 def valid_text(col: Column) -> Column:

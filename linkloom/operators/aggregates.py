@@ -7,9 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.operators.ranking import top_within
-
-PART_SIZE = 100_000
+from linkloom.operators.ranking import index_within, top_within
 
 
 def top_values(
@@ -42,62 +40,29 @@ def modal_value(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Da
     return counts.groupBy(*keys).agg(F.max_by(value, F.struct("_n", value)).alias(name))
 
 
-def _in_parts(
-    counts: DataFrame, keys: Sequence[str], value: str, part_size: int
-) -> DataFrame:
-    """Give each (key, value) row a part number so that no part outgrows ``part_size``."""
-    sizes = counts.groupBy(*keys).agg(
-        F.sum("_n").alias("_items"), F.count(F.lit(1)).alias("_distinct")
-    )
-    return (
-        counts.join(sizes, list(keys))
-        .withColumn("_parts", F.ceil(F.col("_items") / F.lit(part_size)).cast("long"))
-        .withColumn("_copies", F.ceil(F.col("_n") / F.lit(part_size)).cast("long"))
-        # a value repeated beyond the part size is itself divided
-        .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-        .withColumn(
-            "_n",
-            F.least(F.lit(part_size).cast("long"), F.col("_n") - F.col("_copy") * F.lit(part_size)),
-        )
-        .withColumn("part", F.pmod(F.xxhash64(value, "_copy"), F.col("_parts")))
-    )
+def ordered_values(df: DataFrame, keys: Sequence[str], value: str, name: str, distinct: bool = False) -> DataFrame:
+    """(keys, ordinal, value) rows: the values of each key in order, numbered from 0.
 
+    Every key has this one shape whatever its size; numbering runs over ranges, so a hot key is
+    spread over tasks.  ``joined_values`` makes one text of them at a sink.
+    """
+    items = df.select(*keys, F.col(value).alias(name))
+    items = items.distinct() if distinct else items
+    return index_within(items, list(keys), [F.col(name)], "ordinal").select(*keys, "ordinal", name)
 
-def concat_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    name: str,
-    sep: str = ",",
-    distinct: bool = False,
-    part_size: int = PART_SIZE,
-) -> DataFrame:
-    """The values of each key in order, joined with ``sep``.
 
-    Repeats are counted before the shuffle.  A key with at most ``part_size``
-    values gives one row with ``part`` 0; a larger key gives several rows, which
-    together hold every value, so that no row or task holds a hot group.
-    """
-    counts = df.groupBy(*keys, value).agg(
-        (F.lit(1).cast("long") if distinct else F.count(F.lit(1))).alias("_n")
-    )
-    parts = _in_parts(counts, keys, value, part_size)
-    items = F.sort_array(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_n").cast("int").alias("n"))))
-    spread = F.flatten(F.transform(items, lambda x: F.array_repeat(x["v"], x["n"])))
-    return parts.groupBy(*keys, "part").agg(
-        F.array_join(spread.cast("array<string>"), sep).alias(name), F.sum("_n").alias("n_values")
-    )
+def joined_values(df: DataFrame, keys: Sequence[str], value: str, name: str, sep: str = ",") -> DataFrame:
+    """One row per key: its values in order as one text, and their number; for file formats that ask for it."""
+    items = F.sort_array(F.collect_list(F.col(value)))
+    return df.groupBy(*keys).agg(F.array_join(items.cast("array<string>"), sep).alias(name), F.count(value).alias("n_values"))
 
 
-def unique_values(df: DataFrame, keys: Sequence[str], value: str, name: str, sep: str = "|") -> DataFrame:
-    """Distinct upper-cased values per key joined with ``sep``; '' for a single one."""
+def unique_values(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """(keys, ordinal, value) rows of the distinct upper-cased values per key; '' for a single one."""
     upper = df.select(*keys, F.upper(value).alias("_v"))
-    joined = concat_values(upper, keys, "_v", name, sep, distinct=True)
-    alone = (F.col("part") == 0) & (F.col("n_values") == 1) & (F.col("_total") == 1)
-    totals = upper.groupBy(*keys).agg(F.count_distinct("_v").alias("_total"))
-    return joined.join(totals, list(keys)).select(
-        *keys, "part", F.when(alone, "").otherwise(F.col(name)).alias(name)
-    )
+    rows = ordered_values(upper, keys, "_v", name, distinct=True)
+    totals = rows.groupBy(*keys).agg(F.max("ordinal").alias("_last"))
+    return rows.join(totals, list(keys)).select(*keys, "ordinal", F.when(F.col("_last") == 0, "").otherwise(F.col(name)).alias(name))
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:

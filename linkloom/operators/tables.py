@@ -20,6 +20,10 @@ def append_rows(table: DataFrame, more: DataFrame, pad: str = "") -> DataFrame:
     return table.unionByName(more, allowMissingColumns=True).na.fill(pad)
 
 
-def sample_rows(df: DataFrame, columns: Sequence[str], n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows in random order: a top-n by a seeded hash, cut inside every partition first."""
-    return df.select(*columns).orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, columns: Sequence[str], key: Sequence[str], n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows in random order: a top-n by a seeded hash of ``key``, cut inside every partition first.
+
+    The same rows come out however the table is partitioned.
+    """
+    mark = F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in key)))
+    return df.select(*columns, mark.alias("_mark")).orderBy("_mark", *columns).limit(n).drop("_mark")

@@ -16,7 +16,7 @@ from linkloom.functions.text import prefix, segment, separator_count, suffix, wi
 from linkloom.operators.normalize import compute_once
 from linkloom.operators.similarity_join import similar_pairs
 from linkloom.operators.update_join import update_join
-from linkloom.operators.upsert import insert_or_replace
+from linkloom.operators.upsert import first_per_key, insert_or_replace
 
 # Rule number, value written for an exact hit.
 EXACT_VALUE = {1: 11, 2: 11, 5: 21, 6: 21, 7: 21, 8: 21, 11: 15, 13: 25, 14: 25, 15: 25, 17: 31}
@@ -56,7 +56,7 @@ def place_counts(df: DataFrame, city: str, state: str, country: str, zipcode: st
 
 def correct_typos(places: DataFrame, typos: DataFrame) -> DataFrame:
     """Attach ncity, nstate, ncountry from a correction table, NULL where it has none."""
-    fixes = typos.select("city", "state", "country", "ncity", "nstate", "ncountry").dropDuplicates(["city", "state", "country"])
+    fixes = first_per_key(typos.select("city", "state", "country", "ncity", "nstate", "ncountry"), ["city", "state", "country"], [])
     return places.join(fixes, ["city", "state", "country"], "left").withColumn("city3", prefix(F.col("city"), 3))
 
 
@@ -66,6 +66,11 @@ def build_places(assignee_places: DataFrame, inventor_places: DataFrame, typos:
     return correct_typos(insert_or_replace(both, PLACE_KEY, ["source"]).drop("source"), typos)
 
 
+def zip_number(zipcode: Column) -> Column:
+    """Leading digits of a zip code's first segment without leading zeros, so ``02139-4307`` is ``2139``; '' without digits."""
+    return F.regexp_replace(F.regexp_extract(segment(zipcode, 0), "^([0-9]+)", 1), "^0+(?=[0-9])", "")
+
+
 def domestic_gazetteer(df: DataFrame, city: str, state: str, lat: str, long: str, zipcode: str | None = None) -> DataFrame:
     """City table with its match keys: blanks removed, first three and last four letters."""
     name = F.upper(city)
@@ -92,7 +97,7 @@ def _entries(usloc: DataFrame, gnsloc: DataFrame, block: str) -> DataFrame:
     blank = F.lit("")
     home = [entry(1, c("city"), blank), entry(2, c("blk_city"), blank), entry(3, c("city3"), c("blk_city")),
             entry(4, c("city4r"), c("blk_city")), entry(11, c("city"), blank), entry(12, c("city3"), c("blk_city")),
-            entry(17, c("zipcode"), blank)]
+            entry(17, zip_number(c("zipcode")), blank)]
     sort_name = c("sort_name_ro")
     first, last = (
         (sort_name, sort_name) if block == "literal" else (prefix(sort_name, PREFIX_LETTERS), suffix(sort_name, SUFFIX_LETTERS))
@@ -157,9 +162,8 @@ def _requests(places: DataFrame) -> DataFrame:
         .select(*PLACE_KEY, (far + c("a.rule")).alias("turn"), "a.*",
                 F.when(c("a.rule") <= 12, c("nstate")).otherwise(c("ncountry")).alias("region"))
     )
-    zip_digits = F.regexp_replace(segment(c("zipcode"), 0), "^0+(?=[0-9])", "")
-    by_zip = places.where((c("country") == DOMESTIC) & segment(c("zipcode"), 0).rlike("^[0-9]+$")).select(
-        *PLACE_KEY, (far + 17).alias("turn"), F.lit(17).alias("rule"), zip_digits.alias("key"),
+    by_zip = places.where(c("country") == DOMESTIC).select(
+        *PLACE_KEY, (far + 17).alias("turn"), F.lit(17).alias("rule"), zip_number(c("zipcode")).alias("key"),
         blank.alias("place_text"), blank.alias("region"),
     )
     return early.unionByName(late).unionByName(by_zip).where(c("key") != "")

@@ -31,8 +31,8 @@ def local_session(cores: int = 8, app: str = "linkloom", **conf: str) -> SparkSe
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) is a temporary
-    folder set instead.
+    Where it is unset, a session on one machine gets a temporary folder; on a cluster that is an
+    error, as executors would not see each other's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -42,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-"))
     return spark.sparkContext.getCheckpointDir()
 

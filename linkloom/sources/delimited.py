@@ -15,49 +15,62 @@ SPEC_ROWS = 4
 
 
 def sanitise(names: list[str]) -> list[str]:
-    """Header names reduced to word characters, repeats numbered."""
-    seen: dict[str, int] = {}
-    result = []
-    for position, name in enumerate(names):
-        clean = re.sub(r"[^A-Za-z0-9_]", "", name or "") or f"v{position}"
-        seen[clean.lower()] = seen.get(clean.lower(), 0) + 1
-        result.append(clean if seen[clean.lower()] == 1 else f"{clean}{seen[clean.lower()]}")
+    """Header names reduced to word characters, repeats numbered until the name is free."""
+    bare = [re.sub(r"[^A-Za-z0-9_]", "", name or "") or f"v{position}" for position, name in enumerate(names)]
+    given, used, result = {b.lower() for b in bare}, set(), []
+    for clean in bare:
+        name, number = clean, 1
+        # a numbered name must not be one that the header itself has
+        while name.lower() in used or (number > 1 and name.lower() in given):
+            number += 1
+            name = f"{clean}{number}"
+        used.add(name.lower())
+        result.append(name)
     return result
 
 
-def inferred_types(df: DataFrame, sample: int | None = None) -> DataFrame:
-    """One row of type names per column, from one aggregate.
+def _number_text(c: str) -> Column:
+    return F.replace(F.col(c), F.lit(","), F.lit(""))
+
+
+def inferred_types(df: DataFrame) -> DataFrame:
+    """One row of type names per column, from one aggregate over all rows.
 
     Digits once ``-,.`` are removed make a number; one point in any value makes it REAL,
-    more than one makes it text again, as does anything else.
+    more than one makes it text again, as does anything else.  A column is a number only if
+    every value can be read as one, so dates and phone numbers stay text.
     """
-    rows = df if sample is None else df.limit(sample)
 
     def kind(c: str) -> Column:
         bare = F.regexp_replace(F.col(c), NUMBER_MARKS, "")
         points = F.length(F.col(c)) - F.length(F.replace(F.col(c), F.lit("."), F.lit("")))
         numeric = F.bool_and(F.coalesce(bare.rlike(DIGITS) & (points <= 1), F.lit(False)))
-        return F.when(numeric & (F.max(points) == 0), "INTEGER").when(numeric, "REAL").otherwise("VARCHAR").alias(c)
+        whole = F.bool_and(_number_text(c).try_cast("bigint").isNotNull())
+        real = F.bool_and(_number_text(c).try_cast("double").isNotNull())
+        return F.when(numeric & (F.max(points) == 0) & whole, "INTEGER").when(numeric & (F.max(points) > 0) & real, "REAL").otherwise("VARCHAR").alias(c)
 
-    return rows.agg(*[kind(c) for c in df.columns])
+    return df.agg(*[kind(c) for c in df.columns])
 
 
-def typed(df: DataFrame, sample: int | None = None, overrides: Mapping[str, str] | None = None) -> DataFrame:
-    """Cast text columns to their inferred types; values that do not fit become NULL."""
-    found = inferred_types(df, sample).first().asDict()
+def typed(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
+    """Cast text columns to their inferred types; a value that does not fit an override is an error."""
+    found = inferred_types(df).first().asDict()
     found.update(overrides or {})
     casts = {"INTEGER": "bigint", "REAL": "double", "VARCHAR": "string"}
     return df.select(
         *[
-            (F.col(c) if casts[found[c]] == "string" else F.replace(F.col(c), F.lit(","), F.lit("")).try_cast(casts[found[c]])).alias(c)
+            (F.col(c) if casts[found[c]] == "string" else _number_text(c).cast(casts[found[c]])).alias(c)
             for c in df.columns
         ]
     )
 
 
-def read_delimited(spark: SparkSession, path: str, header: bool = True, sep: str = ",") -> DataFrame:
-    """All columns as text, '' kept apart from NULL, header names sanitised."""
-    df = spark.read.csv(path, header=header, sep=sep, quote='"', escape='"', nullValue="\u0000", emptyValue="", multiLine=False)
+def read_delimited(spark: SparkSession, path: str, header: bool = True, sep: str = ",", multi_line: bool = True) -> DataFrame:
+    """All columns as text, '' kept apart from NULL, header names sanitised.
+
+    Files without quoted line ends may be read with ``multi_line`` off, which lets Spark split them.
+    """
+    df = spark.read.csv(path, header=header, sep=sep, quote='"', escape='"', nullValue="\u0000", emptyValue="", multiLine=multi_line)
     names = sanitise(df.columns) if header else [f"v{i}" for i in range(len(df.columns))]
     return df.toDF(*names)
 
@@ -65,15 +78,15 @@ def read_delimited(spark: SparkSession, path: str, header: bool = True, sep: str
 def read_spec_file(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, list[str]]]:
     """A file with four leading rows (names, types, number formats, roles) and data below.
 
-    Only those four rows reach the driver.  Formats such as ``%08d`` pad digit-only
+    Only those four rows, known by their place in the file, reach the driver.  Formats such as ``%08d`` pad digit-only
     values; the second result maps each role (UNIQUE, EXACT, FUZZY) to its columns.
     """
-    raw = spark.read.csv(path, header=False, nullValue="\u0000", emptyValue="")
-    head = raw.limit(SPEC_ROWS).collect()
+    # a multi-line file is read by one task, so ids count its rows
+    raw = spark.read.csv(path, header=False, quote='"', escape='"', nullValue="\u0000", emptyValue="", multiLine=True)
+    numbered = raw.withColumn("_at", F.monotonically_increasing_id())
+    head = numbered.where(F.col("_at") < SPEC_ROWS).orderBy("_at").drop("_at").collect()
     names, types, formats, roles = [[v or "" for v in row] for row in head]
     names = sanitise(names)
-    whole = F.concat_ws("\x1f", *[F.coalesce(F.col(c), F.lit("")) for c in raw.columns])
-    is_head = whole.isin(["\x1f".join(v or "" for v in row) for row in head])
     columns = []
     for column, name, kind, pattern in zip(raw.columns, names, types, formats):
         value = F.col(column)
@@ -92,7 +105,7 @@ def read_spec_file(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str,
         for known in by_role:
             if role and role.upper()[0] == known[0]:
                 by_role[known].append(name)
-    return raw.where(~is_head).select(*columns), by_role
+    return numbered.where(F.col("_at") >= SPEC_ROWS).select(*columns), by_role
 
 
 def read_foreign_gazetteer(spark: SparkSession, path: str) -> DataFrame:
@@ -115,16 +128,16 @@ def read_national_gazetteer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def cluster_members(lines: DataFrame, column: str = "value") -> DataFrame:
-    """(member, cluster_id, n, members) from lines ``id###n###id,id,...``."""
+    """(member, cluster_id, n) from lines ``id###n###id,id,...``; the line's own id is a member too."""
     piece = F.split(column, "###")
     return (
         lines.select(piece.alias("p"))
         .where(F.size("p") >= 3)
         .select(
             F.col("p")[0].alias("cluster_id"), F.trim(F.col("p")[1]).try_cast("bigint").alias("n"),
-            F.filter(F.split(F.col("p")[2], ","), lambda m: m != "").alias("members"),
+            F.array_union(F.array(F.col("p")[0]), F.filter(F.split(F.col("p")[2], ","), lambda m: m != "")).alias("members"),
         )
-        .select(F.explode("members").alias("member"), "cluster_id", "n", "members")
+        .select(F.explode("members").alias("member"), "cluster_id", "n")
     )
 
 
@@ -133,6 +146,10 @@ def read_clusters(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_clusters(facts: DataFrame, key: str, clusters: DataFrame) -> DataFrame:
-    """Cluster ids onto facts by member; a member listed twice counts once."""
-    single = clusters.groupBy(F.col("member").alias("_m")).agg(F.min("cluster_id").alias("cluster_id"))
-    return facts.join(single, F.col(key).cast("string") == F.col("_m"), "left").drop("_m")
+    """Cluster id and stated size onto facts by member; a member listed twice takes the smallest cluster id.
+
+    The members of a cluster stay a table of their own (``clusters``), as a list on every fact
+    would grow with the square of the cluster.
+    """
+    single = clusters.groupBy(F.col("member").alias("_m")).agg(F.min(F.struct("cluster_id", "n")).alias("_c"))
+    return facts.join(single.select("_m", "_c.*"), F.col(key).cast("string") == F.col("_m"), "left").drop("_m")

@@ -201,7 +201,7 @@ def classes(grants: DataFrame) -> DataFrame:
     return _position(grants, F.filter(codes, lambda c: c.isNotNull())).select(
         "patent", F.when(F.col("seq") == 0, 1).otherwise(0).alias("prim"),
         F.replace(F.substring(code, 1, 3), F.lit(" "), F.lit("")).alias("class"),
-        F.replace(F.substring(code, 4, 1000), F.lit(" "), F.lit("")).alias("subclass"),
+        F.replace(F.substr(code, F.lit(4)), F.lit(" "), F.lit("")).alias("subclass"),
         class_label(code).alias("label"), F.col("seq").alias("clsseq"),
     )
 

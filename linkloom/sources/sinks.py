@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.functions.text import fold_ascii
+from linkloom.operators.upsert import first_per_key
 
-TEXT_TYPE = "VARCHAR(64)"
+TEXT_TYPE = "TEXT"
 
 
 def folded(df: DataFrame) -> DataFrame:
@@ -24,11 +25,12 @@ def folded(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    folded(df).write.mode(mode).csv(path, header=True, emptyValue="")
+    """Quotes are doubled and empty texts quoted, as ``read_delimited`` expects them."""
+    folded(df).write.mode(mode).csv(path, header=True, quote='"', escape='"')
 
 
 def column_types(df: DataFrame, overrides: Mapping[str, str] | None = None) -> dict[str, str]:
-    """SQL column types: integers, reals and text of 64 unless overridden."""
+    """SQL column types: integers, reals and text of any length unless overridden."""
     result = {}
     for f in df.schema:
         if isinstance(f.dataType, T.IntegralType):
@@ -42,10 +44,10 @@ def column_types(df: DataFrame, overrides: Mapping[str, str] | None = None) -> d
 
 def write_jdbc(
     df: DataFrame, url: str, table: str, keys: Sequence[str] = (), overrides: Mapping[str, str] | None = None,
-    properties: Mapping[str, str] | None = None, mode: str = "append",
+    properties: Mapping[str, str] | None = None, mode: str = "append", order: Sequence[str] = (),
 ) -> None:
-    """Write to a relational table; one row per key goes out, as an ignoring insert would keep."""
-    rows = df.dropDuplicates(list(keys)) if keys else df
+    """Write to a relational table; the first row per key by ``order``, then by the other columns, goes out."""
+    rows = first_per_key(df, list(keys), list(order)) if keys else df
     types = ", ".join(f"{n} {t}" for n, t in column_types(df, overrides).items())
     rows.write.option("createTableColumnTypes", types).jdbc(url, table, mode=mode, properties=dict(properties or {}))
 

@@ -3,11 +3,12 @@
 import itertools
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.functions.similarity import python_jarow
-from linkloom.operators import aggregates, similarity_join, skew, upsert
+from linkloom.bindings import duck
+from linkloom.operators import aggregates, similarity_join, skew, tables, upsert
 from linkloom.operators.components import connected_components
 from linkloom.operators.ranking import global_index, index_within
 from linkloom.operators.update_join import update_join
@@ -41,11 +42,13 @@ def test_similar_pairs_equals_all_pairs(spark, monkeypatch, threshold, hot_rows,
     right = df.select("b", F.col("id").alias("j"), F.col("t").alias("y"))
     rows = similarity_join.similar_pairs(left, right, ["b"], "x", "y", threshold, F.col("i") < F.col("j"), one_table=True).collect()
     got = {(r.i, r.j): r.similarity for r in rows}
-    want = {
-        (i, j): python_jarow(words[i], words[j])
-        for i, j in itertools.combinations(range(len(words)), 2) if words[i][:1] == words[j][:1]
-    }
-    want = {k: v for k, v in want.items() if v > threshold}
+    # the comparator's SQL form is the second implementation
+    base = duckdb.connect()
+    base.execute("CREATE TABLE w(i INTEGER, t VARCHAR)")
+    base.executemany("INSERT INTO w VALUES (?, ?)", list(enumerate(words)))
+    scored = base.execute(f"""WITH src AS (SELECT a.t AS a, b.t AS b FROM w a JOIN w b ON a.i < b.i AND left(a.t, 1) = left(b.t, 1)), {duck.jarow_ctes('jw', 'src')}
+        SELECT x.i, y.i, j FROM jw JOIN w x ON x.t = jw.a JOIN w y ON y.t = jw.b WHERE j > {threshold}""").fetchall()
+    want = {(i, j): value for i, j, value in scored}
     assert len(rows) == len(got)
     assert got == pytest.approx(want)
 
@@ -80,13 +83,30 @@ def test_hot_key_is_numbered_across_ranges(spark):
     assert [r.pos for r in sorted(everything, key=lambda r: (r.v, r.i))] == list(range(1, 401))
 
 
-def test_concat_values_keeps_everything(spark):
+def test_values_keep_one_shape_at_every_size(spark):
     df = spark.createDataFrame([("a", i % 7) for i in range(300)] + [("b", 1)], "k string, v int")
-    rows = aggregates.concat_values(df, ["k"], "v", "s", part_size=50).collect()
-    assert all(r.n_values <= 150 for r in rows) and len([r for r in rows if r.k == "a"]) > 1
-    values = sorted(int(x) for r in rows if r.k == "a" for x in r.s.split(","))
-    assert values == sorted(i % 7 for i in range(300))
-    assert [(r.part, r.s) for r in rows if r.k == "b"] == [(0, "1")]
+    rows = sorted(tuple(r) for r in aggregates.ordered_values(df, ["k"], "v", "v").collect())
+    assert rows == [("a", i, v) for i, v in enumerate(sorted(i % 7 for i in range(300)))] + [("b", 0, 1)]
+    once = sorted(tuple(r) for r in aggregates.unique_values(df, ["k"], "v", "u").collect())
+    assert once == [("a", i, str(i)) for i in range(7)] + [("b", 0, "")]
+    joined = {r.k: (r.s, r.n_values) for r in aggregates.joined_values(df, ["k"], "v", "s").collect()}
+    assert joined["b"] == ("1", 1) and joined["a"][1] == 300
+
+
+def test_key_hot_on_one_side_copies_the_other_only(spark):
+    left = spark.range(2_000).select(F.lit("h").alias("k"), F.col("id").alias("a"))
+    right = spark.createDataFrame([("h", 1), ("c", 2)], "k string, b long")
+    sides = skew.chunked_sides(left, right, ["k"], F.col("a"), F.col("b"), hot_rows=100)
+    assert [s.count() for s in sides] == [2_000, 20 + 1]
+    for hot_rows in (100, 10_000):
+        joined = skew.chunked_equi_join(left, right, ["k"], F.lit(True), F.col("a"), F.col("b"), hot_rows)
+        assert sorted(r.a for r in joined.collect()) == list(range(2_000))
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    df = spark.range(500).select("id", F.col("id").cast("string").alias("t"))
+    picks = [sorted(r.id for r in tables.sample_rows(df.repartition(n), ["id"], ["id"], 20, seed=3).collect()) for n in (1, 7)]
+    assert picks[0] == picks[1] and len(picks[0]) == 20
 
 
 def test_upsert_is_idempotent(spark):

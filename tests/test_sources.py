@@ -37,9 +37,9 @@ def test_claims(spark, tmp_path):
 
 
 def test_spec_headed_file(spark, tmp_path):
-    (tmp_path / "gold.csv").write_text("Unique ID,Patent,Last\nINTEGER,VARCHAR,VARCHAR\n,%08d,\nUNIQUE,EXACT,FUZZY\n1,7123456,HUNT\n2,D123,LEE\n")
+    (tmp_path / "gold.csv").write_text("Unique ID,Patent,Last\nINTEGER,VARCHAR,VARCHAR\n,%08d,\nUNIQUE,EXACT,FUZZY\n1,7123456,HUNT\n2,D123,LEE\nUNIQUE,EXACT,FUZZY\n")
     rows, roles = delimited.read_spec_file(spark, str(tmp_path / "gold.csv"))
-    assert [tuple(r) for r in rows.collect()] == [(1, "07123456", "HUNT"), (2, "D123", "LEE")]
+    assert [tuple(r) for r in rows.collect()] == [(1, "07123456", "HUNT"), (2, "D123", "LEE"), (None, "EXACT", "FUZZY")]
     assert roles == {"UNIQUE": ["UniqueID"], "EXACT": ["Patent"], "FUZZY": ["Last"]}
 
 
@@ -48,6 +48,66 @@ def test_type_inference(spark, tmp_path):
     df = delimited.typed(delimited.read_delimited(spark, str(tmp_path / "t.csv")), overrides={"c": "VARCHAR"})
     assert [f.dataType.simpleString() for f in df.schema] == ["bigint", "double", "string", "bigint"]
     assert len(set(df.columns)) == 4
+    assert delimited.sanitise(["a", "a", "a2"]) == ["a", "a3", "a2"]
+
+
+def test_values_that_do_not_fit_stay_text(spark, tmp_path):
+    rows = [("2001-01-10", "555-1234", "1", 'say "hi", ok'), ("1-2", "1,000", "2", "two\nlines"), ("3", "7", "", "x")]
+    sinks.write_csv(spark.createDataFrame(rows, "d string, p string, n string, t string").coalesce(1), str(tmp_path / "v"))
+    df = delimited.typed(delimited.read_delimited(spark, str(tmp_path / "v")))
+    assert sorted(tuple(r) for r in df.collect()) == sorted(rows)
+
+
+def test_streams_over_two_runs(spark, tmp_path):
+    import datetime
+
+    from linkloom.streaming import jobs
+
+    day = datetime.datetime(2020, 1, 1)
+    schema = "user_id long, event_type string, ts timestamp"
+
+    def add(rows):
+        spark.createDataFrame([(u, t, day + datetime.timedelta(hours=h)) for u, t, h in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        stream = jobs.table_stream(spark, str(tmp_path / "in"), "*.parquet", schema)
+        counts = jobs.windowed_counts(stream, ["event_type"], "ts", "1 day", "1 day")
+        jobs.write_upserts(counts, str(tmp_path / "c"), str(tmp_path / "cs"))
+        first = jobs.first_seen(stream, ["user_id"], "ts")
+        jobs.write_upserts(first, str(tmp_path / "f"), str(tmp_path / "fs"))
+        jobs.write_pairs(stream, "event_type", "user_id", "ts", "1 day", "1 day", str(tmp_path / "p"), str(tmp_path / "ps"), hot_rows=2)
+        return (
+            sorted((r.event_type, r.n) for r in jobs.read_upserts(spark, str(tmp_path / "c"), counts.schema, ["window_start", "event_type"]).collect()),
+            sorted((r.user_id, r.event_type) for r in jobs.read_upserts(spark, str(tmp_path / "f"), first.schema, ["user_id"]).collect()),
+            sorted((r.src, r.dst, r.weight) for r in jobs.read_pairs(spark, str(tmp_path / "p")).collect()),
+        )
+
+    add([(1, "x", 5), (2, "x", 6), (2, "y", 7)])
+    assert run() == ([("x", 2), ("y", 1)], [(1, "x"), (2, "x")], [(1, 2, 1)])
+    add([(1, "y", 3), (3, "y", 9), (2, "y", 9)])
+    assert run() == ([("x", 2), ("y", 4)], [(1, "y"), (2, "x"), (3, "y")], [(1, 2, 2), (1, 3, 1), (2, 3, 1)])
+
+
+def test_scratch_folder_must_be_shared():
+    import pytest
+
+    from linkloom import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Cluster:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Cluster())
 
 
 def test_gazetteers(spark, tmp_path):
