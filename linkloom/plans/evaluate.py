@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.similarity import jarow
 from linkloom.operators.aggregates import modal_value
 from linkloom.operators.lookup import differs
+from linkloom.session import cut_lineage
 
 MATCH_SCORE = 0.90
 
@@ -45,8 +46,8 @@ def best_matches(matches: DataFrame, exact: Sequence[str]) -> DataFrame:
     if "score" not in matches.columns:
         return matches
     keys = ["truth_id", *exact]
-    top = matches.groupBy(*keys).agg(F.max("score").alias("_top"))
-    return matches.join(top, keys).where(F.col("score") == F.col("_top")).drop("_top")
+    top = F.max("score").over(Window.partitionBy(*keys))
+    return matches.withColumn("_top", top).where(F.col("score") == F.col("_top")).drop("_top")
 
 
 def expand_clusters(base: DataFrame, best: DataFrame, exact: Sequence[str], cluster: str) -> DataFrame:
@@ -102,8 +103,9 @@ def verify(
     year: str | None = None, last_year: str | None = None,
 ) -> DataFrame:
     """The flagged detail table of a whole verification run."""
-    best = best_matches(match_truth(base, truth, exact, fuzzy, cluster, truth_id), exact)
-    return mark_errors(expand_clusters(base, best, exact, cluster), year, last_year)
+    # both are read several times below
+    best = cut_lineage(best_matches(match_truth(base, truth, exact, fuzzy, cluster, truth_id), exact))
+    return mark_errors(cut_lineage(expand_clusters(base, best, exact, cluster)), year, last_year)
 
 
 def gold_sample(facts: DataFrame, wanted: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ measure truly needs pairs.  Degree, components and neighbourhoods are computed o
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,21 +125,27 @@ def nth_component(edges: DataFrame, labelled: DataFrame, place: int) -> DataFram
     return edges.join(inside, ["win", "src"], "left_semi").select(*edges.columns)
 
 
-def _spread(edges: DataFrame) -> DataFrame:
-    """Directed copies partitioned by source once, reused by every round."""
-    return cut_lineage(both_ways(edges)).repartition("win", "src").persist()
+MAX_BROADCAST_WINDOWS = 10_000
+
+
+def _window_hint(per_window: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Broadcast tables of one row per window where a count shows that the windows are few."""
+    few = per_window.count() <= MAX_BROADCAST_WINDOWS
+    return F.broadcast if few else (lambda df: df)
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 10, damping: float = DAMPING) -> DataFrame:
     """(win, person, pagerank) after a fixed number of rounds on the simple graph."""
-    links = _spread(edges)
+    # not pinned to a partitioning, so that a hub's links can be split between tasks
+    links = cut_lineage(both_ways(edges))
     out = links.groupBy("win", "src").agg(F.count(F.lit(1)).alias("out"))
     nodes = cut_lineage(
         vertices.select("win", "person").distinct()
         .join(out.withColumnRenamed("src", "person"), ["win", "person"], "left")
     )
-    totals = nodes.groupBy("win").agg(F.count(F.lit(1)).alias("n"))
-    ranks = nodes.join(totals, "win").withColumn("rank", 1 / F.col("n"))
+    totals = cut_lineage(nodes.groupBy("win").agg(F.count(F.lit(1)).alias("n")))
+    hint = _window_hint(totals)
+    ranks = nodes.join(hint(totals), "win").withColumn("rank", 1 / F.col("n"))
     for _ in range(rounds):
         inflow = (
             links.join(
@@ -152,7 +158,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 10, damping: f
         # what sits on unconnected persons is dealt out evenly
         loose = ranks.groupBy("win").agg(F.sum(F.when(F.col("out").isNull(), F.col("rank")).otherwise(0.0)).alias("loose"))
         ranks = (
-            ranks.drop("rank").join(inflow, ["win", "person"], "left").join(loose, "win")
+            ranks.drop("rank").join(inflow, ["win", "person"], "left").join(hint(loose), "win")
             .withColumn(
                 "rank",
                 (1 - damping) / F.col("n")
@@ -162,7 +168,6 @@ def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 10, damping: f
         )
         # a round reads its predecessor several times, so each is written once
         ranks = cut_lineage(ranks)
-    links.unpersist()  # every round is written, nothing reads the links any more
     return ranks.select("win", "person", F.col("rank").alias("pagerank"))
 
 
@@ -172,8 +177,9 @@ def eigenvector(vertices: DataFrame, edges: DataFrame, rounds: int = 10) -> Data
     The identity leaves the eigenvectors as they are and keeps two-sided graphs from
     swinging back and forth.
     """
-    links = _spread(edges)
+    links = cut_lineage(both_ways(edges))
     scores = cut_lineage(vertices.select("win", "person").distinct()).withColumn("score", F.lit(1.0))
+    hint = _window_hint(scores.select("win").distinct())
     for _ in range(rounds):
         inflow = (
             links.join(scores.withColumnRenamed("person", "src"), ["win", "src"])
@@ -185,8 +191,7 @@ def eigenvector(vertices: DataFrame, edges: DataFrame, rounds: int = 10) -> Data
         )
         raw = cut_lineage(raw)
         top = raw.groupBy("win").agg(F.max("score").alias("top"))
-        scores = raw.join(top, "win").select("win", "person", (F.col("score") / F.col("top")).alias("score"))
-    links.unpersist()
+        scores = raw.join(hint(top), "win").select("win", "person", (F.col("score") / F.col("top")).alias("score"))
     return scores.withColumnRenamed("score", "eigenvector")
 
 
@@ -304,7 +309,7 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame
     every node starts a search and the result is exact.  The loop runs once per level
     of the deepest search, not per source.
     """
-    links = _spread(edges)
+    links = cut_lineage(both_ways(edges))
     nodes = cut_lineage(links.select("win", F.col("src").alias("person")).distinct())
     start = (nodes if sources is None else sources.select("win", "person").distinct()).select(
         "win", F.col("person").alias("source"), "person"
@@ -345,7 +350,6 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame
         )
         if level > 1:
             total = total.unionByName(gain)
-    links.unpersist()
     through = total.groupBy("win", "person").agg((F.sum("gain") / 2).alias("betweenness"))
     return nodes.join(through, ["win", "person"], "left").select(
         "win", "person", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness")
