@@ -76,7 +76,8 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
         .groupBy("_digest").agg(F.collect_list(F.struct("_no", "_leaf", "_form", "_texts")).alias("_want"))
     )
     sources = texts.select("_digest", F.split("_text", "\n").alias("_all")).where(F.col("_all").isNotNull())
-    found = sources.join(wanted, "_digest").select("_all", F.explode("_want").alias("_w"))
+    # sort-merge at every size: the drop lists and wanted lines grow with the input, and hot texts are split
+    found = sources.join(wanted.hint("merge"), "_digest").select("_all", F.explode("_want").alias("_w"))
     open_forms = written(
         found.select("_w._leaf", "_w._form", "_w._texts", _tokens(F.get("_all", F.col("_w._no"))).alias("_tok"))
         .groupBy("_leaf", "_form").agg(F.max("_texts").alias("_texts"), F.max("_tok").alias("_tok")), "open-forms")
@@ -108,7 +109,7 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
         .groupBy(F.col("_digest").alias("_llm_digest")).agg(F.collect_set("_no").alias("_llm_drop"))
     )
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*own, digest.alias("_llm_digest")).join(dropped, "_llm_digest", "left")
+    rows = docs.select(*own, digest.alias("_llm_digest")).join(dropped.hint("merge"), "_llm_digest", "left")
     rows = compute_once(rows, "_llm_all", F.split(F.col(text_col), "\n"))
     rows = compute_once(rows, "_llm_gone", F.when(F.col("_llm_drop").isNotNull(), F.sort_array("_llm_drop")))
     left = F.filter("_llm_all", lambda x, i: ~F.array_contains("_llm_gone", i))
