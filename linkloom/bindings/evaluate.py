@@ -31,7 +31,7 @@ def _base(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _truth(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'")
+    orders = table(spark, d, "orders")
     return orders.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_custkey").alias("uid"), F.col("o_orderkey").alias("doc"), F.col("c_name").alias("name")
     )
@@ -77,7 +77,7 @@ _BASE = """
 bas AS MATERIALIZED (SELECT l_orderkey AS doc, l_linenumber AS line, CASE l_returnflag WHEN 'A' THEN replace(c_name, '0', 'O') WHEN 'R' THEN c_name || 'x' ELSE c_name END AS name,
    CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN -l_suppkey - 1 ELSE c_custkey END AS cluster, year(o_orderdate)::INTEGER AS year
    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
-tru AS MATERIALIZED (SELECT o_custkey AS uid, o_orderkey AS doc, c_name AS name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT')"""
+tru AS MATERIALIZED (SELECT o_custkey AS uid, o_orderkey AS doc, c_name AS name FROM orders JOIN customer ON o_custkey = c_custkey)"""
 _MATCH = f"""
 src AS (SELECT b.name AS a, t.name AS b FROM bas b JOIN tru t ON b.doc = t.doc), {duck.jarow_ctes('jw', 'src')},
 mat AS MATERIALIZED (SELECT b.*, b.cluster AS cluster_id, t.uid AS truth_id, j AS score FROM bas b JOIN tru t ON b.doc = t.doc JOIN jw ON jw.a = b.name AND jw.b = t.name WHERE j > 0.90),
