@@ -228,6 +228,9 @@ def sql_functions(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql("""
         SELECT page_id, segment_of(url, 0) AS piece, separator_count(html) AS seps,
                strip_leading_zero(concat('US0', page_id)) AS number, mismatch(url, lower(url)) AS shouted,
+               prefix_of(url, 7) AS scheme, suffix_of(url, 4) AS ending, title_case(url) AS title, number_type(cast(page_id as string)) AS kind,
+               class_label(concat('428', lpad(page_id, 9, '0'))) AS label, citation_date(concat('2010', lpad(1 + page_id % 12, 2, '0'), '00')) AS day,
+               length(valid_text(cast(html as binary))) AS letters,
                (SELECT round(sum(jarow(upper(p_name), p_type)), 6) FROM sql_names) AS score
         FROM sql_pages""")
 
@@ -285,5 +288,8 @@ ORACLES = {
     "sql_functions": f"""WITH src AS (SELECT DISTINCT upper(p_name) AS a, p_type AS b FROM part), {jarow_ctes('jw', 'src')}
         SELECT page_id, regexp_split_to_array(url, ' *?[,|] *')[1] AS piece, len(regexp_extract_all(html, '[,|]'))::INTEGER AS seps,
         'US' || page_id AS number, CASE WHEN url <> lower(url) THEN 1 END AS shouted,
+        left(url, 7) AS scheme, right(url, 4) AS ending, upper(url[1]) || lower(url[2:]) AS title, 'U' AS kind,
+        '428/' || substr(lpad(page_id::VARCHAR, 9, '0'), 1, 3) || '.' || substr(lpad(page_id::VARCHAR, 9, '0'), 4) AS label,
+        make_date(2010, (1 + page_id % 12)::INTEGER, 1) AS day, length(html)::INTEGER AS letters,
         (SELECT round(sum(j), 6) FROM jw) AS score FROM pages""",
 }

@@ -17,6 +17,16 @@ FUNCTIONS = {
     "separator_count": ("x STRING", "INT", "regexp_count(x, '[,|]')"),
     "remove_spaces": ("x STRING", "STRING", "replace(x, ' ', '')"),
     "strip_leading_zero": ("x STRING", "STRING", "coalesce(regexp_replace(x, '^([A-Z]*)0', '$1'), '')"),
+    "prefix_of": ("x STRING, n INT", "STRING", "left(x, n)"),
+    "suffix_of": ("x STRING, n INT", "STRING", "right(x, n)"),
+    "title_case": ("x STRING", "STRING", "initcap(x)"),
+    "valid_text": ("x BINARY", "STRING", "coalesce(try_validate_utf8(CAST(x AS STRING)), '')"),
+    "number_type": ("x STRING", "STRING", "IF(left(x, 1) RLIKE '[0-9]', 'U', left(x, 1))"),
+    "class_label": (
+        "x STRING", "STRING",
+        "concat(left(x, 3), '/', substring(x, 4, 3), IF(substring(x, 7) <> '', concat('.', substring(x, 7)), ''))",
+    ),
+    "citation_date": ("x STRING", "DATE", "CAST(try_to_timestamp(nullif(regexp_replace(x, '00$', '01'), ''), 'yyyyMMdd') AS DATE)"),
     "mismatch": ("a STRING, b STRING", "INT", "CASE WHEN a <> b THEN 1 END"),
 }
 

@@ -19,10 +19,13 @@ FALLBACK_LAYOUT = "v42"
 
 
 def list_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """Paths and sizes of the files whose name contains a match of ``pattern`` in any case."""
+    """Paths and sizes of the files whose name contains a match of ``pattern`` in any case; none is an error."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select("path", name.alias("file_name"), "length").where(name.rlike(f"(?i){pattern}"))
+    found = files.select("path", name.alias("file_name"), "length").where(name.rlike(f"(?i){pattern}"))
+    if found.isEmpty():
+        raise FileNotFoundError(f"no file below {root} matches {pattern}")
+    return found
 
 
 def file_date(name: Column) -> Column:
