@@ -8,7 +8,7 @@ error.  Candidates are confirmed on the full shingle sets.
 
 A key's classes are never paired all with all.  Each class meets leaders of its keys first; the
 confirmed links merge most of a key's classes into one component, and only classes of different
-components are compared further, in cells of bounded size.
+components are compared further: by longer sketches, in cells of bounded size that put out near pairs only.
 """
 
 from __future__ import annotations
@@ -28,12 +28,18 @@ from linkloom.operators.components import connected_components
 CHUNK = 7
 N_CHUNKS = 14
 N_HASHES = CHUNK * N_CHUNKS
-#: Signatures of similarity 0.8 differ in 0.2 of the components on average; five standard deviations more.
-LOOSE = 0.2 + 5 * (0.2 * 0.8 / N_HASHES) ** 0.5
+#: Sketches for the last comparisons: 2 bits of 1,024 hashes.  At similarity 0.8 three quarters of 0.2 differ on
+#: average; pairs up to five standard deviations above that are confirmed on the full sets.
+N_SKETCH = 1024
+LOOSE = 0.15 + 5 * (0.15 * 0.85 / N_SKETCH) ** 0.5
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _RNG = np.random.default_rng(20_240_501)
 _MULTIPLY = _RNG.integers(0, 1 << 32, N_HASHES, dtype=np.uint32) | np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, N_HASHES, dtype=np.uint32)
+_SKETCH_MULTIPLY = _RNG.integers(0, 1 << 32, N_SKETCH, dtype=np.uint32) | np.uint32(1)
+_SKETCH_ADD = _RNG.integers(0, 1 << 32, N_SKETCH, dtype=np.uint32)
+#: How many of a byte's four 2-bit fields are not zero.
+_FIELDS = np.array([sum(b >> shift & 3 != 0 for shift in (0, 2, 4, 6)) for b in range(256)], np.uint8)
 _CELL = 1000
 
 
@@ -68,12 +74,29 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
-def _signature(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(N_HASHES, 0xFFFFFFFF, np.uint32)
+def _least(shingles: np.ndarray, multiply: np.ndarray, add: np.ndarray) -> np.ndarray:
+    least = np.full(len(multiply), 0xFFFFFFFF, np.uint32)
     high = (shingles >> np.uint64(32)).astype(np.uint32)
-    for lo in range(0, len(high), 1024):
-        np.minimum(least, (high[lo : lo + 1024, None] * _MULTIPLY + _ADD).min(0), out=least)
-    return least.astype("<u2")
+    step = max(1, 100_000 // len(multiply))
+    for lo in range(0, len(high), step):
+        np.minimum(least, (high[lo : lo + step, None] * multiply + add).min(0), out=least)
+    return least
+
+
+def _signature(shingles: np.ndarray) -> np.ndarray:
+    return _least(shingles, _MULTIPLY, _ADD).astype("<u2")
+
+
+def _sketch(shingles: np.ndarray) -> bytes:
+    fields = (_least(shingles, _SKETCH_MULTIPLY, _SKETCH_ADD) * np.uint32(0x9E3779B1)) >> np.uint32(30)
+    return (fields.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint32)).sum(1).astype(np.uint8).tobytes()
+
+
+def _sketched(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())],
+                                         ["rep", "n_shingles", "sketch"])
 
 
 def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -89,18 +112,28 @@ def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
             ["doc_id", "n_shingles", "set_id", "signature"])
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(signatures: np.ndarray) -> np.ndarray:
+    """The keys of each signature, by chunk and component left out."""
     place = np.arange(N_HASHES, dtype=np.uint64).reshape(N_CHUNKS, CHUNK)
+    terms = _mixed(signatures.reshape(-1, N_CHUNKS, CHUNK).astype(np.uint64) + (place << np.uint64(16)) + _A)
+    # a chunk's key without component p: the sum of the other terms, marked with chunk and p
+    return _mixed((terms.sum(-1, keepdims=True) - terms) ^ (place * _B)).reshape(-1, N_HASHES).view(np.int64)
+
+
+def _first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Number of the first key that a signature has in common with each of the others."""
+    differ = (others != one).reshape(-1, N_CHUNKS, CHUNK)
+    chunk = (differ.sum(-1) <= 1).argmax(1)
+    return chunk * CHUNK + differ[np.arange(len(differ)), chunk].argmax(1)
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for lo in range(0, whole.num_rows, 2000):
             batch = whole.slice(lo, 2000)
-            rows = batch.num_rows
-            components = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(rows, N_CHUNKS, CHUNK)
-            terms = _mixed(components.astype(np.uint64) + (place << np.uint64(16)) + _A)
-            # a chunk's key without component p: the sum of the other terms, marked with chunk and p
-            keys = _mixed((terms.sum(-1, keepdims=True) - terms) ^ (place * _B))
+            keys = _keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, N_HASHES))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), N_HASHES))], ["key", "rep"])
+                [pa.array(keys.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), N_HASHES))], ["key", "rep"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -121,17 +154,21 @@ def _linked(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iter
 
 
 def _close(tables: pa.Table) -> pa.Table:
-    """Pairs of different components in a cell whose signatures are near; needs one table only."""
-    signatures = np.frombuffer(b"".join(tables.column("signature").to_pylist()), "<u2").reshape(-1, N_HASHES)
+    """Pairs of different components in a cell whose sketches are near, each in the first key they share only."""
+    sketches = np.frombuffer(b"".join(tables.column("sketch").to_pylist()), np.uint8).reshape(-1, N_SKETCH // 4)
     ids, component, side = (tables.column(c).to_numpy() for c in ("rep", "component", "side"))
     sizes = tables.column("n_shingles").to_numpy()
+    signatures = np.frombuffer(b"".join(tables.column("signature").to_pylist()), "<u2").reshape(-1, N_HASHES)
+    here = int(np.flatnonzero(_keys(signatures[:1])[0] == tables.column("key")[0].as_py())[0])
     found_a, found_b = [], []
     for i in range(len(ids)):
         # a diagonal cell holds one side only; others compare side 0 with side 1
         other = np.flatnonzero((component != component[i]) & ((side == 2) & (ids > ids[i]) if side[i] == 2 else (side == 1) & (side[i] == 0)))
         other = other[5 * np.minimum(sizes[other], sizes[i]) >= 4 * np.maximum(sizes[other], sizes[i])] if len(other) else other
         if len(other):
-            other = other[(signatures[other] != signatures[i]).mean(1) <= LOOSE]
+            other = other[_FIELDS[sketches[other] ^ sketches[i]].sum(1) <= LOOSE * N_SKETCH]
+        if len(other):
+            other = other[_first_shared(signatures[i], signatures[other]) == here]
             found_a += [min(ids[i], x) for x in ids[other]]
             found_b += [max(ids[i], x) for x in ids[other]]
     return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
@@ -195,16 +232,18 @@ def near_duplicate_components(docs: DataFrame, words: int = 5, percent: int = 80
         mixed = labelled.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("_n"))
         residual = written(labelled.join(mixed.where("_lo != _hi").select("key", "_n"), "key"), f"residual-{step}")
 
-    # what is left: classes of one key in different components, compared by signature in cells
+    # what is left: classes of one key in different components, compared by longer sketches in cells
+    open_texts = texts.join(residual.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sketches = written(open_texts.mapInArrow(lambda it: _sketched(it, words), "rep long, n_shingles long, sketch binary"), "sketches")
     parts = F.ceil(F.col("_n") / _CELL).cast("int")
     own = F.pmod(F.xxhash64("rep"), parts).cast("int")
     cells = (
-        residual.join(classes.select("rep", "n_shingles", "signature"), "rep")
+        residual.join(sketches, "rep").join(classes.select("rep", "signature"), "rep")
         .withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "rep", "component", "n_shingles", "signature",
+        .select("key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "rep", "component", "n_shingles", "sketch", "signature",
                 F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1).alias("side"))
     )
-    near = cells.groupBy("key", "_i", "_j").applyInArrow(_close, "a long, b long").distinct()
+    near = cells.groupBy("key", "_i", "_j").applyInArrow(_close, "a long, b long")
     pairs = written(near.join(tested, ["a", "b"], "left_anti"), "pairs-last")
     links = links.unionByName(confirmed(pairs, "links-last"))
     component = connected_components(nodes, links, "rep", "a", "b")

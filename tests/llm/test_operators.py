@@ -366,17 +366,33 @@ def test_near_duplicates_equal_brute_force(spark, odd, none):
 
 
 def test_cells_compare_each_pair_once():
-    import numpy as np
     import pyarrow as pa
 
-    from linkloom.llm.near_duplicates import N_HASHES, _close
+    import numpy as np
+
+    from linkloom.llm.near_duplicates import CHUNK, N_HASHES, N_SKETCH, _close, _first_shared, _keys
 
-    same = np.zeros(N_HASHES, "<u2").tobytes()
-    table = pa.table({"rep": [1, 2, 3], "component": [1, 1, 3], "side": pa.array([2, 2, 2], pa.int32()), "n_shingles": [10, 10, 10], "signature": [same] * 3})
+    same, zeros = bytes(N_SKETCH // 4), np.zeros((1, N_HASHES), "<u2")
+    keys = _keys(zeros)[0]
+    assert len(set(keys.tolist())) == N_HASHES
+    table = pa.table({"rep": [1, 2, 3], "component": [1, 1, 3], "side": pa.array([2, 2, 2], pa.int32()), "n_shingles": [10, 10, 10], "sketch": [same] * 3, "signature": [zeros.tobytes()] * 3,
+                      "key": [int(keys[0])] * 3})
     assert sorted(zip(*_close(table).to_pydict().values())) == [(1, 3), (2, 3)]
+    later = table.set_column(table.schema.get_field_index("key"), "key", pa.array([int(keys[1])] * 3))
+    assert _close(later).num_rows == 0
     table = table.set_column(2, "side", pa.array([0, 1, 1], pa.int32()))
     assert sorted(zip(*_close(table).to_pydict().values())) == [(1, 3)]
 
+    rng = np.random.default_rng(4)
+    for errors in range(28):
+        one = rng.integers(0, 1 << 16, (1, N_HASHES)).astype("<u2")
+        other = one.copy()
+        other[0, rng.choice(N_HASHES, errors, replace=False)] += 1
+        shared = np.flatnonzero(_keys(one)[0] == _keys(other)[0])
+        # 27 differing components leave a chunk with one at most, so a key is shared
+        assert len(shared) and _first_shared(one[0], other)[0] == shared[0]
+        assert CHUNK * 14 == N_HASHES
+
 
 # ---- 7: decontamination
 
