@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkloom.bindings.base import table
 from linkloom.llm.chat import MAXIMAL_SQL
+from linkloom.llm.store import reachable
 from linkloom.session import scratch_path
 
 TOKENIZERS = os.environ.get("LINKLOOM_TOKENIZERS")
@@ -106,7 +107,18 @@ def maximal_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maximal_conversations(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _ready(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_BOUND: dict[str, Query] = {
     "op1_exact_repeats": exact_repeats,
     "op2_token_ids": token_ids,
     "op3_quality": quality,
@@ -119,4 +131,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": packing,
 }
 
+QUERIES: dict[str, Query] = {name: _ready(query) for name, query in _BOUND.items()}
+
 ORACLES: dict[str, str] = {"op4_warc": WARC_SQL, "op8_maximal_chats": MAXIMAL_SQL}

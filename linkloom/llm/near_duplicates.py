@@ -185,7 +185,7 @@ def near_duplicate_components(docs: DataFrame, words: int = 5, percent: int = 80
     a pair is missed with a chance of 6 in a million.  ``percent`` below 80 needs other constants.
 
     A null, empty or blank text has no shingles and is linked with nothing.  Rows without id take part in
-    no link; their component is null and they are kept.  Rows that repeat an id are one node.  An
+    no link; their component is null and they are kept.  Rows that repeat an id are one node and should repeat its text.  An
     empty table gives no rows; other columns are ignored.
     """
     if percent < 80:
