@@ -14,7 +14,7 @@ from linkloom.llm.decontamination import without_contamination
 from linkloom.llm.near_duplicates import near_duplicate_components
 from linkloom.llm.packing import pack_documents
 from linkloom.llm.quality import quality_verdicts
-from linkloom.llm.store import written
+from linkloom.llm.store import reachable, written
 from linkloom.llm.templates import drop_recurring_lines
 
 #: Columns of ``documents``; further ones are not carried on.
@@ -41,16 +41,19 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, five words to a shingle and similarity 0.8."""
+    reachable(spark)
     return _chosen(docs, near_duplicate_components(docs, words=5, percent=80))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    reachable(spark)
     return without_contamination(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the remaining documents in windows of 1,024."""
+    reachable(spark)
     return pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
