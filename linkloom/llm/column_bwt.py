@@ -11,22 +11,35 @@ from __future__ import annotations
 import numpy as np
 
 
-def repeated_starts(strings: list[bytes], length: int) -> np.ndarray:
-    """Codes ``number << 32 | start`` of the places where a substring of ``length`` bytes begins that begins elsewhere too."""
-    count = len(strings)
+def _symbols(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of ``width`` bytes, numbered from 1 in order, of every string from each of its first ``width`` bytes on; their counts."""
     sizes = np.array([len(s) for s in strings], np.int64)
-    if not count or int(sizes.max()) < length:
-        return np.empty(0, np.int64)
-    text = np.frombuffer(b"".join(strings), np.uint8)
+    data = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16)
     ends = np.cumsum(sizes)
-    # the symbols that occur, from 1 on; 0 ends a string
-    seen = np.zeros(256, bool)
+    value = data if width == 1 else (data[:-1] << 8) | data[1:]
+    counts = np.stack([np.maximum(sizes - phase, 0) // width for phase in range(width)], 1).reshape(-1)
+    first = ((ends - sizes)[:, None] + np.arange(width)).reshape(-1)
+    at = np.repeat(first - width * (np.cumsum(counts) - counts), counts) + width * np.arange(int(counts.sum()))
+    text = value[at]
+    seen = np.zeros(1 << 16, bool)
     seen[text] = True
-    if seen.sum() == 256:
-        # no byte is free for the end, so symbols take two bytes
-        text = text.astype(np.uint16) + np.uint16(1)
-    else:
-        text = (np.cumsum(seen)[text]).astype(np.uint8)
+    number = np.cumsum(seen)
+    # 0 ends a string, so all 65,536 pairs need wider numbers
+    return number[text].astype(np.uint16 if number[-1] < 1 << 16 else np.uint32), counts
+
+
+def repeated_starts(strings: list[bytes], length: int) -> np.ndarray:
+    """Codes ``number << 32 | start`` of the places where a substring of ``length`` bytes begins that begins elsewhere too.
+
+    For an even length symbols are pairs of bytes and every string takes part twice, from its first
+    and from its second byte, which halves the rounds.
+    """
+    if not strings or max(map(len, strings)) < length:
+        return np.empty(0, np.int64)
+    width = 2 if length % 2 == 0 else 1
+    text, sizes = _symbols(strings, width)
+    length //= width
+    ends, count = np.cumsum(sizes), len(sizes)
 
     def before(numbers: np.ndarray, suffix: int) -> np.ndarray:
         """The symbol in front of the suffix of this length; 0 at the string's start."""
@@ -34,40 +47,61 @@ def repeated_starts(strings: list[bytes], length: int) -> np.ndarray:
         inside = suffix < sizes[numbers]
         return np.where(inside, text[np.where(inside, place, 0)], 0).astype(text.dtype)
 
-    front_numbers = np.arange(count)
-    transform = before(front_numbers, 0)
+    def insertion(symbol: np.ndarray, position: np.ndarray) -> np.ndarray:
+        """Where each position goes among the sorted sources of its symbol, by bisection of all at once."""
+        low, high = starts[symbol], starts[symbol + 1]
+        for _ in range(int((high - low).max()).bit_length()):
+            open_ = low < high
+            middle = (low + high) >> 1
+            right = open_ & (sources[np.minimum(middle, len(sources) - 1)] < position) if len(sources) else open_ & False
+            low, high = np.where(right, middle + 1, low), np.where(open_ & ~right, middle, high)
+        return low
+
+    # streams over the sorted suffixes: symbol in front, common prefix with the one before, place in the text
+    numbers = np.arange(count)
+    symbols = before(numbers, 0)
+    transform = symbols
     common = np.zeros(count, np.uint16)
-    codes = (front_numbers << 32) | sizes
-    front = front_numbers
+    places = ends.astype(np.int32 if len(text) < 1 << 31 else np.int64)
+    # positions of the suffixes, by the symbol in front: the order of the suffixes one longer; where each symbol starts
+    sources = np.empty(0, places.dtype)
+    starts = np.zeros(int(text.max()) + 2, np.int64)
+    fresh = np.arange(count)
     for size in range(1, int(sizes.max()) + 1):
-        # places sorted by their symbol: the order of the suffixes one symbol longer
-        order = np.argsort(transform, kind="stable")
-        order = order[len(transform) - np.count_nonzero(transform):]
-        fresh = np.zeros(len(transform), bool)
-        fresh[front] = True
-        at = np.flatnonzero(fresh[order])
-        if not len(at):
+        inside = np.flatnonzero(symbols)
+        if not len(inside):
             break
-        source = order[at]
-        numbers = codes[source] >> 32
+        by_key = inside[np.argsort((symbols[inside].astype(np.int64) << 32) | fresh[inside])]
+        numbers, symbol, position = numbers[by_key], symbols[by_key], fresh[by_key].astype(sources.dtype)
+        at = insertion(symbol.astype(np.int64), position)
+        sources = np.insert(sources, at, position)
+        at = at + np.arange(len(at))
+        starts[1:] += np.cumsum(np.bincount(symbol, minlength=len(starts) - 1))
         # common prefixes of each new suffix with the one before it and the one after it
-        touched = np.union1d(at, at[at + 1 < len(order)] + 1)
-        here, there = order[touched], order[np.maximum(touched - 1, 0)]
+        after = at + 1
+        after = after[np.append(after[:-1] != at[1:], after[-1] < len(sources))]
+        touched = np.sort(np.concatenate([at, after]), kind="stable")
+        here, there = sources[touched], sources[np.maximum(touched - 1, 0)]
         alike = (touched > 0) & (transform[here] == transform[there])
         prefix = np.zeros(len(touched), np.uint16)
         if alike.any():
             bounds = np.stack([there[alike] + 1, here[alike] + 1], 1).reshape(-1)
             padded = np.append(common, np.uint16(0))
             prefix[alike] = np.minimum.reduceat(padded, bounds)[::2] + 1
-        kept = np.ones(count + len(order), bool)
-        kept[count + at] = False
+        # the next streams: the old ones with the new suffixes put in, read once from front to back
+        fresh, symbols = count + at, before(numbers, size)
+        kept = np.ones(count + len(sources), bool)
+        kept[fresh] = False
         stream = np.empty(len(kept), transform.dtype)
-        stream[kept], stream[count + at] = transform, before(numbers, size)
+        stream[kept], stream[fresh] = transform, symbols
         shared = np.empty(len(kept), np.uint16)
         shared[kept] = common
         shared[count + touched] = prefix
-        named = np.empty(len(kept), np.int64)
-        named[kept], named[count + at] = codes, (numbers << 32) | (sizes[numbers] - size)
-        transform, common, codes, front = stream, shared, named, count + at
+        named = np.empty(len(kept), places.dtype)
+        named[kept], named[fresh] = places, ends[numbers] - size
+        sources = np.flatnonzero(kept).astype(sources.dtype).take(sources)
+        transform, common, places = stream, shared, named
     long = common >= length
-    return codes[long | np.append(long[1:], False)]
+    found = places[long | np.append(long[1:], False)].astype(np.int64)
+    owner = np.searchsorted(ends, found, "right")
+    return (owner // width << 32) | ((found - (ends - sizes)[owner]) * width + owner % width)

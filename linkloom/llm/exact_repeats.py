@@ -171,7 +171,7 @@ def _substring(data: Column, start: Column, size: Column) -> Column:
     return F.substring(data, (start + 1).cast("int"), size.cast("int"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, bucket_bytes: int = 256_000, most_forms: int = 4096, with_text: bool = False,
+def remove_repeats(docs: DataFrame, length: int = 200, bucket_bytes: int = 400_000, most_forms: int = 4096, with_text: bool = False,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) per row of ``docs``.
 
