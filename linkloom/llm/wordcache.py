@@ -8,6 +8,7 @@ again.  Texts with other white space go through a slower cut that is just as saf
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
@@ -27,6 +28,13 @@ def _single_spaces(text: str) -> bool:
     return _PAIR.search(text) is None
 
 
+class _Codes(dict):
+    """Number of each known piece, -1 for others."""
+
+    def __missing__(self, piece: str) -> int:
+        return -1
+
+
 class WordCache:
     """Encode texts with a tokenizers file; ``limit`` bounds the pieces kept, ``longest`` their mean length."""
 
@@ -46,7 +54,7 @@ class WordCache:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
     def _clear(self) -> None:
-        self._code: dict[str, int] = {"": 0}
+        self._code = _Codes({"": 0})
         self._kept, self._first, self._count = array("I"), array("q", [0]), array("q", [0])
         self._letters = 0
         self._views = None
@@ -89,17 +97,23 @@ class WordCache:
         self._kept.extend(ids)
         self._letters += len(piece)
 
-    def _learn(self, pieces: Sequence[str]) -> None:
-        todo = {p: self._core(p) for p in set(pieces) if p not in self._code}
-        if not todo:
-            return
+    def _learn(self, pieces: set[str]) -> None:
+        # only short-lived tuples and strings are made here, over which the collector would walk again and again
+        gc.disable()
+        try:
+            self._encode_new(pieces)
+        finally:
+            gc.enable()
+
+    def _encode_new(self, pieces: set[str]) -> None:
+        todo = {p: self._core(p) for p in pieces}
         cores = [c for c in {core for _, core, _ in todo.values()} if c not in self._code]
         for lo in range(0, len(cores), 20_000):
             part = cores[lo : lo + 20_000]
             for core, done in zip(part, self._tokenizer.encode_batch_fast([self._shown(p) for p in part], add_special_tokens=False)):
                 self._keep(core, done.ids)
         for piece, (before, core, after) in todo.items():
-            if piece not in self._code:
+            if piece != core:
                 at = self._code[core]
                 first = self._first[at]
                 self._keep(piece, [*before, *self._kept[first : first + self._count[at]], *after])
@@ -111,11 +125,14 @@ class WordCache:
             self._clear()
         cut = [self._pieces(t or "") for t in texts]
         flat = [p for pieces in cut for p in pieces]
-        self._learn(flat)
+        codes = np.fromiter(map(self._code.__getitem__, flat), np.int64, len(flat))
+        unknown = np.flatnonzero(codes < 0).tolist()
+        if unknown:
+            self._learn({flat[i] for i in unknown})
+            codes[unknown] = [self._code[flat[i]] for i in unknown]
         if self._views is None:
             self._views = np.array(self._kept, np.uint32), np.array(self._first), np.array(self._count)
         kept, first, count = self._views
-        codes = np.fromiter(map(self._code.__getitem__, flat), np.int64, len(flat))
         lens = count[codes]
         ends = np.cumsum(lens)
         total = int(ends[-1]) if len(ends) else 0
