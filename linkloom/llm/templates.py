@@ -3,7 +3,8 @@
 A line's path in the tree is its token count and its first tokens, tokens with a digit standing as
 variables.  The lines of a leaf fall together where they have the same form, then where most of
 their tokens agree with the leaf's commonest form; places that differ are variables.  A template
-found in enough different texts is dropped from all of them but the first.
+found in enough different texts is dropped from all of them but the first.  Long lines do not recur
+by chance, so few texts are enough for them; near copies of a text count once there.
 """
 
 from __future__ import annotations
@@ -12,11 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.store import written
+from linkloom.operators.components import connected_components
 from linkloom.operators.normalize import compute_once
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 _VARIABLE = "<*>"
 _WITH_DIGIT = "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*"
+#: Lines of so many tokens and more are dropped from so many unrelated texts on.
+LONG_LINES = ((8, 5), (20, 3), (50, 2))
+#: Near copies share this per cent of their shingles, as in the pipeline's near de-duplication.
+_WORDS, _PERCENT, _SKETCH = 5, 80, 256
 
 
 def _tokens(line: Column) -> Column:
@@ -36,17 +42,51 @@ def _similarity(a: Column, b: Column) -> Column:
     return same / F.size(a)
 
 
-def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int = 3, depth: int = 3, similarity: float = 0.8,
-                         rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _bound(size: Column, min_texts: int, long_lines: tuple) -> Column:
+    """Texts that a template of ``size`` tokens needs."""
+    least = F.lit(min_texts)
+    for tokens, n in sorted(long_lines):
+        least = F.when(size >= tokens, min(n, min_texts)).otherwise(least)
+    return least
+
+
+def _near_copies(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(_digest, _group) of the texts of ``pairs`` (a, b) that are near copies of another, over any number of links.
+
+    A text's sketch is the least hashes of its shingles: exact up to ``_SKETCH`` shingles, beyond it an
+    estimate with a standard error of 2.5 per cent.
+    """
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("_digest")).distinct()
+    wanted = texts.select("_digest", "_text").join(involved.hint("merge"), "_digest", "left_semi").dropDuplicates(["_digest"])
+    words = compute_once(wanted, "_w", F.filter(F.split(F.lower("_text"), _SPACE), lambda x: x != "")).drop("_text")
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - (_WORDS - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("_w", i, _WORDS)))
+    sketches = written(words.select("_digest", F.slice(F.array_sort(F.array_distinct(grams)), 1, _SKETCH).alias("_s")), "sketches")
+    ends = [sketches.select(F.col("_digest").alias(c), F.col("_s").alias(f"_{c}")) for c in "ab"]
+    both = pairs.join(ends[0].hint("merge"), "a").join(ends[1].hint("merge"), "b")
+    both = compute_once(both, "_u", F.slice(F.array_sort(F.array_union("_a", "_b")), 1, _SKETCH))
+    shared = F.size(F.array_intersect(F.array_intersect("_u", "_a"), F.col("_b")))
+    links = written(both.where(100 * shared >= _PERCENT * F.size("_u")).select("a", "b"), "near-copies")
+    nodes = links.select(F.explode(F.array("a", "b")).alias("_digest"))
+    return written(connected_components(nodes, links, "_digest", "a", "b", "_group"), "near-groups")
+
+
+def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int = 1, depth: int = 3, similarity: float = 0.8,
+                         rounds: int = 2, id_col: str = "doc_id", text_col: str = "text",
+                         long_lines: tuple[tuple[int, int], ...] = LONG_LINES) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text``, and n_lines, n_dropped.
 
     ``depth`` leading tokens and the token count choose a leaf.  In each of ``rounds`` rounds the
     form that most texts of a leaf share becomes a template and takes in the leaf's forms with at least
     ``similarity`` equal tokens; forms left over are templates of their own.  Lines under
-    ``min_tokens`` tokens are never dropped.  A template in at least ``min_texts`` different texts
+    ``min_tokens`` tokens are never dropped, nor are lines of one or two tokens without a letter (numbers,
+    brackets, rules).  A template in at least ``min_texts`` different texts
     is dropped, but from the text of the smallest document id that holds it; copies of a text
     count once and lose the same lines.
 
+    ``long_lines`` holds (tokens, texts): templates of so many tokens are dropped from fewer texts
+    on.  These texts must be unrelated: near copies (80 per cent of five-word shingles, over any
+    number of links) count once, and near copies of the first text keep the line as it does.
+
     A null text stays null with 0 lines; an empty one has one empty line.  Rows with a null id take part,
     and come last in the order of ids.  Repeated rows stay.  An empty table gives no rows.  Other
     columns pass through; ones named n_lines or n_dropped are replaced.
@@ -54,13 +94,15 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
     digest = F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary")))
     texts = docs.select(docs[id_col].alias("_id"), digest.alias("_digest"), docs[text_col].alias("_text"))
     tokens = F.col("_tok")
-    lines = _lines(texts, ["_id", "_digest"]).where(F.size(tokens) >= min_tokens)
+    worded = (F.size(tokens) > 2) | F.exists(tokens, lambda x: x.rlike("\\p{L}"))
+    lines = _lines(texts, ["_id", "_digest"]).where((F.size(tokens) >= max(min_tokens, 1)) & worded)
+    least = _bound(F.col("_size"), min_texts, long_lines)
     lines = written(lines.select(
         "_id", "_digest", "_no", F.size(tokens).alias("_size"), F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth)).alias("_leaf"),
         F.unhex(F.md5(F.array_join(tokens, "\n").cast("binary"))).alias("_form")), "lines")
 
     # one row per form and text, then per form; leaves that too few lines reach are left out
-    busy = lines.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= min_texts).select("_leaf")
+    busy = lines.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_c"), F.min("_size").alias("_size")).where(F.col("_c") >= least).select("_leaf")
     order = F.struct(F.col("_id").isNull().alias("_late"), F.col("_id"), F.col("_digest"), F.col("_no"))
     in_text = lines.groupBy("_leaf", "_form", "_digest").agg(F.min(order).alias("_first"), F.min("_size").alias("_size"))
     forms = written(
@@ -68,8 +110,8 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
         .join(busy, "_leaf", "left_semi"), "forms")
 
     # tokens of the forms that have company in their leaf, from each form's first text
-    company = forms.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_k"), F.sum("_texts").alias("_sum")).where(
-        (F.col("_k") > 1) & (F.col("_sum") >= min_texts)).select("_leaf")
+    company = forms.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_k"), F.sum("_texts").alias("_sum"), F.min("_size").alias("_size")).where(
+        (F.col("_k") > 1) & (F.col("_sum") >= least)).select("_leaf")
     wanted = (
         forms.join(company, "_leaf", "left_semi")
         .select("_leaf", "_form", "_texts", F.col("_first._digest").alias("_digest"), F.col("_first._no").alias("_no"))
@@ -93,21 +135,37 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
 
     named = forms.join(merged, ["_leaf", "_form"], "left").withColumn("_template", F.coalesce("_template", "_form"))
     # a text counts once for a template: forms merged by the template are few, so texts are counted anew for those only
-    grouped = named.groupBy("_leaf", "_template").agg(F.sum("_texts").alias("_sum"), F.count(F.lit(1)).alias("_k"),
-                                                     F.min("_first").alias("_first")).where(F.col("_sum") >= min_texts)
+    grouped = named.groupBy("_leaf", "_template").agg(
+        F.sum("_texts").alias("_sum"), F.count(F.lit(1)).alias("_k"), F.min("_first").alias("_first"), F.min("_size").alias("_size")).where(F.col("_sum") >= least)
     candidates = written(named.select("_leaf", "_form", "_template").join(grouped, ["_leaf", "_template"]), "candidates")
     several = (
         in_text.select("_leaf", "_form", "_digest").join(candidates.where("_k > 1").select("_leaf", "_form", "_template"), ["_leaf", "_form"])
         .select("_leaf", "_template", "_digest").distinct()
-        .groupBy("_leaf", "_template").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_texts)
-    )
-    recurring = candidates.where("_k = 1").select("_leaf", "_form", "_first").unionByName(
-        candidates.where("_k > 1").join(several, ["_leaf", "_template"], "left_semi").select("_leaf", "_form", "_first"))
-
-    dropped = (
-        lines.join(recurring, ["_leaf", "_form"]).where(F.col("_digest") != F.col("_first._digest"))
-        .groupBy(F.col("_digest").alias("_llm_digest")).agg(F.collect_set("_no").alias("_llm_drop"))
+        .groupBy("_leaf", "_template").agg(F.count(F.lit(1)).alias("_n"))
     )
+    counted = written(
+        candidates.where("_k = 1").withColumn("_n", F.col("_sum"))
+        .unionByName(candidates.where("_k > 1").join(several, ["_leaf", "_template"])).where(F.col("_n") >= least)
+        .select("_leaf", "_form", "_template", "_first", "_n", least.alias("_least")), "counted")
+    recurring = counted.where(F.col("_n") >= min_texts).select("_leaf", "_form", "_first")
+
+    # under min_texts texts: at most min_texts - 1 a template, which are compared with each other
+    few = written(
+        lines.select("_leaf", "_form", "_digest").join(counted.where(F.col("_n") < min_texts), ["_leaf", "_form"])
+        .select("_leaf", "_form", "_template", "_digest", F.col("_first._digest").alias("_one"), "_least").distinct(), "few-texts")
+    met = few.groupBy("_leaf", "_template").agg(F.collect_set("_digest").alias("_d")).select(F.explode("_d").alias("a"), "_d")
+    pairs = written(met.select("a", F.explode("_d").alias("b")).where("a < b").distinct(), "text-pairs")
+    groups = _near_copies(texts, pairs)
+    for c in ("_digest", "_one"):
+        label = groups.select(F.col("_digest").alias(c), F.col("_group").alias(f"_group{c}"))
+        few = few.join(label.hint("merge"), c, "left").withColumn(f"_group{c}", F.coalesce(f"_group{c}", c))
+    unrelated = few.groupBy("_leaf", "_template").agg(F.countDistinct("_group_digest").alias("_n"), F.min("_least").alias("_least")).where(
+        "_n >= _least").select("_leaf", "_template")
+    doomed = few.where("_group_digest != _group_one").join(unrelated, ["_leaf", "_template"], "left_semi").select("_leaf", "_form", "_digest")
+
+    gone = lines.join(recurring, ["_leaf", "_form"]).where(F.col("_digest") != F.col("_first._digest")).select("_digest", "_no")
+    gone = gone.unionByName(lines.join(doomed, ["_leaf", "_form", "_digest"]).select("_digest", "_no"))
+    dropped = gone.groupBy(F.col("_digest").alias("_llm_digest")).agg(F.collect_set("_no").alias("_llm_drop"))
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*own, digest.alias("_llm_digest")).join(dropped.hint("merge"), "_llm_digest", "left")
     rows = compute_once(rows, "_llm_all", F.split(F.col(text_col), "\n"))

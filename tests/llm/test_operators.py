@@ -490,3 +490,33 @@ def test_template_counts_do_not_depend_on_partitions(spark, odd):
 
     a = rows(drop_recurring_lines(odd, min_texts=2), "doc_id", "n_dropped")
     assert a == rows(drop_recurring_lines(odd.repartition(7, F.rand()), min_texts=2), "doc_id", "n_dropped")
+
+
+def test_passages_in_few_unrelated_texts_are_dropped(spark):
+    from linkloom.llm.templates import drop_recurring_lines
+
+    passages = {n: (" ".join(f"{w}{'abcdefghij'[n]}" for w in prose(9000 + n, size).split()), size)
+                for n, size in ((2, 60), (3, 24), (4, 24), (5, 10), (9, 10), (1, 60))}
+    docs, number = {}, 0
+    for n, (line, _) in passages.items():
+        for _ in range(n):
+            docs[number] = f"{prose(20_000 + number, 90)}\n{line}\n{prose(30_000 + number, 40)}"
+            number += 1
+    body = f"{prose(40_000, 150)}\n{prose(40_001, 60)}".split(" ")
+    near = {100 + k: " ".join(w if i != 7 + 40 * k else "changed" for i, w in enumerate(body)) for k in range(4)}
+    # the same passage in near copies and in one unrelated text: the first text and its near copies keep it
+    plus = {100 + i: f"{t}\n{passages[1][0]}z" for i, t in near.items()}
+    plus[210] = f"{prose(50_000, 90)}\n{passages[1][0]}z"
+    short = {300 + k: f"{prose(60_000 + k, 30)}\nAdvertisement\n}}\n{k}" for k in range(11)}
+    table = spark.createDataFrame([*docs.items(), *near.items(), *short.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in drop_recurring_lines(table).collect()}
+    number = 0
+    for n, (line, _) in passages.items():
+        for k in range(n):
+            assert (line in got[number].text.split("\n")) == (k == 0), (n, k)
+            assert got[number].n_dropped == (k > 0)
+            number += 1
+    assert all(got[i].n_dropped == 0 for i in near)
+    assert [got[300 + k].text.split("\n")[1:] for k in range(11)] == [["Advertisement", "}", "0"]] + [["}", str(k)] for k in range(1, 11)]
+    again = {r.doc_id: r.n_dropped for r in drop_recurring_lines(spark.createDataFrame([*plus.items()], "doc_id long, text string")).collect()}
+    assert again == {200: 0, 201: 0, 202: 0, 203: 0, 210: 1}
