@@ -9,7 +9,7 @@ by chance, so few texts are enough for them; near copies of a text count once th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.store import written
@@ -70,14 +70,37 @@ def _near_copies(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(connected_components(nodes, links, "_digest", "a", "b", "_group"), "near-groups")
 
 
+def _open(forms: DataFrame, similarity: float, depth: int, least: Column) -> DataFrame:
+    """The forms that may still be like another of their leaf, in leaves that enough texts reach.
+
+    Of one band more than places that may differ, two like forms have one in common.
+    """
+    sized = compute_once(forms, "_size", F.size("_tok"))
+    differ = F.floor(F.col("_size") * (1 - similarity) + 1e-6).cast("int")
+    sized = compute_once(sized.where(differ > 0), "_bands", differ + 1)
+    free = F.col("_size") - depth
+
+    def edge(j: Column) -> Column:
+        return F.floor(j * free / F.col("_bands")).cast("int")
+
+    bands = F.transform(F.sequence(F.lit(0), F.col("_bands") - 1), lambda j: F.xxhash64(j, F.slice("_tok", edge(j) + depth + 1, edge(j + 1) - edge(j))))
+    banded = sized.where(free > 0).select("_leaf", "_form", F.explode(bands).alias("_band"))
+    shared = banded.groupBy("_leaf", "_band").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_leaf", "_band")
+    alike = banded.join(shared.hint("merge"), ["_leaf", "_band"], "left_semi").select("_leaf", "_form").distinct()
+    kept = sized.join(alike.hint("merge"), ["_leaf", "_form"], "left_semi")
+    enough = kept.groupBy("_leaf").agg(F.sum("_texts").alias("_sum"), F.min("_size").alias("_size")).where(F.col("_sum") >= least).select("_leaf")
+    return kept.join(enough.hint("merge"), "_leaf", "left_semi").drop("_size", "_bands")
+
+
 def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int = 1, depth: int = 3, similarity: float = 0.8,
-                         rounds: int = 2, id_col: str = "doc_id", text_col: str = "text",
+                         heads: int = 16, id_col: str = "doc_id", text_col: str = "text",
                          long_lines: tuple[tuple[int, int], ...] = LONG_LINES) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text``, and n_lines, n_dropped.
 
-    ``depth`` leading tokens and the token count choose a leaf.  In each of ``rounds`` rounds the
-    form that most texts of a leaf share becomes a template and takes in the leaf's forms with at least
-    ``similarity`` equal tokens; forms left over are templates of their own.  Lines under
+    ``depth`` leading tokens and the token count choose a leaf.  The form that most texts
+    of a leaf share becomes a template and takes in the leaf's forms with at least ``similarity`` equal
+    tokens, then the next of those left, until no two forms left can be alike or be in enough texts;
+    these are templates of their own.  A round settles up to ``heads`` templates of every leaf.  Lines under
     ``min_tokens`` tokens are never dropped, nor are lines of one or two tokens without a letter (numbers,
     brackets, rules).  A template in at least ``min_texts`` different texts
     is dropped, but from the text of the smallest document id that holds it; copies of a text
@@ -124,14 +147,23 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
         found.select("_w._leaf", "_w._form", "_w._texts", _tokens(F.get("_all", F.col("_w._no"))).alias("_tok"))
         .groupBy("_leaf", "_form").agg(F.max("_texts").alias("_texts"), F.max("_tok").alias("_tok")), "open-forms")
 
-    merged = None
-    for step in range(rounds):
-        heads = open_forms.groupBy("_leaf").agg(F.max(F.struct("_texts", "_form", "_tok")).alias("_h"))
-        heads = heads.select("_leaf", F.col("_h._form").alias("_template"), F.col("_h._tok").alias("_head"))
-        scored = written(open_forms.join(heads, "_leaf").withColumn("_near", _similarity(F.col("_tok"), F.col("_head")) >= similarity), f"round-{step}")
-        taken = scored.where("_near").select("_leaf", "_form", "_template")
-        merged = taken if merged is None else merged.unionByName(taken)
-        open_forms = scored.where("not _near").select("_leaf", "_form", "_texts", "_tok")
+    merged, step = open_forms.select("_leaf", "_form", F.col("_form").alias("_template")).where("false"), 0
+    while True:
+        open_forms = written(_open(open_forms, similarity, depth, least), f"open-{step}")
+        if open_forms.isEmpty():
+            break
+        # the leaf's first forms in order of texts; those unlike all earlier ones are heads
+        rank = F.row_number().over(Window.partitionBy("_leaf").orderBy(F.desc("_texts"), F.desc("_form")))
+        first = open_forms.withColumn("_rank", rank).where(F.col("_rank") <= heads)
+        first = first.groupBy("_leaf").agg(F.array_sort(F.collect_list(F.struct("_rank", "_form", "_tok"))).alias("_h"))
+        chosen = F.aggregate("_h", F.slice("_h", 1, 0), lambda out, h: F.when(
+            F.exists(out, lambda x: _similarity(h["_tok"], x["_tok"]) >= similarity), out).otherwise(F.concat(out, F.array(h))))
+        scored = open_forms.join(first.select("_leaf", chosen.alias("_h")), "_leaf")
+        near = F.filter("_h", lambda x: _similarity(F.col("_tok"), x["_tok"]) >= similarity)
+        scored = written(scored.select("_leaf", "_form", "_texts", "_tok", F.get(near, F.lit(0))["_form"].alias("_template")), f"round-{step}")
+        merged = merged.unionByName(scored.where("_template is not null").select("_leaf", "_form", "_template"))
+        open_forms = scored.where("_template is null").drop("_template")
+        step += 1
 
     named = forms.join(merged, ["_leaf", "_form"], "left").withColumn("_template", F.coalesce("_template", "_form"))
     # a text counts once for a template: forms merged by the template are few, so texts are counted anew for those only

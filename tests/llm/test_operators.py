@@ -520,3 +520,17 @@ def test_passages_in_few_unrelated_texts_are_dropped(spark):
     assert [got[300 + k].text.split("\n")[1:] for k in range(11)] == [["Advertisement", "}", "0"]] + [["}", str(k)] for k in range(1, 11)]
     again = {r.doc_id: r.n_dropped for r in drop_recurring_lines(spark.createDataFrame([*plus.items()], "doc_id long, text string")).collect()}
     assert again == {200: 0, 201: 0, 202: 0, 203: 0, 210: 1}
+
+
+def test_all_templates_of_a_leaf_are_generalised(spark):
+    from linkloom.llm.templates import drop_recurring_lines
+
+    def log(kind: int, k: int) -> str:
+        tail = [f"{kind}{'abcdefghij'[j]}".translate(str.maketrans("0123456789", "klmnopqrst")) for j in range(10)]
+        tail[3], tail[7] = "v" + "abcdefghijklmno"[k], "w" + "abcdefghijklmno"[k]
+        return " ".join([f"2024-01-{k}", f"1{k}:00", str(k), *tail])
+
+    kinds = 20
+    docs = [(k, "\n".join([prose(70_000 + k, 40), *(log(kind, k) for kind in range(kinds))])) for k in range(12)]
+    got = drop_recurring_lines(spark.createDataFrame(docs, "doc_id long, text string"), heads=3).collect()
+    assert {r.doc_id: r.n_dropped for r in got} == {k: kinds if k else 0 for k in range(12)}
