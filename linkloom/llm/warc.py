@@ -64,37 +64,40 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, records_
     )
 
 
-def _streams(data: bytes) -> Iterator[tuple]:
-    """("bytes", text) per readable member, ("gap", start, end, reason) per unreadable stretch of a file."""
-    if not data.startswith(_GZIP[:2]) and _GZIP not in data[:65536]:
-        yield "bytes", data
-        return
-    at = 0
-    while at < len(data):
-        if not data.startswith(_GZIP, at):
-            found = data.find(_GZIP, at + 1)
-            end = len(data) if found < 0 else found
-            yield "gap", at, end, "no member"
-            at = end
-            continue
-        member, out, reason, fed = zlib.decompressobj(31), [], "", at
-        try:
-            while fed < len(data) and not member.eof:
-                out.append(member.decompress(data[fed : fed + 16384]))
-                fed += 16384
-        except zlib.error as error:
-            reason = str(error)
-        if member.eof:
-            yield "bytes", b"".join(out)
-            at = min(fed, len(data)) - len(member.unused_data)
-            continue
-        # what was read before the fault still holds whole records; go on at the next member
-        found = data.find(_GZIP, at + 1)
-        end = len(data) if found < 0 else found
-        if out and any(out):
-            yield "bytes", b"".join(out)
-        yield "gap", at, end, reason or "member cut off"
-        at = end
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """Text of the gzip member at ``at``, where reading it ended, and what is wrong with it or ''."""
+    member, out, fed = zlib.decompressobj(31), [], at
+    try:
+        while fed < len(data) and not member.eof:
+            out.append(member.decompress(data[fed : fed + 16384]))
+            fed += 16384
+    except zlib.error as error:
+        return b"".join(out), min(fed + 16384, len(data)), str(error)
+    end = min(fed, len(data)) - len(member.unused_data)
+    return b"".join(out), end, "" if member.eof else "member cut off"
+
+
+class _Starts:
+    """Places in a file where a record or a member with records may begin, in order."""
+
+    def __init__(self, data: bytes):
+        self.data, self.line, self.magic, self.tried = data, -1, -1, -1
+
+    def _sound(self) -> bool:
+        # a place that held no version line is left at once, so the last one tried is sound
+        if self.tried != self.magic:
+            self.tried = self.magic
+            return bool(_VERSION_LINE.search(_member(self.data, self.magic)[0]))
+        return True
+
+    def after(self, at: int) -> int:
+        if self.line < at:
+            found = _VERSION_LINE.search(self.data, at)
+            self.line = found.start() if found else len(self.data)
+        while self.magic < at or (self.magic < self.line and not self._sound()):
+            found = self.data.find(_GZIP, max(at, self.magic + 1))
+            self.magic = len(self.data) if found < 0 else found
+        return min(self.line, self.magic)
 
 
 def _record(text: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
@@ -128,27 +131,53 @@ def _record(text: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return fields, payload, end + 4
 
 
+def _listed_text(text: bytes) -> Iterator[tuple]:
+    """Records and gaps of a member's text."""
+    at = 0
+    while at < len(text):
+        try:
+            fields, payload, end = _record(text, at)
+        except ValueError as error:
+            found = _VERSION_LINE.search(text, at + 1)
+            end = found.start() if found else len(text)
+            yield "gap", at, end, str(error)
+        else:
+            yield "record", fields, payload
+        at = end
+
+
 def salvage(data: bytes) -> Iterator[tuple]:
     """("record", fields, payload) for every sound record and ("gap", start, end, reason) for the rest.
 
-    After a failed check the search goes on at the next version line, or at the next gzip member.
-    Gap places count bytes of the file for members, of the member's text for records.
+    What lies at a place of the file decides how it is read: a version line begins a plain record, a gzip
+    magic a member.  After a failed check the search goes on at the next version line or the next member
+    that holds one, whichever comes first.  Gap places count bytes of the file for members and plain
+    records, of the member's text for records in members.
     """
-    for kind, *rest in _streams(data):
-        if kind == "gap":
-            yield "gap", *rest
-            continue
-        text, at = rest[0], 0
-        while at < len(text):
+    starts, at, until, seen = _Starts(data), 0, 0, set()
+    while at < len(data):
+        if data.startswith(_GZIP, at):
+            text, end, reason = _member(data, at)
+            found = list(_listed_text(text))
+        else:
             try:
-                fields, payload, end = _record(text, at)
+                fields, payload, end = _record(data, at)
+                found, reason = [("record", fields, payload)], ""
             except ValueError as error:
-                found = _VERSION_LINE.search(text, at + 1)
-                end = found.start() if found else len(text)
-                yield "gap", at, end, str(error)
-            else:
-                yield "record", fields, payload
+                found, end, reason = [], at, str(error)
+        # stretches that a damaged member ran over are searched again; what it gave already is not listed twice
+        marks = [(r[1]["warc-record-id"], hashlib.sha1(r[2]).digest()) if r[0] == "record" else None for r in found]
+        yield from (r for r, mark in zip(found, marks) if at >= until or mark not in seen)
+        if not reason:
             at = end
+            continue
+        if at >= until:
+            seen = set()
+        seen.update(m for m in marks if m)
+        until = max(until, end)
+        following = starts.after(at + 1)
+        yield "gap", at, following, reason
+        at = following
 
 
 RECORDS = ("archive string, kind string, record_id string, record_type string, refers_to string, payload_digest string, "

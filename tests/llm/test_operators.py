@@ -318,6 +318,33 @@ def test_salvage_recovers_all_sound_records(packed):
     assert [r[0] for r in salvage(b"garbage")] == ["gap"]
 
 
+def salvaged(data: bytes) -> list[tuple]:
+    from linkloom.llm.warc import salvage
+
+    return [(r[1]["warc-record-id"], r[2]) if r[0] == "record" else None for r in salvage(data)]
+
+
+def test_salvage_decides_at_each_position():
+    import gzip
+
+    body = gzip.compress(b"<html>page</html>" * 50)
+    payloads = [b"first", body, b"last" * 30_000]
+    want = [(f"<urn:{i}>", p) for i, p in enumerate(payloads)]
+    plain = [record(i, p) for i, p in enumerate(payloads)]
+    assert salvaged(b"".join(plain)) == want
+    # a damaged record with a gzip body in it, then sound ones
+    hurt = plain[1].replace(b"urn:1", b"urn:9").replace(b"sha1:", b"sha1:A")
+    assert [r for r in salvaged(plain[0] + hurt + plain[2]) if r] == [want[0], want[2]]
+    # a first member over 64 KB without its magic
+    noise = [random.Random(i).randbytes(100_000) for i in range(3)]
+    members = [gzip.compress(record(i, p)) for i, p in enumerate(noise)]
+    damaged = b"\0\0\0" + b"".join(members)[3:]
+    assert [r for r in salvaged(damaged) if r][-2:] == [(f"<urn:{i}>", noise[i]) for i in (1, 2)]
+    # plain records and members in one file, and a member cut short between them: nothing twice
+    mixed = plain[0] + members[1] + plain[2] + members[0][:60_000] + record(7, b"seven") + members[2]
+    assert [r for r in salvaged(mixed) if r] == [want[0], ("<urn:1>", noise[1]), want[2], ("<urn:7>", b"seven"), ("<urn:2>", noise[2])]
+
+
 # ---- 5: near duplicates
 
 def shingles(text, words):
