@@ -21,15 +21,16 @@ from linkloom.llm.templates import drop_recurring_lines
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _chosen(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows whose id is among the kept ones; rows without id share one verdict."""
-    kept = verdicts.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the outlier rule keep."""
-    return _chosen(docs, quality_verdicts(docs))
+    """Documents that the base rules and the outlier rule keep.
+
+    A verdict follows from text, language and source, so rows are chosen by these, not by their id.
+    """
+    parts = [F.md5(F.coalesce(F.col(c), F.lit("")).cast("binary")) for c in ("text", "lang", "source")]
+    nulls = [F.col(c).isNull().cast("string") for c in ("text", "lang", "source")]
+    marked = docs.select(*COLUMNS, F.unhex(F.md5(F.concat(*parts, *nulls).cast("binary"))).alias("_mark"))
+    kept = quality_verdicts(marked, extra=("_mark",)).where("kept").select("_mark").distinct()
+    return marked.join(kept, "_mark", "left_semi").select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +41,17 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, five words to a shingle and similarity 0.8."""
+    """One document of each near-duplicate component, five words to a shingle and similarity 0.8.
+
+    Each row is a node of its own, whether its id is null, repeated or shared by other texts; the row of the
+    least id stays, rows without id come last.
+    """
     reachable(spark)
-    return _chosen(docs, near_duplicate_components(docs, words=5, percent=80))
+    marked = written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "marked-rows")
+    found = near_duplicate_components(marked, words=5, percent=80, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("_late"), "doc_id", "_row")
+    kept = found.join(marked.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("_m")).select("_m._row")
+    return marked.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,3 +73,21 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
             at += length
         assert at == total
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
+
+
+def test_rows_without_id_and_repeats_are_judged_each(spark, tmp_path):
+    import corpus_pipeline
+
+    good = {k: prose(7000 + k, 90) for k in range(4)}
+    rows = [(None, good[0]), (None, good[0]), (None, prose(7100, 20)), (None, good[1]), (5, good[2]), (5, good[2]),
+            (6, prose(7101, 20)), (6, good[3]), (6, good[1]), (7, good[2].replace(good[2].split()[3], "changed", 1))]
+    spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/d")
+    quality = corpus_pipeline.quality_stage(spark, spark.read.parquet(f"{tmp_path}/d"), str(tmp_path))
+
+    def listed(frame):
+        return sorted(((r.doc_id, r.text) for r in frame.collect()), key=str)
+
+    assert listed(quality) == sorted((r for r in rows if len(r[1].split()) >= 50), key=str)
+    quality.write.parquet(f"{tmp_path}/q")
+    near = corpus_pipeline.near_stage(spark, spark.read.parquet(f"{tmp_path}/q"), str(tmp_path))
+    assert listed(near) == sorted([(None, good[0]), (5, good[2]), (6, good[3]), (6, good[1])], key=str)
