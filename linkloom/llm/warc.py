@@ -67,12 +67,19 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, records_
 def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
     """Text of the gzip member at ``at``, where reading it ended, and what is wrong with it or ''."""
     member, out, fed = zlib.decompressobj(31), [], at
-    try:
-        while fed < len(data) and not member.eof:
+    while fed < len(data) and not member.eof:
+        before = member.copy()
+        try:
             out.append(member.decompress(data[fed : fed + 16384]))
             fed += 16384
-    except zlib.error as error:
-        return b"".join(out), min(fed + 16384, len(data)), str(error)
+        except zlib.error as error:
+            # what lies before the fault in this piece is read byte by byte
+            try:
+                for fed in range(fed, len(data)):
+                    out.append(before.decompress(data[fed : fed + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), fed + 1, str(error)
     end = min(fed, len(data)) - len(member.unused_data)
     return b"".join(out), end, "" if member.eof else "member cut off"
 

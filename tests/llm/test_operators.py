@@ -345,6 +345,20 @@ def test_salvage_decides_at_each_position():
     assert [r for r in salvaged(mixed) if r] == [want[0], ("<urn:1>", noise[1]), want[2], ("<urn:7>", b"seven"), ("<urn:2>", noise[2])]
 
 
+def test_salvage_keeps_records_before_a_fault():
+    import gzip
+
+    texts = [prose(80_000 + i, 150).encode() for i in range(6)]
+    packed = gzip.compress(b"".join(record(i, t) for i, t in enumerate(texts)))
+    want = [(f"<urn:{i}>", t) for i, t in enumerate(texts)]
+    trailer = packed[:-8] + bytes([packed[-8] ^ 255]) + packed[-7:]
+    assert salvaged(trailer) == [*want, None]
+    # one member whose second half is of blocks of a type that does not exist
+    first = zlib.compressobj(wbits=31)
+    half = first.compress(b"".join(record(i, t) for i, t in enumerate(texts[:3]))) + first.flush(zlib.Z_FULL_FLUSH)
+    assert salvaged(half + b"\xff" * 400) == [*want[:3], None]
+
+
 # ---- 5: near duplicates
 
 def shingles(text, words):
