@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.column_bwt import repeated_starts
 from linkloom.llm.store import written
+from linkloom.operators.normalize import compute_once
 
 GRAM = 32
 RUN = 170
@@ -187,10 +188,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, bucket_bytes: int = 400_0
     if not GRAM <= length <= 1 << 20:
         raise ValueError(f"length must be {GRAM} at least")
     text = F.coalesce(docs[text_col], F.lit("")).cast("binary")
-    # rows of one id and text are alike, so (id, mark) names what a row needs; null ids are told apart by the mark
-    base = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(0).cast("long")).alias("id"),
-                       F.crc32(F.concat(docs[id_col].isNull().cast("string").cast("binary"), text)).alias("mark"), text.alias("data"),
-                       docs[id_col].cast("long").alias("doc_id"))
+    # rows of one id and text are alike, so (id, mark) names what a row needs; without id both are halves of the text's digest
+    half = [F.conv(F.substring(F.col("_md5"), k, 16), 16, -10).cast("long") for k in (1, 17)]
+    digested = compute_once(docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("data")), "_md5", F.md5("data"))
+    base = digested.select(F.coalesce("doc_id", half[0]).alias("id"), F.when(F.col("doc_id").isNull(), half[1]).otherwise(half[0]).alias("mark"), "data", "doc_id")
     anchors = docs.select(text.alias("data")).mapInArrow(lambda it: _anchors(it, length), "anchor long, repeats boolean")
     shared = written(
         anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"), F.max("repeats").alias("_r")).where("_n > 1 or _r").select("anchor"), "anchors")

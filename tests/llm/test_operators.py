@@ -81,6 +81,22 @@ def test_exact_repeats_equal_brute_force(spark, odd, none, most_forms):
         assert remove_repeats(none, length=60).count() == 0
 
 
+def test_texts_without_id_and_of_one_checksum_keep_their_own_spans(spark):
+    from linkloom.llm.exact_repeats import remove_repeats
+
+    shared, other = prose(90_000, 60), prose(90_001, 60)
+    starts = [zlib.crc32(b"true" + (t + " ").encode()) for t in (shared, other)]
+    rnd = random.Random(1)
+    numbers = [rnd.getrandbits(60) for _ in range(300_000)]
+    tails = {zlib.crc32(b"%x" % n, starts[0]): f"{n:x}" for n in numbers}
+    i, j = next((tails[c], f"{n:x}") for n in numbers if (c := zlib.crc32(b"%x" % n, starts[1])) in tails)
+    docs = [(1, shared), (None, f"{shared} {i}"), (None, f"{other} {j}")]
+    got = remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), with_text=True).collect()
+    removed = {(r.doc_id, r.n_bytes, bytes(r.kept)): r.n_removed for r in got}
+    assert removed == {(1, len(shared), b""): len(shared), (None, len(docs[1][1]), f" {i}".encode()): len(shared),
+                       (None, len(docs[2][1]), docs[2][1].encode()): 0}
+
+
 def test_column_transform_finds_all_repeats():
     from linkloom.llm.column_bwt import repeated_starts
 
