@@ -133,3 +133,18 @@ def test_graphml_is_well_formed(spark, tmp_path):
     sinks.write_graphml(sinks.graphml_lines(vertices, edges, ["label"], ["weight"]), str(tmp_path / "g"))
     text = "".join(open(f).read() for f in sorted(glob.glob(str(tmp_path / "g" / "win=1" / "*.txt"))))
     assert len(parseString(text).getElementsByTagName("node")) == 2
+
+
+def test_rows_days_late_are_in_the_result(spark, tmp_path):
+    from linkloom.streaming import jobs
+
+    for days in ([("10", 1), ("10", 2)], [("12", 3)], [("01", 1), ("01", 2)]):
+        rows = spark.createDataFrame([(f"2024-01-{d} 00:00:00", "a", m) for d, m in days], "t string, g string, m long")
+        rows.selectExpr("CAST(t AS TIMESTAMP) AS ts", "g", "m").write.mode("append").parquet(f"{tmp_path}/in")
+        stream = jobs.table_stream(spark, f"{tmp_path}/in", "*.parquet", spark.read.parquet(f"{tmp_path}/in").schema)
+        counts = jobs.windowed_counts(stream, ["g"], "ts", None, "1 day")
+        jobs.write_upserts(counts, f"{tmp_path}/counts", f"{tmp_path}/state")
+        jobs.write_pairs(stream, "g", "m", "ts", None, "1 day", f"{tmp_path}/p", f"{tmp_path}/pairs-state")
+    got = jobs.read_upserts(spark, f"{tmp_path}/counts", counts.schema, ["window_start", "g"]).collect()
+    assert {(r.window_start.day, r.n) for r in got} == {(10, 2), (12, 1), (1, 2)}
+    assert {(r.window_start.day, r.src, r.dst) for r in jobs.read_pairs(spark, f"{tmp_path}/p").collect()} == {(10, 1, 2), (1, 1, 2)}
