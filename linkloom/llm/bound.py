@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from linkloom.bindings.base import table
 from linkloom.llm.chat import MAXIMAL_SQL
+from linkloom.llm.collocations import COLLOCATIONS_SQL
 from linkloom.llm.store import reachable
+from linkloom.operators.normalize import compute_once
 from linkloom.session import scratch_path
 
 TOKENIZERS = os.environ.get("LINKLOOM_TOKENIZERS")
@@ -107,6 +109,38 @@ def maximal_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maximal_conversations(table(spark, sf_dir, "conversations"))
 
 
+def collocation_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"), support=30, longest=4, top=2000, covered=80)
+
+
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the texts, a tenth of which are given a periodic end first; digests of what the operator returns."""
+    from linkloom.llm.periodic_runs import periodic_runs
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    marked = docs.select("doc_id", "text", digest.alias("_h"), F.floor(digest / 10).alias("_g"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    marked = compute_once(marked, "_w", F.when(F.col("_h") % 10 == 0, words))
+    marked = marked.withColumn("_n", F.size("_w")).withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    period = 1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8))
+    marked = marked.withColumn("_p", period.cast("int"))
+    place = lambda i: F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p"))
+    repeated = F.array_join(F.transform("_w", lambda w, i: F.get("_w", place(i))), " ")
+    found = periodic_runs(marked.select("doc_id", F.when(F.col("_n") > 0, repeated).otherwise(F.col("text")).alias("text")), least=6, times=4)
+    # length / period as one exact order: the fractions of two runs differ in their cross products
+    better = lambda x, y: y["length"] * x["period"] - x["length"] * y["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda top, r: F.when(better(top, r) > 0, r).otherwise(top))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))), "")
+    found = compute_once(found, "_b", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_b.start", "_b.length", "_b.period",
+        F.floor(F.col("_b.length") * 1000 / F.col("_b.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -129,8 +163,10 @@ _BOUND: dict[str, Query] = {
     "op8_maximal_chats": maximal_chats,
     "op9_line_templates": line_templates,
     "op10_packing": packing,
+    "op11_collocations": collocation_phrases,
+    "op13_word_runs": word_runs,
 }
 
 QUERIES: dict[str, Query] = {name: _ready(query) for name, query in _BOUND.items()}
 
-ORACLES: dict[str, str] = {"op4_warc": WARC_SQL, "op8_maximal_chats": MAXIMAL_SQL}
+ORACLES: dict[str, str] = {"op4_warc": WARC_SQL, "op8_maximal_chats": MAXIMAL_SQL, "op11_collocations": COLLOCATIONS_SQL}

@@ -22,8 +22,8 @@ def reachable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` once below the shared folder and read it from there."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
