@@ -115,6 +115,15 @@ def collocation_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), support=30, longest=4, top=2000, covered=80)
 
 
+def neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from linkloom.llm.neighbour_quality import score_quality
+
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
+    labels = table(spark, sf_dir, "labels").where(fold != 0)
+    scored = score_quality(table(spark, sf_dir, "documents"), labels, neighbours=25, fit_rows=4096)
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the texts, a tenth of which are given a periodic end first; digests of what the operator returns."""
     from linkloom.llm.periodic_runs import periodic_runs
@@ -164,6 +173,7 @@ _BOUND: dict[str, Query] = {
     "op9_line_templates": line_templates,
     "op10_packing": packing,
     "op11_collocations": collocation_phrases,
+    "op12_neighbour_quality": neighbour_quality,
     "op13_word_runs": word_runs,
 }
 
