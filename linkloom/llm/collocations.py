@@ -1,13 +1,14 @@
 """Phrase mining by SON partitioning, and collocation scores of the phrases.
 
-The texts are written once as shards: the words of one language, numbered, with a bounded number of
-words each.  A phrase of support ``s`` in a language of N words occurs at least s * n / N times in some
-shard of n words, so every shard is mined completely at that lowered support, from single words up: a
-phrase can only be frequent where both phrases one word shorter are.  A shard gives its locally frequent
-phrases as hashes with their counts; each part of the hash space unites them and keeps those whose
-count, with what shards below their support may hide, can reach the support.  The candidates of a
-length form a bitmap of fixed size.  Last, all candidates are counted globally and exactly, as
-words; what the hashes let through by chance falls there.
+The texts are written once as blocks: the words of one language, numbered, with a bounded number of
+words each.  The blocks are dealt to half as many shards as the support, whatever the input's size.  A phrase of
+support s in a language of N words occurs at least s * n / N times in some shard of n words, so every
+shard is mined completely at that lowered support, from single words up: a phrase can only be frequent
+where both phrases one word shorter are.  The blocks of a shard give their phrases' hashes and counts;
+each part of the hash space adds them up by shard, takes the locally frequent ones, and unites
+those of all shards that together reach the support.  The candidates of a length form a bitmap of fixed size.
+Last, all candidates are counted globally and exactly, as words; what the hashes let through by
+chance falls there.
 """
 
 from __future__ import annotations
@@ -24,19 +25,19 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.store import written
 
-#: Words of a shard, and of all shards that a task has open.
-SHARD_WORDS = 1_000_000
+#: Words of a block; a task holds twice as many.
+BLOCK_WORDS = 1_000_000
 #: Bits of the candidate bitmap of one length: 8 MB, whatever the input's size.
 BITS = 26
 #: Languages share so many totals of words; a total of several languages only lowers the support further.
 _TOTALS = 64
-#: Distinct phrases of a shard are dealt to parts of about so many words of the whole input.
+#: Distinct phrases of a block are dealt to parts of about so many words of the whole input.
 _PART_WORDS = 2_000_000
 _SALTS = 16
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 _STOPS = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
-_SHARD = "lang string, total int, n long, words binary, counts binary, ids binary"
+_BLOCK = "lang string, total int, shard int, n long, words binary, ids binary"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -49,14 +50,14 @@ def _hash(text: str) -> int:
 
 
 class _Vocabulary(dict):
-    """Numbers of the words of a shard: 0 ends a piece, -1 stands for no word."""
+    """Numbers of the words of a block: 0 ends a piece, -1 stands for no word."""
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = len(self) - 1
         return value
 
 
-class _Shard:
+class _Block:
     def __init__(self) -> None:
         self.numbers = _Vocabulary({b"": -1, b"\n": 0})
         self.parts: list[np.ndarray] = []
@@ -73,34 +74,33 @@ class _Shard:
             self.n += words
         return words
 
-    def row(self, lang: str) -> tuple:
-        ids = np.concatenate(self.parts)
+    def row(self, lang: str, shards: int) -> tuple:
+        ids = np.concatenate(self.parts).astype("<i4").tobytes()
         words = [w for w, i in self.numbers.items() if i > 0]
-        counts = np.bincount(ids, minlength=len(words) + 1)[1:]
-        return lang, _hash(lang) % _TOTALS, self.n, b"\n".join(words), counts.astype("<i4").tobytes(), ids.astype("<i4").tobytes()
+        return lang, _hash(lang) % _TOTALS, xxhash.xxh64_intdigest(ids) % shards, self.n, b"\n".join(words), ids
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    names = [part.split()[0] for part in _SHARD.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+def _row(row: tuple) -> pa.RecordBatch:
+    types = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    names = [part.split()[0] for part in _BLOCK.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, types)], names)
 
 
-def _sharded(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    open_: dict[str, _Shard] = {}
+def _blocks(batches: Iterator[pa.RecordBatch], most: int, shards: int) -> Iterator[pa.RecordBatch]:
+    open_: dict[str, _Block] = {}
     held = 0
 
     def closed(lang: str) -> pa.RecordBatch:
         nonlocal held
-        shard = open_.pop(lang)
-        held -= shard.n
-        return _rows([shard.row(lang)])
+        block = open_.pop(lang)
+        held -= block.n
+        return _row(block.row(lang, shards))
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             lang = "und" if lang is None else lang
             if lang not in open_:
-                open_[lang] = _Shard()
+                open_[lang] = _Block()
             held += open_[lang].add(text or "")
             if open_[lang].n >= most:
                 yield closed(lang)
@@ -112,12 +112,11 @@ def _sharded(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
 
 
 class _Read:
-    """A shard's words and numbers, with the hash of every window of its ids."""
+    """A block's words and numbers, with the hash of every window of its ids."""
 
     def __init__(self, row: dict):
         self.words = row["words"].split(b"\n") if row["words"] else []
         self.ids = np.frombuffer(row["ids"], "<i4").astype(np.int64)
-        self.counts = np.frombuffer(row["counts"], "<i4").astype(np.int64)
         seed = _hash(row["lang"])
         hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed & 0xFFFFFFFFFFFFFFFF) for w in self.words), np.uint64, len(self.words))
         self._of_word = _mixed(np.append(np.uint64(0), hashes))
@@ -160,83 +159,95 @@ def _support(n: int, total: int, support: int) -> int:
     return max(1, -(-support * n // max(total, 1)))
 
 
-def _mined(batches: Iterator[pa.RecordBatch], size: int, support: int, totals: list[int], parts: int, known) -> Iterator[pa.RecordBatch]:
-    """Of each shard and part of the hash space, the locally frequent phrases: sorted hashes, and counts above the least."""
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """Numbers byte by byte, first bytes first: the high ones are mostly zeros, which shuffles compress."""
+    data = values.astype(kind)
+    return np.ascontiguousarray(data.view(np.uint8).reshape(-1, data.itemsize).T).tobytes()
+
+
+def _numbers(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1).astype(np.int64)
+
+
+def _mined(batches: Iterator[pa.RecordBatch], size: int, support: int, bits: int, parts: int, known) -> Iterator[pa.RecordBatch]:
+    """Of each block and part of the hash space: the first ``bits`` bits of the phrases' hashes, as sorted differences, and their counts."""
     known = None if known is None else np.frombuffer(known.value, np.uint8)
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            shard = _Read(row)
-            if size == 1:
-                hashes, counts = _mixed(np.uint64(1) + shard._of_word[1:]), shard.counts
-                by_hash = np.argsort(hashes)
-                hashes, counts = hashes[by_hash], counts[by_hash]
-            else:
-                hashes = np.sort(shard.places(size, known)[1])
-                first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.empty(0, np.int64)
-                counts = np.diff(np.append(first, len(hashes)))
-                hashes = hashes[first]
-            least = _support(row["n"], totals[row["total"]], support)
-            kept = counts >= least
-            hashes, counts = hashes[kept], np.minimum(counts[kept], support) - least + 1
-            part = ((hashes >> np.uint64(64 - BITS)) * np.uint64(parts)) >> np.uint64(BITS)
-            first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, np.int64)
+            codes = np.sort(_Read(row).places(size, known)[1] >> np.uint64(64 - bits)).astype(np.int64)
+            if not len(codes):
+                continue
+            first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+            counts = np.minimum(np.diff(np.append(first, len(codes))), support)
+            codes = codes[first]
+            part = ((codes >> (bits - BITS)) * parts) >> BITS
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
             ends = np.append(first[1:], len(part))
+            step = np.diff(codes, prepend=0)
+            step[first] = codes[first] - (-(-(part[first] << BITS) // parts) << (bits - BITS))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part[first].astype(np.int64)), pa.array([row["total"]] * len(first), pa.int32()),
-                 pa.array([hashes[a:b].astype("<u8").tobytes() for a, b in zip(first, ends)], pa.binary()),
-                 pa.array([counts[a:b].astype("<i4").tobytes() for a, b in zip(first, ends)], pa.binary())],
-                ["part", "total", "hashes", "counts"])
+                [pa.array(part[first]), pa.array([row["total"]] * len(first), pa.int32()), pa.array([row["shard"]] * len(first), pa.int32()),
+                 pa.array([_planes(step[a:b], "<u4") for a, b in zip(first, ends)], pa.binary()),
+                 pa.array([_planes(counts[a:b], "<u4") for a, b in zip(first, ends)], pa.binary())],
+                ["part", "total", "shard", "steps", "counts"])
 
 
-def _united(table: pa.Table, support: int, parts: int, hidden: list[int]) -> pa.Table:
+def _united(table: pa.Table, support: int, bits: int, parts: int, least: dict[tuple[int, int], int]) -> pa.Table:
     """The piece of the candidate bitmap that a part of the hash space makes."""
     part = table.column("part")[0].as_py()
     # the least and the greatest bit that fall to this part
     low, high = -(-(part << BITS) // parts), -(-((part + 1) << BITS) // parts)
-    bits = np.zeros(((high + 7) // 8 - low // 8) * 8, bool)
+    found = np.zeros(((high + 7) // 8 - low // 8) * 8, bool)
     for total in set(table.column("total").to_pylist()):
         own = table.filter(pc.equal(table.column("total"), total))
-        hashes = np.frombuffer(b"".join(own.column("hashes").to_pylist()), "<u8")
-        counts = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<i4")
-        order = np.argsort(hashes)
-        hashes, counts = hashes[order], counts[order].astype(np.int64)
-        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-        frequent = hashes[first[np.add.reduceat(counts, first) + hidden[total] >= support]]
-        bits[(frequent >> np.uint64(64 - BITS)).astype(np.int64) - low // 8 * 8] = True
-    return pa.table({"first": pa.array([low // 8], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+        blocks = [np.cumsum(_numbers(b, "<u4")) for b in own.column("steps").to_pylist()]
+        codes = np.concatenate(blocks)
+        shard = np.repeat(own.column("shard").to_numpy(), [len(b) for b in blocks])
+        counts = np.concatenate([_numbers(b, "<u4") for b in own.column("counts").to_pylist()])
+        order = np.lexsort((shard, codes))
+        codes, shard, counts = codes[order], shard[order], counts[order]
+        fresh = np.append(True, codes[1:] != codes[:-1])
+        first = np.flatnonzero(fresh | np.append(True, shard[1:] != shard[:-1]))
+        local = np.add.reduceat(counts, first)
+        frequent = local >= np.array([least[total, s] for s in range(max(shard) + 1)])[shard[first]]
+        phrase = np.flatnonzero(fresh[first])
+        kept = np.logical_or.reduceat(frequent, phrase) & (np.add.reduceat(local, phrase) >= support)
+        found[(codes[first[phrase[kept]]] >> (bits - BITS)) + low - low // 8 * 8] = True
+    return pa.table({"first": pa.array([low // 8], pa.int64()), "bits": pa.array([np.packbits(found, bitorder="little").tobytes()], pa.binary())})
 
 
 def _counted(batches: Iterator[pa.RecordBatch], longest: int, known: list) -> Iterator[pa.RecordBatch]:
-    """(lang, size, phrase, n) of the candidates of every length in each shard, by the words themselves."""
+    """(lang, phrase, n) of the candidates of every length in each block, by the words themselves."""
     maps = [np.frombuffer(k.value, np.uint8) for k in known]
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            shard = _Read(row)
-            words = pa.array(shard.words, pa.binary())
+            block = _Read(row)
+            words = pa.array(block.words, pa.binary())
             for size in range(1, longest + 1):
-                at, hashes = shard.places(size, maps[size - 2] if size > 1 else None)
+                at, hashes = block.places(size, maps[size - 2] if size > 1 else None)
                 at = at[_has(maps[size - 1], hashes)]
                 if not len(at):
                     continue
                 # phrases by their words' numbers, one word more at a time
-                code = shard.ids[at]
+                code = block.ids[at]
                 for step in range(1, size):
                     _, code = np.unique(code, return_inverse=True)
-                    code = code * (len(shard.words) + 1) + shard.ids[at + step]
+                    code = code * (len(block.words) + 1) + block.ids[at + step]
                 _, first, counts = np.unique(code, return_index=True, return_counts=True)
                 start = at[first]
-                columns = [words.take(pa.array(shard.ids[start + step] - 1)) for step in range(size)]
+                columns = [words.take(pa.array(block.ids[start + step] - 1)) for step in range(size)]
                 phrase = columns[0] if size == 1 else pc.binary_join_element_wise(*columns, b" ")
                 k = len(start)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["lang"]] * k, pa.string()), pa.array([size] * k, pa.int32()), phrase.cast(pa.string()), pa.array(counts.astype(np.int64))],
-                    ["lang", "size", "phrase", "n"])
+                    [pa.array([row["lang"]] * k, pa.string()), phrase.cast(pa.string()), pa.array(counts.astype(np.int64))],
+                    ["lang", "phrase", "n"])
 
 
 def frequent_phrases(docs: DataFrame, support: int = 30, longest: int = 4, text_col: str = "text", lang_col: str = "lang",
-                     shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
+                     block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases of 1 to ``longest`` words found ``support`` times or more, and (lang, n) words.
 
     Texts are lower-cased in A-Z and cut into pieces at ``. , ; : ! ?`` and line ends, pieces into words at blanks and tabs;
@@ -244,41 +255,40 @@ def frequent_phrases(docs: DataFrame, support: int = 30, longest: int = 4, text_
     empty texts have no words; a language without words is in neither result; repeated rows count each time;
     an empty table gives no rows; other columns are ignored.
 
-    The result is exact at every size.  Only the work saved depends on the size: with over ``support`` shards
-    of a language the lowered support is 1, and length by length only phrases of frequent parts remain.
+    Blocks, parts and the lowered support follow the same rule at every size; memory does not grow with the input.
     """
     spark = docs.sparkSession
     wanted = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text"))
-    rows = wanted.mapInArrow(lambda it: _sharded(it, shard_words), _SHARD)
-    # few shards a file, as a reader takes several rows of a file at a time
-    shards = written(rows, "shards", maxRecordsPerFile=4)
-    totals = [0] * _TOTALS
-    for total, n in shards.groupBy("total").agg(F.sum("n")).collect():
-        totals[total] = n
-    words = sum(totals)
+    shards = max(1, support // 2)
+    rows = wanted.mapInArrow(lambda it: _blocks(it, block_words, shards), _BLOCK)
+    # few blocks a file, as a reader takes several rows of a file at a time
+    blocks = written(rows, "blocks", maxRecordsPerFile=4)
+    held = {(total, shard): n for total, shard, n in blocks.groupBy("total", "shard").agg(F.sum("n")).collect()}
+    totals: dict[int, int] = {}
+    for (total, _), n in held.items():
+        totals[total] = totals.get(total, 0) + n
+    least = {(t, s): _support(held.get((t, s), 0), totals[t], support) for t in totals for s in range(shards)}
+    words = sum(totals.values())
     parts = min(max(spark.sparkContext.defaultParallelism, math.ceil(words / _PART_WORDS)), 1 << (BITS - 3))
-    # what the shards may hold of a phrase without giving it
-    least = F.expr(f"({support} * n + _t - 1) div _t - 1")
-    own = F.element_at(F.array(*(F.lit(max(t, 1)).cast("long") for t in totals)), F.col("total") + 1)
-    hidden = [0] * _TOTALS
-    for total, n in shards.select("total", "n", own.alias("_t")).groupBy("total").agg(F.sum(least)).collect():
-        hidden[total] = n
+    # enough bits that few phrases share a code; a part's differences of codes stay under 2 ** 32
+    bits = min(max(words.bit_length() + 6, BITS), 48)
 
     known: list = []
     for size in range(1, longest + 1):
         before = known[-1] if known else None
-        mined = shards.mapInArrow(lambda it, size=size, before=before: _mined(it, size, support, totals, parts, before),
-                                  "part long, total int, hashes binary, counts binary")
-        pieces = mined.groupBy("part").applyInArrow(lambda t: _united(t, support, parts, hidden), "first long, bits binary")
+        mined = blocks.mapInArrow(lambda it, size=size, before=before: _mined(it, size, support, bits, parts, before),
+                                  "part long, total int, shard int, steps binary, counts binary")
+        pieces = mined.groupBy("part").applyInArrow(lambda t: _united(t, support, bits, parts, least), "first long, bits binary")
         bitmap = np.zeros((1 << BITS) // 8 + 8, np.uint8)
-        for first, bits in pieces.collect():
-            piece = np.frombuffer(bits, np.uint8)
+        for first, piece in pieces.collect():
+            piece = np.frombuffer(piece, np.uint8)
             bitmap[first : first + len(piece)] |= piece
         known.append(spark.sparkContext.broadcast(bitmap.tobytes()))
 
-    counted = shards.mapInArrow(lambda it: _counted(it, longest, known), "lang string, size int, phrase string, n long")
-    exact = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
-    return written(exact, "phrases"), shards.groupBy("lang").agg(F.sum("n").alias("n"))
+    counted = blocks.mapInArrow(lambda it: _counted(it, longest, known), "lang string, phrase string, n long")
+    exact = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
+    exact = exact.select("lang", F.size(F.split("phrase", " ")).alias("size"), "phrase", "f")
+    return written(exact, "phrases"), blocks.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def _words(phrase: Column, first: Column, size: Column) -> Column:
@@ -286,14 +296,14 @@ def _words(phrase: Column, first: Column, size: Column) -> Column:
 
 
 def collocations(docs: DataFrame, support: int = 30, longest: int = 4, top: int = 2000, covered: int = 80, scale: int = 2_000_000,
-                 text_col: str = "text", lang_col: str = "lang", shard_words: int = SHARD_WORDS) -> DataFrame:
+                 text_col: str = "text", lang_col: str = "lang", block_words: int = BLOCK_WORDS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``top`` phrases of 2 to ``longest`` words by score.
 
     A phrase found a times, cut in two parts found l and r times, scores floor(scale * a / (l + r)); its
     lowest cut counts, of equals the first.  A phrase within a longer one found at least ``covered`` per cent as often is left out.
     Ranks go by score, then a, both descending, then phrase in byte order.  Odd rows are as in :func:`frequent_phrases`.
     """
-    phrases, words = frequent_phrases(docs, support, longest, text_col, lang_col, shard_words)
+    phrases, words = frequent_phrases(docs, support, longest, text_col, lang_col, block_words)
     candidates = phrases.where("size > 1").withColumnRenamed("f", "a")
     cuts = candidates.select("lang", "phrase", "size", "a", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     cuts = cuts.withColumns({"left": _words(F.col("phrase"), F.lit(1), F.col("k")), "right": _words(F.col("phrase"), F.col("k") + 1, F.col("size") - F.col("k"))})
