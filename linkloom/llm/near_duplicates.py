@@ -7,8 +7,10 @@ twice as many components as there are chunks share a key: one chunk then holds a
 error.  Candidates are confirmed on the full shingle sets.
 
 A key's classes are never paired all with all.  Each class meets leaders of its keys first; the
-confirmed links merge most of a key's classes into one component, and only classes of different
-components are compared further: by longer sketches, in cells of bounded size that put out near pairs only.
+confirmed links merge most of a key's classes into one component.  In the next round the leaders are the
+classes with most company, such as the text that all others of a group were made from.  Only classes of different
+components are compared further, in cells of bounded size: by longer sketches, then on the full sets.  A cell puts out its
+members that are near one of another component, then links that join components: never more rows than members.
 """
 
 from __future__ import annotations
@@ -153,25 +155,64 @@ def _linked(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iter
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b"])
 
 
-def _close(tables: pa.Table) -> pa.Table:
-    """Pairs of different components in a cell whose sketches are near, each in the first key they share only."""
-    sketches = np.frombuffer(b"".join(tables.column("sketch").to_pylist()), np.uint8).reshape(-1, N_SKETCH // 4)
-    ids, component, side = (tables.column(c).to_numpy() for c in ("rep", "component", "side"))
-    sizes = tables.column("n_shingles").to_numpy()
-    signatures = np.frombuffer(b"".join(tables.column("signature").to_pylist()), "<u2").reshape(-1, N_HASHES)
-    here = int(np.flatnonzero(_keys(signatures[:1])[0] == tables.column("key")[0].as_py())[0])
-    found_a, found_b = [], []
+def _near_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of different components in a cell whose sketches are near, nearest first; each in the first key they share only."""
+    sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, N_SKETCH // 4)
+    ids, component, side = (table.column(c).to_numpy() for c in ("rep", "component", "side"))
+    sizes = table.column("n_shingles").to_numpy()
+    signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(-1, N_HASHES)
+    here = int(np.flatnonzero(_keys(signatures[:1])[0] == table.column("key")[0].as_py())[0])
+    ones, others, distances = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for i in range(len(ids)):
         # a diagonal cell holds one side only; others compare side 0 with side 1
         other = np.flatnonzero((component != component[i]) & ((side == 2) & (ids > ids[i]) if side[i] == 2 else (side == 1) & (side[i] == 0)))
         other = other[5 * np.minimum(sizes[other], sizes[i]) >= 4 * np.maximum(sizes[other], sizes[i])] if len(other) else other
-        if len(other):
-            other = other[_FIELDS[sketches[other] ^ sketches[i]].sum(1) <= LOOSE * N_SKETCH]
-        if len(other):
-            other = other[_first_shared(signatures[i], signatures[other]) == here]
-            found_a += [min(ids[i], x) for x in ids[other]]
-            found_b += [max(ids[i], x) for x in ids[other]]
-    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+        if not len(other):
+            continue
+        distance = _FIELDS[sketches[other] ^ sketches[i]].sum(1, dtype=np.int64)
+        other, distance = other[distance <= LOOSE * N_SKETCH], distance[distance <= LOOSE * N_SKETCH]
+        first = _first_shared(signatures[i], signatures[other]) == here
+        ones.append(np.full(int(first.sum()), i))
+        others.append(other[first])
+        distances.append(distance[first])
+    by_distance = np.argsort(np.concatenate(distances), kind="stable")
+    return np.concatenate(ones)[by_distance], np.concatenate(others)[by_distance]
+
+
+def _in_question(table: pa.Table) -> pa.Table:
+    """The members of a cell that are near one of another component."""
+    ones, others = _near_pairs(table)
+    return table.take(pa.array(np.unique(np.concatenate([ones, others]))))
+
+
+def _settled(table: pa.Table, percent: int) -> pa.Table:
+    """Links that join the components of a cell, one fewer than the components they join, confirmed on the full sets."""
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+    ids, component = table.column("rep").to_pylist(), table.column("component").to_pylist()
+    parent = {c: c for c in component}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    links = []
+    for i, j in zip(*(p.tolist() for p in _near_pairs(table))):
+        a, b = root(component[i]), root(component[j])
+        if a == b:
+            continue
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+            parent[b] = a
+            links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    return pa.table({c: pa.array([link[k] for link in links], pa.int64()) for k, c in enumerate("ab")})
+
+
+def _shingled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "shingles"])
 
 
 def near_duplicate_components(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 2, id_col: str = "doc_id",
@@ -215,7 +256,13 @@ def near_duplicate_components(docs: DataFrame, words: int = 5, percent: int = 80
     residual = members
     for step in range(rounds):
         # four orders of the classes give a class several leaders, so that one unlike leader does no harm
-        rank = F.struct(F.xxhash64(F.col("rep"), F.lit(step), F.pmod(F.col("key"), F.lit(4))), F.col("rep"))
+        if step == 0:
+            rank = F.struct(F.xxhash64(F.col("rep"), F.pmod(F.col("key"), F.lit(4))), F.col("rep"))
+        else:
+            # those that meet most classes of their keys
+            company = residual.groupBy("rep").agg(F.sum("_n").alias("_company"))
+            residual = residual.join(company, "rep")
+            rank = F.struct(-F.col("_company"), F.xxhash64(F.col("rep"), F.lit(step)), F.col("rep"))
         leaders = residual.groupBy("key").agg(F.min(rank).alias("_l")).select("key", F.col("_l.rep").alias("leader"))
         pairs = residual.join(leaders, "key").where("rep != leader").select(
             F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
@@ -243,9 +290,11 @@ def near_duplicate_components(docs: DataFrame, words: int = 5, percent: int = 80
         .select("key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "rep", "component", "n_shingles", "sketch", "signature",
                 F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1).alias("side"))
     )
-    near = cells.groupBy("key", "_i", "_j").applyInArrow(_close, "a long, b long")
-    pairs = written(near.join(tested, ["a", "b"], "left_anti"), "pairs-last")
-    links = links.unionByName(confirmed(pairs, "links-last"))
+    question = written(cells.groupBy("key", "_i", "_j").applyInArrow(_in_question, cells.schema), "in-question")
+    doubted = texts.join(question.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = doubted.mapInArrow(lambda it: _shingled(it, words), "rep long, shingles binary")
+    last = question.join(sets, "rep").groupBy("key", "_i", "_j").applyInArrow(lambda t: _settled(t, percent), "a long, b long")
+    links = links.unionByName(written(last, "links-last"))
     component = connected_components(nodes, links, "rep", "a", "b")
 
     by_set = classes.select("set_id", "rep").join(component, "rep").select("set_id", F.col("component").alias("_component"))
