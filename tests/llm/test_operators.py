@@ -427,18 +427,24 @@ def test_cells_compare_each_pair_once():
 
     import numpy as np
 
-    from linkloom.llm.near_duplicates import CHUNK, N_HASHES, N_SKETCH, _close, _first_shared, _keys
+    from linkloom.llm.near_duplicates import CHUNK, N_HASHES, N_SKETCH, _first_shared, _in_question, _keys, _near_pairs, _settled
 
     same, zeros = bytes(N_SKETCH // 4), np.zeros((1, N_HASHES), "<u2")
     keys = _keys(zeros)[0]
     assert len(set(keys.tolist())) == N_HASHES
     table = pa.table({"rep": [1, 2, 3], "component": [1, 1, 3], "side": pa.array([2, 2, 2], pa.int32()), "n_shingles": [10, 10, 10], "sketch": [same] * 3, "signature": [zeros.tobytes()] * 3,
                       "key": [int(keys[0])] * 3})
-    assert sorted(zip(*_close(table).to_pydict().values())) == [(1, 3), (2, 3)]
+    near = lambda t: sorted(zip(*(p.tolist() for p in _near_pairs(t))))
+    assert near(table) == [(0, 2), (1, 2)] and _in_question(table).num_rows == 3
+    whole = table.append_column("shingles", pa.array([np.arange(10, dtype=np.uint64).tobytes()] * 3))
+    # one link is enough to join two components
+    assert _settled(whole, 80).num_rows == 1
+    unlike = table.append_column("shingles", pa.array([np.arange(k, k + 10, dtype=np.uint64).tobytes() for k in (0, 1, 3)]))
+    assert _settled(unlike, 80).to_pylist() == [] and _settled(unlike, 65).to_pylist() == [{"a": 2, "b": 3}]
     later = table.set_column(table.schema.get_field_index("key"), "key", pa.array([int(keys[1])] * 3))
-    assert _close(later).num_rows == 0
+    assert _in_question(later).num_rows == 0
     table = table.set_column(2, "side", pa.array([0, 1, 1], pa.int32()))
-    assert sorted(zip(*_close(table).to_pydict().values())) == [(1, 3)]
+    assert near(table) == [(0, 2)]
 
     rng = np.random.default_rng(4)
     for errors in range(28):
