@@ -18,7 +18,10 @@ from linkloom.operators.normalize import compute_once
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 _VARIABLE = "<*>"
-_WITH_DIGIT = "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*"
+#: From the start of a token only, without going back.
+_WITH_DIGIT = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+"
+_OTHER_SPACE = "[\\x09-\\x0D]"
+_SALTS = 16
 #: Lines of so many tokens and more are dropped from so many unrelated texts on.
 LONG_LINES = ((8, 5), (20, 3), (50, 2))
 #: Near copies share this per cent of their shingles, as in the pipeline's near de-duplication.
@@ -27,8 +30,15 @@ _WORDS, _PERCENT, _SKETCH = 5, 80, 256
 
 def _tokens(line: Column) -> Column:
     """Tokens of a line, those with a digit replaced by the variable mark."""
-    masked = F.regexp_replace(line, _WITH_DIGIT, _VARIABLE)
-    return F.filter(F.split(masked, _SPACE), lambda x: x != "")
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _WITH_DIGIT, _VARIABLE)).otherwise(line)
+    plain = F.when(masked.rlike(_OTHER_SPACE), F.regexp_replace(masked, _OTHER_SPACE, " ")).otherwise(masked)
+    return F.filter(F.split(plain, " "), lambda x: x != "")
+
+
+def _salted(many: DataFrame, few: DataFrame, on: list[str], by: str) -> DataFrame:
+    """Inner join in which the rows of a key of ``many`` are dealt to several places by the column ``by``."""
+    dealt = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return many.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(_SALTS)).cast("int")).join(dealt, [*on, "_salt"]).drop("_salt")
 
 
 def _lines(texts: DataFrame, keep: list[str]) -> DataFrame:
@@ -58,8 +68,9 @@ def _near_copies(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     involved = pairs.select(F.explode(F.array("a", "b")).alias("_digest")).distinct()
     wanted = texts.select("_digest", "_text").join(involved.hint("merge"), "_digest", "left_semi").dropDuplicates(["_digest"])
-    words = compute_once(wanted, "_w", F.filter(F.split(F.lower("_text"), _SPACE), lambda x: x != "")).drop("_text")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - (_WORDS - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("_w", i, _WORDS)))
+    hashed = F.transform(F.filter(F.split(F.lower("_text"), _SPACE), lambda x: x != ""), lambda x: F.xxhash64(x))
+    words = compute_once(wanted, "_w", hashed).drop("_text")
+    grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - _WORDS, F.lit(0))), lambda i: F.xxhash64(*(F.get("_w", i + k) for k in range(_WORDS))))
     sketches = written(words.select("_digest", F.slice(F.array_sort(F.array_distinct(grams)), 1, _SKETCH).alias("_s")), "sketches")
     ends = [sketches.select(F.col("_digest").alias(c), F.col("_s").alias(f"_{c}")) for c in "ab"]
     both = pairs.join(ends[0].hint("merge"), "a").join(ends[1].hint("merge"), "b")
@@ -93,14 +104,15 @@ def _open(forms: DataFrame, similarity: float, depth: int, least: Column) -> Dat
 
 
 def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int = 1, depth: int = 3, similarity: float = 0.8,
-                         heads: int = 16, id_col: str = "doc_id", text_col: str = "text",
+                         heads: int = 16, most_heads: int = 1024, id_col: str = "doc_id", text_col: str = "text",
                          long_lines: tuple[tuple[int, int], ...] = LONG_LINES) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text``, and n_lines, n_dropped.
 
     ``depth`` leading tokens and the token count choose a leaf.  The form that most texts
     of a leaf share becomes a template and takes in the leaf's forms with at least ``similarity`` equal
     tokens, then the next of those left, until no two forms left can be alike or be in enough texts;
-    these are templates of their own.  A round settles up to ``heads`` templates of every leaf.  Lines under
+    these are templates of their own.  The first round settles up to ``heads`` templates of every leaf, each further one
+twice as many, up to ``most_heads``.  Lines under
     ``min_tokens`` tokens are never dropped, nor are lines of one or two tokens without a letter (numbers,
     brackets, rules).  A template in at least ``min_texts`` different texts
     is dropped, but from the text of the smallest document id that holds it; copies of a text
@@ -140,9 +152,10 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
         .select("_leaf", "_form", "_texts", F.col("_first._digest").alias("_digest"), F.col("_first._no").alias("_no"))
         .groupBy("_digest").agg(F.collect_list(F.struct("_no", "_leaf", "_form", "_texts")).alias("_want"))
     )
-    sources = texts.select("_digest", F.split("_text", "\n").alias("_all")).where(F.col("_all").isNotNull())
+    sources = texts.select("_digest", "_text").where(F.col("_text").isNotNull())
     # sort-merge at every size: the drop lists and wanted lines grow with the input, and hot texts are split
-    found = sources.join(wanted.hint("merge"), "_digest").select("_all", F.explode("_want").alias("_w"))
+    found = sources.join(wanted.hint("merge"), "_digest").select(F.split("_text", "\n").alias("_all"), "_want")
+    found = found.select("_all", F.explode("_want").alias("_w"))
     open_forms = written(
         found.select("_w._leaf", "_w._form", "_w._texts", _tokens(F.get("_all", F.col("_w._no"))).alias("_tok"))
         .groupBy("_leaf", "_form").agg(F.max("_texts").alias("_texts"), F.max("_tok").alias("_tok")), "open-forms")
@@ -163,7 +176,7 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
         scored = written(scored.select("_leaf", "_form", "_texts", "_tok", F.get(near, F.lit(0))["_form"].alias("_template")), f"round-{step}")
         merged = merged.unionByName(scored.where("_template is not null").select("_leaf", "_form", "_template"))
         open_forms = scored.where("_template is null").drop("_template")
-        step += 1
+        step, heads = step + 1, min(2 * heads, most_heads)
 
     named = forms.join(merged, ["_leaf", "_form"], "left").withColumn("_template", F.coalesce("_template", "_form"))
     # a text counts once for a template: forms merged by the template are few, so texts are counted anew for those only
@@ -171,7 +184,7 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
         F.sum("_texts").alias("_sum"), F.count(F.lit(1)).alias("_k"), F.min("_first").alias("_first"), F.min("_size").alias("_size")).where(F.col("_sum") >= least)
     candidates = written(named.select("_leaf", "_form", "_template").join(grouped, ["_leaf", "_template"]), "candidates")
     several = (
-        in_text.select("_leaf", "_form", "_digest").join(candidates.where("_k > 1").select("_leaf", "_form", "_template"), ["_leaf", "_form"])
+        _salted(in_text.select("_leaf", "_form", "_digest"), candidates.where("_k > 1").select("_leaf", "_form", "_template"), ["_leaf", "_form"], "_digest")
         .select("_leaf", "_template", "_digest").distinct()
         .groupBy("_leaf", "_template").agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -195,10 +208,10 @@ def drop_recurring_lines(docs: DataFrame, min_texts: int = 10, min_tokens: int =
         "_n >= _least").select("_leaf", "_template")
     doomed = few.where("_group_digest != _group_one").join(unrelated, ["_leaf", "_template"], "left_semi").select("_leaf", "_form", "_digest")
 
-    gone = lines.join(recurring, ["_leaf", "_form"]).where(F.col("_digest") != F.col("_first._digest")).select("_digest", "_no")
+    gone = _salted(lines, recurring, ["_leaf", "_form"], "_digest").where(F.col("_digest") != F.col("_first._digest")).select("_digest", "_no")
     gone = gone.unionByName(lines.join(doomed, ["_leaf", "_form", "_digest"]).select("_digest", "_no"))
     dropped = gone.groupBy(F.col("_digest").alias("_llm_digest")).agg(F.collect_set("_no").alias("_llm_drop"))
-    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     rows = docs.select(*own, digest.alias("_llm_digest")).join(dropped.hint("merge"), "_llm_digest", "left")
     rows = compute_once(rows, "_llm_all", F.split(F.col(text_col), "\n"))
     rows = compute_once(rows, "_llm_gone", F.when(F.col("_llm_drop").isNotNull(), F.sort_array("_llm_drop")))
