@@ -75,8 +75,11 @@ class _Block:
         return words
 
     def row(self, lang: str, shards: int) -> tuple:
-        ids = np.concatenate(self.parts).astype("<i4").tobytes()
-        words = [w for w, i in self.numbers.items() if i > 0]
+        # words in byte order, so that phrases in the order of their numbers are nearly sorted
+        words = sorted(w for w, i in self.numbers.items() if i > 0)
+        place = np.zeros(len(words) + 1, np.int64)
+        place[[self.numbers[w] for w in words]] = np.arange(1, len(words) + 1)
+        ids = place[np.concatenate(self.parts)].astype("<i4").tobytes()
         return lang, _hash(lang) % _TOTALS, xxhash.xxh64_intdigest(ids) % shards, self.n, b"\n".join(words), ids
 
 
@@ -218,8 +221,8 @@ def _united(table: pa.Table, support: int, bits: int, parts: int, least: dict[tu
     return pa.table({"first": pa.array([low // 8], pa.int64()), "bits": pa.array([np.packbits(found, bitorder="little").tobytes()], pa.binary())})
 
 
-def _counted(batches: Iterator[pa.RecordBatch], longest: int, known: list) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, n) of the candidates of every length in each block, by the words themselves."""
+def _counted(batches: Iterator[pa.RecordBatch], longest: int, parts: int, known: list) -> Iterator[pa.RecordBatch]:
+    """Of each block and part of the hash space: the candidates of every length as the words themselves, and their counts."""
     maps = [np.frombuffer(k.value, np.uint8) for k in known]
     for batch in batches:
         for i in range(batch.num_rows):
@@ -228,7 +231,8 @@ def _counted(batches: Iterator[pa.RecordBatch], longest: int, known: list) -> It
             words = pa.array(block.words, pa.binary())
             for size in range(1, longest + 1):
                 at, hashes = block.places(size, maps[size - 2] if size > 1 else None)
-                at = at[_has(maps[size - 1], hashes)]
+                good = _has(maps[size - 1], hashes)
+                at, hashes = at[good], hashes[good]
                 if not len(at):
                     continue
                 # phrases by their words' numbers, one word more at a time
@@ -237,13 +241,31 @@ def _counted(batches: Iterator[pa.RecordBatch], longest: int, known: list) -> It
                     _, code = np.unique(code, return_inverse=True)
                     code = code * (len(block.words) + 1) + block.ids[at + step]
                 _, first, counts = np.unique(code, return_index=True, return_counts=True)
-                start = at[first]
+                part = ((hashes[first] >> np.uint64(64 - BITS)).astype(np.int64) * parts) >> BITS
+                by_part = np.argsort(part, kind="stable")
+                start, part, counts = at[first][by_part], part[by_part], counts[by_part]
                 columns = [words.take(pa.array(block.ids[start + step] - 1)) for step in range(size)]
                 phrase = columns[0] if size == 1 else pc.binary_join_element_wise(*columns, b" ")
-                k = len(start)
+                bounds = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+                k = len(bounds) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["lang"]] * k, pa.string()), phrase.cast(pa.string()), pa.array(counts.astype(np.int64))],
-                    ["lang", "phrase", "n"])
+                    [pa.array(part[bounds[:-1]]), pa.array([row["lang"]] * k, pa.string()),
+                     pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), phrase), b"\n"),
+                     pa.array([_planes(counts[a:b], "<u4") for a, b in zip(bounds, bounds[1:])], pa.binary())],
+                    ["part", "lang", "phrases", "counts"])
+
+
+def _added(table: pa.Table, support: int) -> pa.Table:
+    """(lang, phrase, f) of the phrases of a part of the hash space that are frequent over all blocks."""
+    found = [p.split(b"\n") for p in table.column("phrases").to_pylist()]
+    sizes = [len(p) for p in found]
+    lang = np.repeat(np.arange(len(sizes)), sizes)
+    names = table.column("lang").combine_chunks().dictionary_encode()
+    rows = pa.table({"lang": pa.array(names.indices.to_numpy()[lang]), "phrase": pa.array([p for own in found for p in own], pa.binary()),
+                     "f": pa.array(np.concatenate([_numbers(c, "<u4") for c in table.column("counts").to_pylist()]))})
+    sums = rows.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+    sums = sums.filter(pc.greater_equal(sums.column("f_sum"), support))
+    return pa.table({"lang": names.dictionary.take(sums.column("lang").combine_chunks()), "phrase": sums.column("phrase").cast(pa.string()), "f": sums.column("f_sum")})
 
 
 def frequent_phrases(docs: DataFrame, support: int = 30, longest: int = 4, text_col: str = "text", lang_col: str = "lang",
@@ -285,8 +307,8 @@ def frequent_phrases(docs: DataFrame, support: int = 30, longest: int = 4, text_
             bitmap[first : first + len(piece)] |= piece
         known.append(spark.sparkContext.broadcast(bitmap.tobytes()))
 
-    counted = blocks.mapInArrow(lambda it: _counted(it, longest, known), "lang string, phrase string, n long")
-    exact = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
+    counted = blocks.mapInArrow(lambda it: _counted(it, longest, parts, known), "part long, lang string, phrases binary, counts binary")
+    exact = counted.groupBy("part").applyInArrow(lambda t: _added(t, support), "lang string, phrase string, f long")
     exact = exact.select("lang", F.size(F.split("phrase", " ")).alias("size"), "phrase", "f")
     return written(exact, "phrases"), blocks.groupBy("lang").agg(F.sum("n").alias("n"))
 
