@@ -134,6 +134,20 @@ def eigenvector(spark: SparkSession, d: str) -> DataFrame:
     return scores.withColumn("eigenvector", F.round("eigenvector", 9))
 
 
+def pagerank_converged(spark: SparkSession, d: str) -> DataFrame:
+    members = cut_lineage(_windowed(spark, d))
+    ranks = graph.converged_pagerank(graph.vertices_of(members), cut_lineage(graph.edges_of(members)))
+    return ranks.select("win", "person", F.round("pagerank", 9).alias("pagerank"))
+
+
+def eigenvector_converged(spark: SparkSession, d: str) -> DataFrame:
+    """The leading eigenvector within the largest component of the graph of all time."""
+    members = cut_lineage(_all_time(spark, d))
+    edges = cut_lineage(graph.edges_of(members))
+    scores = graph.converged_eigenvector(graph.vertices_of(members), edges, cut_lineage(graph.components(members)), 0)
+    return scores.select("win", "person", F.round("eigenvector", 8).alias("eigenvector"))
+
+
 def central_labels(spark: SparkSession, d: str) -> DataFrame:
     """The two best-ranked orders of every component with at least three."""
     members = cut_lineage(_sparse(spark, d))
@@ -149,6 +163,18 @@ def betweenness(spark: SparkSession, d: str) -> DataFrame:
     return found.select("person", F.round("betweenness", 6).alias("betweenness"))
 
 
+def edge_betweenness(spark: SparkSession, d: str) -> DataFrame:
+    """Exact, for the edges of the sparse graph."""
+    found = graph.edge_betweenness(cut_lineage(graph.edges_of(_sparse(spark, d))))
+    return found.select("src", "dst", F.round("betweenness", 6).alias("betweenness"))
+
+
+def betweenness_sampled(spark: SparkSession, d: str) -> DataFrame:
+    """Estimates within 5 per cent of all pairs, from as many searches in each three-year window as that takes."""
+    edges = cut_lineage(graph.edges_of(_windowed(spark, d)))
+    return graph.betweenness(edges, cut_lineage(graph.sampled_sources(edges, error=0.05, doubt=0.01)))
+
+
 def window_measures(spark: SparkSession, d: str) -> DataFrame:
     members = cut_lineage(_windowed(spark, d))
     rows = graph.window_measures(members, graph.edges_of(members), ROUNDS)
@@ -170,8 +196,8 @@ QUERIES = {
     for f in (
         graph_vertices, graph_edges, graph_edges_by_year, graph_edge_rows, graph_windows, degree, unique_degree,
         restricted_edges, attached_edges, components, component_rank, largest_component, neighbourhood_2hop,
-        edge_select, clustering_coefficient, burt_constraint, pagerank, eigenvector, central_labels, betweenness,
-        window_measures, graphml,
+        edge_select, clustering_coefficient, burt_constraint, pagerank, eigenvector, pagerank_converged, eigenvector_converged,
+        central_labels, betweenness, edge_betweenness, betweenness_sampled, window_measures, graphml,
     )
 }
 
@@ -195,9 +221,9 @@ con AS (SELECT t.win, t.src AS person, sum(pow((1 + coalesce(s, 0)) / d.k, 2)) A
     LEFT JOIN ind i ON i.win = t.win AND i.src = t.src AND i.dst = t.dst GROUP BY ALL)"""
 
 
-def _rank_ctes(damping: float = 0.85) -> str:
+def _rank_ctes(damping: float = 0.85, rounds: int = ROUNDS) -> str:
     steps = ["pr0 AS MATERIALIZED (SELECT v.win, v.person, k, count(*) OVER (PARTITION BY v.win) AS n, 1.0::DOUBLE / count(*) OVER (PARTITION BY v.win) AS r FROM ver v LEFT JOIN deg d ON d.win = v.win AND d.person = v.person)"]
-    for i in range(1, ROUNDS + 1):
+    for i in range(1, rounds + 1):
         p = f"pr{i - 1}"
         steps.append(f"""pr{i} AS MATERIALIZED (SELECT p.win, p.person, k, n, {1 - damping}::DOUBLE / n + {damping}::DOUBLE * (coalesce(f, 0) + l / n) AS r FROM {p} p
   LEFT JOIN (SELECT t.win, t.dst, sum(q.r / q.k) AS f FROM two t JOIN {p} q ON q.win = t.win AND q.person = t.src GROUP BY ALL) i ON i.win = p.win AND i.dst = p.person
@@ -205,9 +231,9 @@ def _rank_ctes(damping: float = 0.85) -> str:
     return ",\n".join(steps)
 
 
-def _eigen_ctes() -> str:
+def _eigen_ctes(rounds: int = ROUNDS) -> str:
     steps = ["ev0 AS MATERIALIZED (SELECT win, person, 1.0::DOUBLE AS s FROM ver)"]
-    for i in range(1, ROUNDS + 1):
+    for i in range(1, rounds + 1):
         p = f"ev{i - 1}"
         steps.append(f"""ev{i} AS MATERIALIZED (SELECT win, person, raw / max(raw) OVER (PARTITION BY win) AS s FROM (
   SELECT p.win, p.person, p.s + coalesce(f, 0) AS raw FROM {p} p LEFT JOIN (SELECT t.win, t.dst, sum(q.s) AS f FROM two t JOIN {p} q ON q.win = t.win AND q.person = t.src GROUP BY ALL) i
@@ -224,6 +250,26 @@ def _label_ctes(rounds: int) -> str:
     return ",\n".join(steps)
 
 
+def _search_ctes(levels: int) -> str:
+    """Shortest paths from every node, level by level, then back: ``nd`` (source, person, d) and ``ed`` (v, w, f).
+
+    ``levels`` must cover the longest shortest path of the graph.
+    """
+    steps = ["bf0 AS MATERIALIZED (SELECT person AS s, person AS v, 0 AS l, 1.0::DOUBLE AS p FROM deg)"]
+    for i in range(1, levels + 1):
+        steps.append(f"""bf{i} AS MATERIALIZED (SELECT * FROM bf{i - 1} UNION ALL SELECT b.s, t.dst, {i}, sum(b.p) FROM bf{i - 1} b JOIN two t ON t.src = b.v
+  WHERE b.l = {i - 1} AND NOT EXISTS (SELECT 1 FROM bf{i - 1} o WHERE o.s = b.s AND o.v = t.dst) GROUP BY ALL)""")
+    steps.append(f"dp{levels} AS MATERIALIZED (SELECT s, v, l, p, 0.0::DOUBLE AS d FROM bf{levels} WHERE l = {levels})")
+    for i in range(levels, 0, -1):
+        steps.append(f"""ef{i} AS MATERIALIZED (SELECT a.s, a.v, w.v AS w, a.p / w.p * (1 + w.d) AS f FROM dp{i} w JOIN two t ON t.src = w.v
+  JOIN bf{levels} a ON a.s = w.s AND a.v = t.dst AND a.l = {i - 1})""")
+        steps.append(f"""dp{i - 1} AS MATERIALIZED (SELECT a.s, a.v, a.l, a.p, coalesce(sum(f), 0) AS d FROM bf{levels} a LEFT JOIN ef{i} e ON e.s = a.s AND e.v = a.v
+  WHERE a.l = {i - 1} GROUP BY ALL)""")
+    steps.append("nd AS (" + " UNION ALL ".join(f"SELECT v, d FROM dp{i}" for i in range(1, levels + 1)) + ")")
+    steps.append("ed AS (" + " UNION ALL ".join(f"SELECT least(v, w) AS a, greatest(v, w) AS b, f FROM ef{i}" for i in range(1, levels + 1)) + ")")
+    return ",\n".join(steps)
+
+
 _REACH = """rch AS (SELECT src AS person, dst AS other FROM two UNION SELECT r.person, t.dst FROM rch r JOIN two t ON t.src = r.other),
 cmp AS MATERIALIZED (SELECT v.person, least(v.person, min(other)) AS component FROM ver v LEFT JOIN rch r ON r.person = v.person GROUP BY v.person)"""
 _RANKED = """cs AS MATERIALIZED (SELECT component, count(*) AS size FROM cmp GROUP BY ALL),
@@ -256,6 +302,15 @@ ORACLES = {
     "burt_constraint": f"""WITH {_MEMBERS}, {_EDGES}, {_CONSTRAINT} SELECT win, person, round(constr, 9) AS "constraint" FROM con""",
     "pagerank": f"WITH {_MEMBERS}, {_EDGES}, {_rank_ctes()} SELECT win, person, round(r, 9) AS pagerank FROM pr{ROUNDS}",
     "eigenvector": f"WITH {_MEMBERS}, {_EDGES}, {_eigen_ctes()} SELECT win, person, round(s, 9) AS eigenvector FROM ev{ROUNDS}",
+    # plain rounds until nothing moves: 0.85 ** 160 is under 1e-11, and a round on the dense graph takes off over half
+    "pagerank_converged": f"WITH {_MEMBERS}, {_EDGES}, {_rank_ctes(rounds=160)} SELECT win, person, round(r, 9) AS pagerank FROM pr160",
+    "eigenvector_converged": f"""WITH {_ALL}, {_EDGES}, {_label_ctes(24)}, {_eigen_ctes(60)},
+        sz AS (SELECT win, c, count(*) AS size FROM lb24 GROUP BY ALL), big AS (SELECT win, c FROM sz QUALIFY row_number() OVER (PARTITION BY win ORDER BY size DESC, c) = 1)
+        SELECT e.win, e.person, round(s, 8) AS eigenvector FROM ev60 e JOIN lb24 USING (win, person) JOIN big ON big.win = lb24.win AND big.c = lb24.c""",
+    "betweenness": f"""WITH {_SPARSE}, {_EDGES}, {_search_ctes(12)} SELECT person, round(coalesce(b, 0), 6) AS betweenness FROM deg
+        LEFT JOIN (SELECT v, sum(d) / 2 AS b FROM nd GROUP BY v) ON v = person""",
+    "edge_betweenness": f"""WITH {_SPARSE}, {_EDGES}, {_search_ctes(12)} SELECT src, dst, round(f, 6) AS betweenness FROM edg
+        JOIN (SELECT a, b, sum(f) / 2 AS f FROM ed GROUP BY a, b) ON a = src AND b = dst""",
     "central_labels": f"""WITH RECURSIVE {_SPARSE}, {_EDGES}, {_REACH}, {_rank_ctes(0.95)},
         sc AS (SELECT p.person, round(r, 12) AS pagerank, component, count(*) OVER (PARTITION BY component) AS n FROM pr{ROUNDS} p JOIN cmp ON cmp.person = p.person)
         SELECT person, pagerank, component, row_number() OVER (PARTITION BY component ORDER BY pagerank DESC, person)::INTEGER AS label_rank FROM sc WHERE n >= 3 QUALIFY label_rank <= 2""",

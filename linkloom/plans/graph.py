@@ -8,6 +8,7 @@ measure truly needs pairs.  Degree, components and neighbourhoods are computed o
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -195,6 +196,99 @@ def eigenvector(vertices: DataFrame, edges: DataFrame, rounds: int = 10) -> Data
     return scores.withColumnRenamed("score", "eigenvector")
 
 
+class NotSettled(RuntimeError):
+    """A window's scores still move after the last round allowed."""
+
+
+def _settle(state: DataFrame, links: DataFrame, step: Callable[[DataFrame, DataFrame, int], DataFrame], tolerance: float, most_rounds: int,
+            every: int = 5) -> DataFrame:
+    """Repeat ``step`` on (win, person, score, ...) until no window's scores move by more than ``tolerance`` of their sum in a round.
+
+    Every few rounds the windows that have settled are set aside with their number of rounds and take no further part.
+    Each round writes the state once, with the scores before it; the driver learns the number of settled windows only.
+    """
+    state = cut_lineage(state)
+    hint = _window_hint(state.select("win").distinct())
+    done = state.select("win", "person", "score", F.lit(0).alias("rounds")).where("false")
+    for turn in range(1, most_rounds + 1):
+        state = cut_lineage(step(state, links, turn))
+        if turn % every and turn < most_rounds:
+            continue
+        moves = state.groupBy("win").agg(F.sum(F.abs(F.col("score") - F.col("_old"))).alias("_moves"), F.sum("score").alias("_sum"))
+        settled = cut_lineage(moves.where(F.col("_moves") <= tolerance * F.col("_sum")).select("win"))
+        if settled.isEmpty():
+            continue
+        done = done.unionByName(state.join(hint(settled), "win", "left_semi").select("win", "person", "score", F.lit(turn).alias("rounds")))
+        state = cut_lineage(state.join(hint(settled), "win", "left_anti"))
+        links = links.join(hint(settled), "win", "left_anti")
+        if state.isEmpty():
+            return done
+    if not state.isEmpty():
+        raise NotSettled(f"after {most_rounds} rounds at least one window still moves by more than {tolerance} of its sum")
+    return done
+
+
+def converged_pagerank(vertices: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = 1e-12, most_rounds: int = 500) -> DataFrame:
+    """(win, person, pagerank, rounds): the stationary ranks of each window's simple graph, summing to 1.
+
+    Ranks of unconnected persons are dealt out evenly, as the random jumps are.  So the ranks are, up to a factor, the
+    solution x of x = 1 + damping * A D^-1 x, whose matrix has its eigenvalues between -damping and damping:
+    Chebyshev's two-step iteration takes a third of the rounds of plain steps (at 0.85 the error falls to 0.56 a round).
+    """
+    links = cut_lineage(both_ways(edges))
+    out = links.groupBy("win", "src").agg(F.count(F.lit(1)).alias("out"))
+    nodes = vertices.select("win", "person").distinct().join(out.withColumnRenamed("src", "person"), ["win", "person"], "left")
+    weights = [0.0, 1.0, 2 / (2 - damping * damping)]
+    for _ in range(most_rounds):
+        weights.append(1 / (1 - damping * damping * weights[-1] / 4))
+
+    def step(state: DataFrame, links: DataFrame, turn: int) -> DataFrame:
+        shares = state.where("out is not null").select("win", F.col("person").alias("src"), (F.col("score") / F.col("out")).alias("share"))
+        inflow = links.join(shares, ["win", "src"]).groupBy("win", F.col("dst").alias("person")).agg(F.sum("share").alias("inflow"))
+        plain = 1 + damping * F.coalesce("inflow", F.lit(0.0))
+        fresh = F.lit(weights[turn]) * (plain - F.col("_old")) + F.col("_old")
+        return state.join(inflow, ["win", "person"], "left").select("win", "person", "out", F.col("score").alias("_old"), fresh.alias("score"))
+
+    start = nodes.select("win", "person", "out", F.lit(0.0).alias("_old"), F.lit(1.0).alias("score"))
+    ranks = cut_lineage(_settle(start, links, step, tolerance, most_rounds))
+    total = ranks.groupBy("win").agg(F.sum("score").alias("total"))
+    return ranks.join(_window_hint(total)(total), "win").select("win", "person", (F.col("score") / F.col("total")).alias("pagerank"), "rounds")
+
+
+def converged_eigenvector(vertices: DataFrame, edges: DataFrame, labelled: DataFrame | None = None, place: int | None = None,
+                          tolerance: float = 1e-12, most_rounds: int = 2000) -> DataFrame:
+    """(win, person, eigenvector, rounds): the leading eigenvector of each window's adjacency, largest 1.
+
+    With ``labelled`` (win, person, component) and ``place`` only the window's ``place``-th largest component
+    counts (0: the largest) and its persons alone are returned.  Otherwise persons outside the components of the largest eigenvalue tend to 0.
+    Scores move along A + mI with m half the mean degree: the shift leaves the eigenvectors as they are, keeps two-sided graphs
+    from swinging and draws the lower eigenvalues together.  Long thin components take many rounds; where ``most_rounds``
+    are not enough :class:`NotSettled` says so.
+    """
+    if place is not None:
+        edges = nth_component(edges, labelled, place)
+        chosen = component_sizes(labelled).where(F.col("place") == place).select("win", "component")
+        inside = labelled.join(chosen, ["win", "component"], "left_semi").select("win", "person")
+        vertices = vertices.join(inside, ["win", "person"], "left_semi")
+    links = cut_lineage(both_ways(edges))
+    nodes = cut_lineage(vertices.select("win", "person").distinct())
+    hint = _window_hint(nodes.select("win").distinct())
+    mean = links.groupBy("win").agg(F.count(F.lit(1)).alias("ends"))
+    mean = nodes.groupBy("win").agg(F.count(F.lit(1)).alias("n")).join(mean, "win", "left").select(
+        "win", F.greatest(F.coalesce("ends", F.lit(0)) / F.col("n") / 2, F.lit(1.0)).alias("shift"))
+
+    def step(state: DataFrame, links: DataFrame, turn: int) -> DataFrame:
+        inflow = links.join(state.select("win", F.col("person").alias("src"), "score"), ["win", "src"]).groupBy(
+            "win", F.col("dst").alias("person")).agg(F.sum("score").alias("inflow"))
+        raw = cut_lineage(state.join(inflow, ["win", "person"], "left").select(
+            "win", "person", "shift", F.col("score").alias("_old"), (F.col("shift") * F.col("score") + F.coalesce("inflow", F.lit(0.0))).alias("raw")))
+        top = raw.groupBy("win").agg(F.max("raw").alias("top"))
+        return raw.join(hint(top), "win").select("win", "person", "shift", "_old", (F.col("raw") / F.col("top")).alias("score"))
+
+    start = nodes.join(hint(mean), "win").withColumn("score", F.lit(1.0))
+    return _settle(start, links, step, tolerance, most_rounds).withColumnRenamed("score", "eigenvector")
+
+
 def triangles(edges: DataFrame) -> DataFrame:
     """(win, a, b, c) once per triangle.
 
@@ -302,18 +396,25 @@ def central_labels(scores: DataFrame, group: str, score: str, size: int, number:
     return top_within(inside, ["win", group], [F.col(score).desc(), F.col("person")], number, "label_rank")
 
 
-def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
-    """(win, person, betweenness) by Brandes' two sweeps as frontier joins.
+def sample_size(n_nodes: int, error: float, doubt: float = 0.01) -> int:
+    """Sources for which every node's estimate is within ``error`` of its share of all pairs, but with a chance of ``doubt``.
 
-    ``sources`` (win, person) restricts the start nodes for an estimate; without it
-    every node starts a search and the result is exact.  The loop runs once per level
-    of the deepest search, not per source.
+    Hoeffding's bound over all nodes at once (Brandes and Pich, 2007): a source adds 0 to n - 2 to a node.
     """
-    links = cut_lineage(both_ways(edges))
-    nodes = cut_lineage(links.select("win", F.col("src").alias("person")).distinct())
-    start = (nodes if sources is None else sources.select("win", "person").distinct()).select(
-        "win", F.col("person").alias("source"), "person"
-    )
+    return max(1, math.ceil(math.log(2 * max(n_nodes, 1) / doubt) / (2 * error * error)))
+
+
+def sampled_sources(edges: DataFrame, error: float, doubt: float = 0.01, seed: int = 0) -> DataFrame:
+    """(win, person): per window as many start nodes, chosen by a hash, as the bound asks for; all where it asks for more than there are."""
+    nodes = both_ways(edges).select("win", F.col("src").alias("person")).distinct()
+    sizes = nodes.groupBy("win").agg(F.count(F.lit(1)).alias("_n"))
+    need = F.ceil(F.log(2 * F.col("_n") / doubt) / (2 * error * error)).alias("_k")
+    placed = index_within(nodes, ["win"], [F.xxhash64("win", "person", F.lit(seed)), F.col("person")], "_place")
+    return placed.join(sizes.select("win", need), "win").where(F.col("_place") < F.col("_k")).select("win", "person")
+
+
+def _searches(links: DataFrame, start: DataFrame) -> tuple[DataFrame, int]:
+    """(win, source, person, level, paths) of the breadth-first searches from ``start``, and the depth of the deepest."""
     visited = cut_lineage(start.withColumn("level", F.lit(0)).withColumn("paths", F.lit(1.0)))
     depth = 0
     while True:
@@ -327,33 +428,61 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame
         )
         reached = cut_lineage(reached)
         if reached.isEmpty():
-            break
+            return cut_lineage(visited), depth
         visited = visited.unionByName(reached)
         depth += 1
-    visited = cut_lineage(visited)
+
+
+def _dependencies(edges: DataFrame, sources: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes, what passes through each node and what passes over each edge, summed over the sources (Brandes, 2001).
+
+    The loops run once per level of the deepest search, not per source.  Estimates from some of a window's nodes are
+    scaled up to all of them.
+    """
+    links = cut_lineage(both_ways(edges))
+    nodes = cut_lineage(links.select("win", F.col("src").alias("person")).distinct())
+    start = nodes if sources is None else sources.select("win", "person").distinct().join(nodes, ["win", "person"], "left_semi")
+    start = cut_lineage(start.select("win", F.col("person").alias("source"), "person"))
+    visited, depth = _searches(links, start)
     gain = visited.where(F.col("level") == depth).select("win", "source", "person", "paths", F.lit(0.0).alias("gain"))
-    total = gain.where("false")
+    through = gain.where("false")
+    over = gain.select("win", F.col("person").alias("src"), F.col("person").alias("dst"), F.col("gain").alias("flow")).where("false")
     for level in range(depth, 0, -1):
-        above = visited.where(F.col("level") == level - 1)
-        flow = gain.select(
-            "win", "source", F.col("person").alias("src"), ((1 + F.col("gain")) / F.col("paths")).alias("flow")
-        )
-        passed = (
-            flow.join(links, ["win", "src"])
-            .groupBy("win", "source", F.col("dst").alias("person"))
-            .agg(F.sum("flow").alias("flow"))
-        )
-        gain = cut_lineage(
-            above.join(passed, ["win", "source", "person"], "left").select(
-                "win", "source", "person", "paths", (F.coalesce("flow", F.lit(0.0)) * F.col("paths")).alias("gain")
-            )
-        )
+        above = visited.where(F.col("level") == level - 1).select("win", "source", "person", "paths")
+        flow = gain.select("win", "source", F.col("person").alias("src"), ((1 + F.col("gain")) / F.col("paths")).alias("flow"))
+        # one row per source and edge that a shortest path takes to this level
+        passed = flow.join(links, ["win", "src"]).withColumnRenamed("dst", "person").join(above, ["win", "source", "person"]).select(
+            "win", "source", "person", "paths", "src", (F.col("flow") * F.col("paths")).alias("flow"))
+        passed = cut_lineage(passed)
+        over = over.unionByName(passed.groupBy("win", F.least("person", "src").alias("src"), F.greatest("person", "src").alias("dst")).agg(F.sum("flow").alias("flow")))
+        gained = passed.groupBy("win", "source", "person").agg(F.sum("flow").alias("gain"))
+        gain = cut_lineage(above.join(gained, ["win", "source", "person"], "left").withColumn("gain", F.coalesce("gain", F.lit(0.0))))
         if level > 1:
-            total = total.unionByName(gain)
-    through = total.groupBy("win", "person").agg((F.sum("gain") / 2).alias("betweenness"))
-    return nodes.join(through, ["win", "person"], "left").select(
-        "win", "person", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness")
-    )
+            through = through.unionByName(gain)
+    scale = nodes.groupBy("win").agg(F.count(F.lit(1)).alias("_n")).join(start.groupBy("win").agg(F.count(F.lit(1)).alias("_k")), "win").select(
+        "win", (F.col("_n") / F.col("_k") / 2).alias("_scale"))
+    hint = _window_hint(scale)
+    through = through.groupBy("win", "person").agg(F.sum("gain").alias("gain")).join(hint(scale), "win")
+    over = over.groupBy("win", "src", "dst").agg(F.sum("flow").alias("flow")).join(hint(scale), "win")
+    return nodes, through.select("win", "person", (F.col("gain") * F.col("_scale")).alias("betweenness")), over.select(
+        "win", "src", "dst", (F.col("flow") * F.col("_scale")).alias("betweenness"))
+
+
+def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """(win, person, betweenness): shortest paths between other persons that pass a person.
+
+    Without ``sources`` every node starts a search and the result is exact.  With them (win, person) it is an estimate
+    from their searches, scaled up; :func:`sampled_sources` chooses as many as an error bound asks for.
+    """
+    nodes, through, _ = _dependencies(edges, sources)
+    return nodes.join(through, ["win", "person"], "left").select("win", "person", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
+
+
+def edge_betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """(win, src, dst, betweenness): shortest paths between any two persons that take an edge; ``sources`` as in :func:`betweenness`."""
+    _, _, over = _dependencies(edges, sources)
+    return edges.select("win", "src", "dst").join(over, ["win", "src", "dst"], "left").select(
+        "win", "src", "dst", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
 
 
 def summary(vertices: DataFrame, edges: DataFrame) -> DataFrame:
