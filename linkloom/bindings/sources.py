@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.bindings.base import table
-from linkloom.operators.aggregates import joined_values
 from linkloom.session import cut_lineage, scratch_path, spread
 from linkloom.sources import claims, delimited, documents, shred, sinks
 
@@ -68,11 +67,18 @@ def bad_documents(spark: SparkSession, d: str) -> DataFrame:
     return shred.bad_documents(split).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_documents(spark: SparkSession, d: str) -> str:
+document_rows = _documents
+
+
+def store_documents(rows: DataFrame, path: str) -> None:
     """Concatenated document files, one folder per month named as the archive names its files."""
-    path = scratch_path(spark, "documents")
     folder = F.concat(F.lit("ipg"), F.date_format("o_orderdate", "yyMM"), F.lit("01"))
-    _documents(spark, d).select("value", folder.alias("issue")).hint("rebalance", F.col("issue")).write.partitionBy("issue").text(path)
+    rows.select("value", folder.alias("issue")).hint("rebalance", F.col("issue")).write.partitionBy("issue").text(path)
+
+
+def write_documents(spark: SparkSession, d: str) -> str:
+    path = scratch_path(spark, "documents")
+    store_documents(_documents(spark, d), path)
     return path
 
 
@@ -108,9 +114,8 @@ def cluster_file_load(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem")
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     facts = cut_lineage(lines.select(key.alias("fact"), F.col("l_suppkey").cast("string").alias("supplier")).groupBy("fact").agg(F.min("supplier").alias("supplier")))
-    joined = joined_values(facts, ["supplier"], "fact", "members")
     path = scratch_path(spark, "clusters")
-    joined.select(F.concat_ws("###", "supplier", F.col("n_values").cast("string"), "members")).write.text(path)
+    delimited.write_clusters(facts, "supplier", "fact", path)
     return delimited.load_clusters(facts.select("fact"), "fact", delimited.read_clusters(spark, path))
 
 

@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.operators.aggregates import ordered_values
+
 # Fixed patterns of the type rules.
 NUMBER_MARKS = "[-,.]"
 DIGITS = "^[0-9]+$"
@@ -141,8 +143,23 @@ def cluster_members(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def write_clusters(rows: DataFrame, cluster: str, member: str, path: str, per_line: int = 1000) -> None:
+    """Lines ``id###n###id,id,...`` of at most ``per_line`` members; n is the whole cluster's number of members on each.
+
+    Members are numbered over ranges, so a cluster of any size is cut into lines by many tasks.
+    """
+    named = rows.select(F.col(cluster).cast("string").alias("_c"), F.col(member).cast("string").alias("_m")).where("_c is not null and _m is not null")
+    placed = ordered_values(named, ["_c"], "_m", "_m")
+    totals = placed.groupBy("_c").agg(F.count(F.lit(1)).alias("_n"))
+    # members first meet in their line, so a large cluster's total joins its lines only
+    lines = placed.groupBy("_c", F.floor(F.col("ordinal") / per_line).alias("_line")).agg(F.sort_array(F.collect_list(F.struct("ordinal", "_m"))).alias("_l"))
+    text = F.array_join(F.transform("_l", lambda x: x["_m"]), ",")
+    lines.join(totals, "_c").select(F.concat_ws("###", "_c", F.col("_n").cast("string"), text).alias("value")).write.text(path)
+
+
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:
-    return cluster_members(spark.read.text(path))
+    """(member, cluster_id, n); a cluster may be cut into several lines, each with its whole size."""
+    return cluster_members(spark.read.text(path)).distinct()
 
 
 def load_clusters(facts: DataFrame, key: str, clusters: DataFrame) -> DataFrame:

@@ -116,6 +116,16 @@ def _text(path: str) -> Column:
     return clean_markup(F.coalesce(F.col(path), F.lit("")))
 
 
+def _cleaned(rows: DataFrame, paths: dict[str, str], keep: tuple[str, ...] = ("patent", "seq")) -> DataFrame:
+    """``keep`` and the cleaned text of every path under its name.
+
+    One rule runs over all texts of a row, so the plan holds its long expression once, and later columns refer to the results.
+    """
+    texts = F.array(*(F.coalesce(F.col(path), F.lit("")) for path in paths.values()))
+    done = compute_once(rows, "_texts", F.transform(texts, clean_markup))
+    return done.select(*keep, *(F.get("_texts", F.lit(i)).alias(name) for i, name in enumerate(paths)))
+
+
 def _at(path: str) -> Column:
     return F.col("g." + path)
 
@@ -130,19 +140,12 @@ def _first_array(*paths: str) -> Column:
 
 def patents(grants: DataFrame) -> DataFrame:
     pub, app = "g.publication-reference.document-id.", "g.application-reference."
-    grant_date, app_date = _text(pub + "date"), _text(app + "document-id.date")
-    return grants.select(
-        "patent",
-        _text(pub + "kind").alias("kind"),
-        _text("g.number-of-claims").alias("claims"),
-        _text("g.us-application-series-code").alias("apptype"),
-        _text(app + "document-id.doc-number").alias("appnum"),
-        grant_date.alias("gdate"),
-        F.substring(grant_date, 1, 4).alias("gyear"),
-        app_date.alias("appdate"),
-        F.substring(app_date, 1, 4).alias("appyear"),
-        _text(app + "_appl-type").alias("pattype"),
-    )
+    texts = _cleaned(grants, {
+        "kind": pub + "kind", "claims": "g.number-of-claims", "apptype": "g.us-application-series-code", "appnum": app + "document-id.doc-number",
+        "gdate": pub + "date", "appdate": app + "document-id.date", "pattype": app + "_appl-type"}, ("patent",))
+    return texts.select(
+        "patent", "kind", "claims", "apptype", "appnum", "gdate", F.substring("gdate", 1, 4).alias("gyear"), "appdate",
+        F.substring("appdate", 1, 4).alias("appyear"), "pattype")
 
 
 def descriptions(grants: DataFrame) -> DataFrame:
@@ -153,18 +156,17 @@ def descriptions(grants: DataFrame) -> DataFrame:
 def assignees(grants: DataFrame) -> DataFrame:
     """One row per assignee: organisations under their role, persons as ``LAST, FIRST`` under 00."""
     rows = _position(grants, _at("assignees.assignee"))
-    first, last = _text("e.addressbook.first-name"), _text("e.addressbook.last-name")
-    person = (first != "") | (last != "")
-    name = person_label(join_prefix(first, last), split_given(first))
     where = "e.addressbook.address."
-    return rows.select(
+    texts = _cleaned(rows, {
+        "first": "e.addressbook.first-name", "last": "e.addressbook.last-name", "role": "e.addressbook.role", "orgname": "e.addressbook.orgname",
+        **{c: where + c for c in ("city", "state", "country")}, "nationality": "e.nationality.country", "residence": "e.residence.country"})
+    first, last = F.col("first"), F.col("last")
+    person = (first != "") | (last != "")
+    return texts.select(
         "patent",
-        F.when(person, "00").otherwise(_text("e.addressbook.role")).alias("asgtype"),
-        F.when(person, name).otherwise(_text("e.addressbook.orgname")).alias("assignee"),
-        *[_text(where + c).alias(c) for c in ("city", "state", "country")],
-        _text("e.nationality.country").alias("nationality"),
-        _text("e.residence.country").alias("residence"),
-        F.col("seq").alias("asgseq"),
+        F.when(person, "00").otherwise(F.col("role")).alias("asgtype"),
+        F.when(person, person_label(join_prefix(first, last), split_given(first))).otherwise(F.col("orgname")).alias("assignee"),
+        "city", "state", "country", "nationality", "residence", F.col("seq").alias("asgseq"),
     )
 
 
@@ -176,11 +178,12 @@ def citations(grants: DataFrame) -> DataFrame:
     """Citations that name a country, numbered among themselves."""
     cited = F.filter(_citations(grants), lambda c: F.coalesce(c["patcit"]["document-id"]["country"], F.lit("")) != "")
     doc = "e.patcit.document-id."
-    date = _text(doc + "date")
-    return _position(grants, cited).select(
-        "patent", date.alias("cit_date"), _text(doc + "name").alias("cit_name"), _text(doc + "kind").alias("cit_kind"),
-        _text(doc + "country").alias("cit_country"), _text(doc + "doc-number").alias("citation"),
-        _text("e.category").alias("category"), F.col("seq").alias("citseq"), citation_date(date).alias("cit_day"),
+    texts = _cleaned(_position(grants, cited), {
+        "cit_date": doc + "date", "cit_name": doc + "name", "cit_kind": doc + "kind", "cit_country": doc + "country", "citation": doc + "doc-number",
+        "category": "e.category"})
+    return texts.select(
+        "patent", "cit_date", "cit_name", "cit_kind", "cit_country", "citation", "category", F.col("seq").alias("citseq"),
+        citation_date(F.col("cit_date")).alias("cit_day"),
     )
 
 
@@ -197,8 +200,8 @@ def classes(grants: DataFrame) -> DataFrame:
         F.array(_at("classification-national.main-classification")),
         F.coalesce(_at("classification-national.further-classification"), F.array().cast("array<string>")),
     )
-    code = _text("e")
-    return _position(grants, F.filter(codes, lambda c: c.isNotNull())).select(
+    code = F.col("code")
+    return _cleaned(_position(grants, F.filter(codes, lambda c: c.isNotNull())), {"code": "e"}).select(
         "patent", F.when(F.col("seq") == 0, 1).otherwise(0).alias("prim"),
         F.replace(F.substring(code, 1, 3), F.lit(" "), F.lit("")).alias("class"),
         F.replace(F.substr(code, F.lit(4)), F.lit(" "), F.lit("")).alias("subclass"),
@@ -214,23 +217,23 @@ def inventors(grants: DataFrame) -> DataFrame:
             "parties.inventors.inventor",
         ),
     )
-    first, last = _text("e.addressbook.first-name"), _text("e.addressbook.last-name")
     where = "e.addressbook.address."
-    return rows.select(
-        "patent", split_given(first).alias("firstname"), join_prefix(first, last).alias("lastname"),
-        *[_text(where + c).alias(c) for c in ("street", "city", "state", "country")],
-        _text(where + "postcode").alias("zipcode"), _text("e.nationality.country").alias("nationality"),
-        F.col("seq").alias("invseq"),
+    texts = _cleaned(rows, {
+        "first": "e.addressbook.first-name", "last": "e.addressbook.last-name", **{c: where + c for c in ("street", "city", "state", "country")},
+        "zipcode": where + "postcode", "nationality": "e.nationality.country"})
+    return texts.select(
+        "patent", split_given(F.col("first")).alias("firstname"), join_prefix(F.col("first"), F.col("last")).alias("lastname"),
+        "street", "city", "state", "country", "zipcode", "nationality", F.col("seq").alias("invseq"),
     )
 
 
 def lawyers(grants: DataFrame) -> DataFrame:
     rows = _position(grants, _first_array("parties.agents.agent", "us-parties.agents.agent", "agents.agent"))
-    first, last = _text("e.addressbook.first-name"), _text("e.addressbook.last-name")
-    return rows.select(
-        "patent", split_given(first).alias("firstname"), join_prefix(first, last).alias("lastname"),
-        _text("e.addressbook.address.country").alias("lawcountry"), _text("e.addressbook.orgname").alias("orgname"),
-        F.col("seq").alias("lawseq"),
+    texts = _cleaned(rows, {
+        "first": "e.addressbook.first-name", "last": "e.addressbook.last-name", "lawcountry": "e.addressbook.address.country", "orgname": "e.addressbook.orgname"})
+    return texts.select(
+        "patent", split_given(F.col("first")).alias("firstname"), join_prefix(F.col("first"), F.col("last")).alias("lastname"),
+        "lawcountry", "orgname", F.col("seq").alias("lawseq"),
     )
 
 
@@ -272,22 +275,18 @@ def related_documents(grants: DataFrame) -> DataFrame:
         lists.append(F.transform(F.coalesce(_at(f"us-related-documents.{kind}"), F.array()), plain(kind)))
     rows = _position(grants, F.flatten(F.array(*lists)))
     order = F.when(F.col("e.relationship") == "child-doc", -1).when(F.col("e.relationship").isNull(), 0).otherwise(1)
-    return rows.select(
-        "patent", F.upper("e.doctype").alias("doctype"), order.alias("orderseq"), _text("e.country").alias("country"),
-        strip_leading_zero(_text("e.number")).alias("relpatent"), _text("e.kind").alias("kind"), _text("e.date").alias("reldate"),
-        _text("e.status").alias("status"), F.coalesce("e.relationship", F.lit("")).alias("relationship"), "seq",
+    texts = _cleaned(rows.withColumn("_order", order), {c: f"e.{c}" for c in ("country", "number", "kind", "date", "status")}, ("patent", "seq", "e", "_order"))
+    return texts.select(
+        "patent", F.upper("e.doctype").alias("doctype"), F.col("_order").alias("orderseq"), "country", strip_leading_zero(F.col("number")).alias("relpatent"),
+        "kind", F.col("date").alias("reldate"), "status", F.coalesce("e.relationship", F.lit("")).alias("relationship"), "seq",
     )
 
 
 def ipc_classes(grants: DataFrame) -> DataFrame:
     rows = _position(grants, _at("classifications-ipcr.classification-ipcr"))
-    return rows.select(
-        "patent",
-        *[_text(f"e.{f}").alias(f.replace("-", "_")) for f in IPC_FIELDS],
-        _text("e.ipc-version-indicator.date").alias("ipc_version_indicator"),
-        _text("e.action-date.date").alias("action_date"),
-        "seq",
-    )
+    return _cleaned(rows, {
+        **{f.replace("-", "_"): f"e.{f}" for f in IPC_FIELDS}, "ipc_version_indicator": "e.ipc-version-indicator.date", "action_date": "e.action-date.date",
+    }).select("patent", *(f.replace("-", "_") for f in IPC_FIELDS), "ipc_version_indicator", "action_date", "seq")
 
 
 TABLES = {
