@@ -109,6 +109,19 @@ def csv_infer(spark: SparkSession, d: str) -> DataFrame:
     return delimited.typed(delimited.read_delimited(spark, path))
 
 
+def spec_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as files that begin with four rows of names, types, formats and roles, read back."""
+    rows = table(spark, d, "customer")
+    fields = [F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string"), F.concat_ws("\n", "c_name", F.concat_ws(", ", F.lit('"at"'), "c_mktsegment"))]
+    data = rows.select(F.pmod("c_custkey", F.lit(8)).cast("int").alias("_p"), F.lit(4).alias("_at"), *[f.alias(f"f{i}") for i, f in enumerate(fields)])
+    heads = [("Customer Key", "Nation", "Name"), ("VARCHAR", "INTEGER", "VARCHAR"), ("%09d", "", ""), ("UNIQUE", "EXACT", "FUZZY")]
+    head = spark.createDataFrame([(p, i, *row) for p in range(8) for i, row in enumerate(heads)], data.schema)
+    path = scratch_path(spark, "spec")
+    placed = data.unionByName(head).repartition("_p").sortWithinPartitions("_p", "_at")
+    placed.drop("_at").write.partitionBy("_p").csv(path, quote='"', escape='"')
+    return delimited.read_spec_file(spark, f"{path}/*")[0]
+
+
 def cluster_file_load(spark: SparkSession, d: str) -> DataFrame:
     """Lines ``id###n###id,...`` per supplier, written, read and joined back."""
     lines = table(spark, d, "lineitem")
@@ -130,7 +143,7 @@ def graph_export(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f"shred_{n}": _shredder(n) for n in SHRED_TABLES} | {
-    f.__name__: f for f in (bad_documents, multi_doc_split, file_listing, claims_extract, csv_infer, cluster_file_load, graph_export)
+    f.__name__: f for f in (bad_documents, multi_doc_split, file_listing, claims_extract, csv_infer, spec_csv, cluster_file_load, graph_export)
 }
 
 _DOC = """doc AS (SELECT 'D' || o_orderkey AS patent, strftime(o_orderdate, '%Y%m%d') AS day, o.*, c.* FROM orders o JOIN customer c ON o_custkey = c_custkey
@@ -169,6 +182,7 @@ ORACLES = {
     "claims_extract": """WITH l AS (SELECT doc_id, string_split(replace(text, '&', 'and'), chr(10)) AS p FROM documents)
         SELECT 'D' || doc_id AS patent, (unnest(range(1, len(p) + 1)) - 1)::INTEGER AS claim_no, unnest(p) AS claim FROM l""",
     "csv_infer": "SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice FROM part",
+    "spec_csv": """SELECT lpad(c_custkey::VARCHAR, 9, '0') AS "CustomerKey", c_nationkey::BIGINT AS "Nation", c_name || chr(10) || '"at", ' || c_mktsegment AS "Name" FROM customer""",
     "cluster_file_load": """WITH f AS (SELECT l_orderkey || '-' || l_linenumber AS fact, min(l_suppkey::VARCHAR) AS cluster_id FROM lineitem GROUP BY 1)
         SELECT fact, cluster_id, n FROM f JOIN (SELECT cluster_id, count(*) AS n FROM f GROUP BY 1) USING (cluster_id)""",
     "graph_export": """WITH mem AS (SELECT DISTINCT year(l_shipdate)::INTEGER AS win, l_orderkey AS doc, l_suppkey AS person FROM lineitem),

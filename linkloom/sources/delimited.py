@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.operators.aggregates import ordered_values
+from linkloom.sources.quoted import quoted_records
 
 # Fixed patterns of the type rules.
 NUMBER_MARKS = "[-,.]"
@@ -67,13 +68,31 @@ def typed(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFram
     )
 
 
+def _csv_options(sep: str = ",") -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
+
+
+def _fields(records: DataFrame, width: int, sep: str = ",") -> DataFrame:
+    """The fields of each record as text columns ``_c0`` and on; missing ones are NULL, further ones left out."""
+    schema = ", ".join(f"_c{i} STRING" for i in range(width))
+    parsed = F.from_csv("value", schema, {**_csv_options(sep), "multiLine": "true"})
+    return records.select(parsed.alias("_f")).select("_f.*")
+
+
 def read_delimited(spark: SparkSession, path: str, header: bool = True, sep: str = ",", multi_line: bool = True) -> DataFrame:
     """All columns as text, '' kept apart from NULL, header names sanitised.
 
-    Files without quoted line ends may be read with ``multi_line`` off, which lets Spark split them.
+    With ``multi_line`` fields may hold quoted line ends and a file is still read by many tasks; a file whose quotes do
+    not pair is an error then.  Without it every line is a record.
     """
-    df = spark.read.csv(path, header=header, sep=sep, quote='"', escape='"', nullValue="\u0000", emptyValue="", multiLine=multi_line)
+    reader = spark.read.options(**_csv_options(sep))
+    df = reader.csv(path, header=header, multiLine=multi_line)
     names = sanitise(df.columns) if header else [f"v{i}" for i in range(len(df.columns))]
+    if multi_line and names:
+        records = quoted_records(spark, path)
+        if header:
+            records = records.where((F.col("block") != 0) | (F.col("nth") > 1))
+        df = _fields(records, len(names), sep)
     return df.toDF(*names)
 
 
@@ -81,14 +100,13 @@ def read_spec_file(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str,
     """A file with four leading rows (names, types, number formats, roles) and data below.
 
     Only those four rows, known by their place in the file, reach the driver.  Formats such as ``%08d`` pad digit-only
-    values; the second result maps each role (UNIQUE, EXACT, FUZZY) to its columns.
+    values; the second result maps each role (UNIQUE, EXACT, FUZZY) to its columns.  Several files have those rows each.
     """
-    # a multi-line file is read by one task, so ids count its rows
-    raw = spark.read.csv(path, header=False, quote='"', escape='"', nullValue="\u0000", emptyValue="", multiLine=True)
-    numbered = raw.withColumn("_at", F.monotonically_increasing_id())
-    head = numbered.where(F.col("_at") < SPEC_ROWS).orderBy("_at").drop("_at").collect()
+    # a file's first records begin in its first split; the reader stops after them
+    head = spark.read.options(**_csv_options()).csv(path, header=False, multiLine=True).take(SPEC_ROWS)
     names, types, formats, roles = [[v or "" for v in row] for row in head]
     names = sanitise(names)
+    raw = _fields(quoted_records(spark, path).where((F.col("block") != 0) | (F.col("nth") > SPEC_ROWS)), len(names))
     columns = []
     for column, name, kind, pattern in zip(raw.columns, names, types, formats):
         value = F.col(column)
@@ -107,7 +125,7 @@ def read_spec_file(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str,
         for known in by_role:
             if role and role.upper()[0] == known[0]:
                 by_role[known].append(name)
-    return numbered.where(F.col("_at") >= SPEC_ROWS).select(*columns), by_role
+    return raw.select(*columns), by_role
 
 
 def read_foreign_gazetteer(spark: SparkSession, path: str) -> DataFrame:
