@@ -41,7 +41,7 @@ def fact_consolidate(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_orderkey").alias("doc"), F.col("c_name").alias("assignee"), F.col("c_custkey").alias("asgnum")
     )
     classes = consolidate.class_strings(_classes(spark, d), "doc", "p_brand", "p_type", "l_linenumber")
-    return consolidate.fact_table(persons, documents, assignees, classes)
+    return consolidate.fact_table(persons, documents, assignees, classes, copies={"middle_person": "person", "apply_year": "app_year"})
 
 
 _CLASS_SQL = """
@@ -61,11 +61,21 @@ p AS (SELECT l_orderkey AS doc, l_linenumber AS seq, l_suppkey AS person,
              row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_partkey) AS r FROM lineitem)
 SELECT p.doc, p.seq, p.person, strftime(o_orderdate, '%Y-%m-%d') AS app_date, year(o_orderdate)::INTEGER AS app_year,
        c_name AS assignee, c_custkey AS asgnum, classes, class_subs,
-       p.doc || '-' || p.seq AS invnum, p.doc || '-' || p.seq AS invnum_n, p.doc || '-' || p.seq AS unique_record_id
+       p.doc || '-' || p.seq AS invnum, p.doc || '-' || p.seq AS invnum_n, p.doc || '-' || p.seq AS unique_record_id,
+       p.person AS middle_person, year(o_orderdate)::INTEGER AS apply_year
 FROM p LEFT JOIN orders ON o_orderkey = p.doc LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN cs ON cs.doc = p.doc
 WHERE r = 1"""
 
 
+def strip_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Citing and cited document numbers with leading zeros, cleaned in place."""
+    citations = _lines(spark, d).select(
+        *LINE_KEY, F.concat(F.lit("D0"), F.col("l_orderkey").cast("string")).alias("patent"),
+        F.concat(F.col("l_returnflag"), F.lpad(F.col("l_partkey").cast("string"), 6, "0")).alias("citation"), "l_linestatus",
+    )
+    return consolidate.strip_keys(citations, ["patent", "citation"])
+
+
 def topx_classes(spark: SparkSession, d: str) -> DataFrame:
     return consolidate.class_strings(_classes(spark, d), "doc", "p_brand", "p_type", "l_linenumber")
 
@@ -238,7 +248,7 @@ def sql_functions(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        fact_consolidate, topx_classes, class_ranks, update_join_basic, update_join_layered, upsert_first_wins,
+        fact_consolidate, strip_keys, topx_classes, class_ranks, update_join_basic, update_join_layered, upsert_first_wins,
         upsert_last_wins, unique_values, modal_value, concat_values, per_doc_counts, value_counts, spread_limit,
         dictionary_map, flag_members, find_text, conditional_nulling, merge_ids, gold_lookup, lookup_misses,
         lookup_counts, schema_evolve, sample_rows, sql_functions,
@@ -247,6 +257,8 @@ QUERIES = {
 
 ORACLES = {
     "fact_consolidate": FACT_SQL,
+    "strip_keys": """SELECT l_orderkey, l_linenumber, 'D' || l_orderkey AS patent, l_linestatus,
+        l_returnflag || CASE WHEN length(l_partkey::VARCHAR) < 6 THEN substr(lpad(l_partkey::VARCHAR, 6, '0'), 2) ELSE l_partkey::VARCHAR END AS citation FROM lineitem""",
     "topx_classes": f"WITH {_CLASS_SQL} SELECT doc, classes, class_subs FROM cs",
     "class_ranks": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS place FROM lineitem""",

@@ -60,6 +60,12 @@ def truth_summary(spark: SparkSession, d: str) -> DataFrame:
     return done.select(*[F.round(c, 9).alias(c) if c in ("over_share", "under_share", "precision", "recall") else F.col(c) for c in done.columns])
 
 
+def truth_summary_all_years(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes and under-match share without a last year."""
+    marked = evaluate.verify(cut_lineage(_base(spark, d)), _truth(spark, d), EXACT, FUZZY, "cluster", "uid")
+    return evaluate.summarise(marked).select("original", "total", "under_clump", F.round(100 * F.col("under_share"), 6).alias("under_percent"))
+
+
 def gold_sample(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.gold_sample(_base(spark, d), _truth(spark, d), ["doc", "name"], ["doc", "line", "name"])
 
@@ -71,7 +77,7 @@ def gold_presence(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.gold_presence(gold, facts, "doc", ["doc"])
 
 
-QUERIES = {f.__name__: f for f in (truth_match, truth_match_exact, truth_expand, truth_summary, gold_sample, gold_presence)}
+QUERIES = {f.__name__: f for f in (truth_match, truth_match_exact, truth_expand, truth_summary, truth_summary_all_years, gold_sample, gold_presence)}
 
 _BASE = """
 bas AS MATERIALIZED (SELECT l_orderkey AS doc, l_linenumber AS line, CASE l_returnflag WHEN 'A' THEN replace(c_name, '0', 'O') WHEN 'R' THEN c_name || 'x' ELSE c_name END AS name,
@@ -96,6 +102,8 @@ ORACLES = {
     "truth_summary": f"""WITH {_BASE}, {_MATCH}, {_DETAIL}, s AS (SELECT count(truth_sub) AS r, count(*) AS t, count(error) AS e FROM det)
         SELECT r AS original, t - r AS new_records, t AS total, t - r AS over_clump, round(1 - r / t::DOUBLE, 9) AS over_share, e AS under_clump, round(e / r::DOUBLE, 9) AS under_share,
         round((1 - e / r::DOUBLE) / ((1 - e / r::DOUBLE) + 1 - r / t::DOUBLE), 9) AS precision, round(1 - e / r::DOUBLE, 9) AS recall FROM s""",
+    "truth_summary_all_years": f"""WITH {_BASE}, {_MATCH}, {_DETAIL.replace(" WHERE year::VARCHAR <= '2000'", "")}
+        SELECT count(truth_sub) AS original, count(*) AS total, count(error) AS under_clump, round(100 * (count(error) / count(truth_sub)::DOUBLE), 6) AS under_percent FROM det""",
     "gold_sample": f"WITH {_BASE} SELECT doc, line, name FROM bas SEMI JOIN tru USING (doc, name)",
     "gold_presence": """SELECT lpad(o_orderkey::VARCHAR, 8, '0') AS doc, o_custkey, (o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'))::INTEGER AS hit FROM orders""",
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.bindings.base import table
 from linkloom.plans import graph
-from linkloom.session import cut_lineage
+from linkloom.session import cut_lineage, scratch_path
 from linkloom.sources import sinks
 
 BEGIN, WIDTH, ROUNDS = 1995, 3, 10
@@ -192,13 +192,26 @@ def graphml(spark: SparkSession, d: str) -> DataFrame:
     return lines.drop("win")
 
 
+def graphml_files(spark: SparkSession, d: str) -> DataFrame:
+    """A GraphML file per year of the suppliers' graph, written and read back: its files, nodes, edges, first and last line."""
+    members = cut_lineage(graph.members_of(table(spark, d, "lineitem"), "l_orderkey", "l_suppkey", F.year("l_shipdate")))
+    path = scratch_path(spark, "graphml")
+    sinks.write_graphml_files(sinks.graphml_lines(graph.vertices_of(members), graph.edges_of(members), ["n_docs"], ["weight"]), path)
+    lines = spark.read.text(path).withColumns({"_at": F.monotonically_increasing_id(), "_file": F.col("_metadata.file_path")})
+    kinds = {"n_nodes": "<node", "n_edges": "<edge"}
+    return lines.groupBy("win").agg(
+        F.count_distinct("_file").alias("n_files"), *[F.count(F.when(F.col("value").startswith(tag), 1)).alias(n) for n, tag in kinds.items()],
+        F.left(F.min_by("value", F.struct("_file", "_at")), F.lit(9)).alias("opening"), F.max_by("value", F.struct("_file", "_at")).alias("closing"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         graph_vertices, graph_edges, graph_edges_by_year, graph_edge_rows, graph_windows, degree, unique_degree,
         restricted_edges, attached_edges, components, component_rank, largest_component, neighbourhood_2hop,
         edge_select, clustering_coefficient, burt_constraint, pagerank, eigenvector, pagerank_converged, eigenvector_converged,
-        central_labels, betweenness, edge_betweenness, betweenness_sampled, window_measures, graphml,
+        central_labels, betweenness, edge_betweenness, betweenness_sampled, window_measures, graphml, graphml_files,
     )
 }
 
@@ -321,6 +334,11 @@ ORACLES = {
         round(constr, 9) AS "constraint", round(r, 9) AS pagerank, round(s, 9) AS eigenvector
         FROM ver v JOIN dgr USING (win, person) LEFT JOIN deg USING (win, person) JOIN lb24 USING (win, person) JOIN rz ON rz.win = v.win AND rz.c = lb24.c
         LEFT JOIN clu USING (win, person) LEFT JOIN con USING (win, person) JOIN pr{ROUNDS} q USING (win, person) JOIN ev{ROUNDS} e USING (win, person)""",
+    "graphml_files": """WITH mem AS (SELECT DISTINCT year(l_shipdate)::INTEGER AS win, l_orderkey AS doc, l_suppkey AS person FROM lineitem),
+        edg AS (SELECT DISTINCT a.win, a.person AS src, b.person AS dst FROM mem a JOIN mem b ON a.win = b.win AND a.doc = b.doc AND a.person < b.person),
+        e AS (SELECT win, count(*) AS n_edges FROM edg GROUP BY 1)
+        SELECT win, 1::BIGINT AS n_files, count(DISTINCT person) AS n_nodes, coalesce(any_value(n_edges), 0) AS n_edges, '<graphml>' AS opening, '</graph></graphml>' AS closing
+        FROM mem LEFT JOIN e USING (win) GROUP BY win""",
     "graphml": f"""WITH {_SPARSE}, {_EDGES} SELECT 0 AS section, '' AS ord, '<graphml><key id="n_docs" for="node" attr.name="n_docs"/><key id="weight" for="edge" attr.name="weight"/><graph edgedefault="undirected">' AS line
         UNION ALL SELECT 3, '', '</graph></graphml>'
         UNION ALL SELECT 1, person::VARCHAR, '<node id="' || person || '"><data key="n_docs">' || n_docs || '</data></node>' FROM ver

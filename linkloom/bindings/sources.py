@@ -122,6 +122,26 @@ def spec_csv(spark: SparkSession, d: str) -> DataFrame:
     return delimited.read_spec_file(spark, f"{path}/*")[0]
 
 
+def gazetteer_national(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as a pipe-separated place file, written and read back; a place without a number has no latitude."""
+    path = scratch_path(spark, "national")
+    table(spark, d, "supplier").select(
+        F.col("s_name").alias("FEATURE_NAME"), F.col("s_nationkey").cast("string").alias("STATE_ALPHA"),
+        F.when(F.col("s_nationkey") != 3, F.col("s_acctbal").cast("string")).otherwise("unknown").alias("PRIM_LAT_DEC"), (-F.col("s_suppkey")).cast("string").alias("PRIM_LONG_DEC"),
+    ).write.csv(path, sep="|", header=True)
+    return delimited.read_national_gazetteer(spark, path)
+
+
+def gazetteer_foreign(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as a tab-separated names file, written and read back."""
+    path = scratch_path(spark, "foreign")
+    table(spark, d, "customer").select(
+        F.col("c_nationkey").cast("string").alias("CC1"), F.col("c_custkey").cast("string").alias("LAT"), F.col("c_acctbal").cast("string").alias("LONG"),
+        F.lower("c_name").alias("FULL_NAME_RO"), F.col("c_name").alias("FULL_NAME_ND_RO"), F.lit(None).cast("string").alias("SHORT_FORM"), F.col("c_mktsegment").alias("SORT_NAME_RO"),
+    ).write.csv(path, sep="\t", header=True)
+    return delimited.read_foreign_gazetteer(spark, path)
+
+
 def cluster_file_load(spark: SparkSession, d: str) -> DataFrame:
     """Lines ``id###n###id,...`` per supplier, written, read and joined back."""
     lines = table(spark, d, "lineitem")
@@ -143,7 +163,7 @@ def graph_export(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f"shred_{n}": _shredder(n) for n in SHRED_TABLES} | {
-    f.__name__: f for f in (bad_documents, multi_doc_split, file_listing, claims_extract, csv_infer, spec_csv, cluster_file_load, graph_export)
+    f.__name__: f for f in (bad_documents, multi_doc_split, file_listing, claims_extract, csv_infer, spec_csv, gazetteer_national, gazetteer_foreign, cluster_file_load, graph_export)
 }
 
 _DOC = """doc AS (SELECT 'D' || o_orderkey AS patent, strftime(o_orderdate, '%Y%m%d') AS day, o.*, c.* FROM orders o JOIN customer c ON o_custkey = c_custkey
@@ -183,6 +203,9 @@ ORACLES = {
         SELECT 'D' || doc_id AS patent, (unnest(range(1, len(p) + 1)) - 1)::INTEGER AS claim_no, unnest(p) AS claim FROM l""",
     "csv_infer": "SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice FROM part",
     "spec_csv": """SELECT lpad(c_custkey::VARCHAR, 9, '0') AS "CustomerKey", c_nationkey::BIGINT AS "Nation", c_name || chr(10) || '"at", ' || c_mktsegment AS "Name" FROM customer""",
+    "gazetteer_national": """SELECT s_name AS city, s_nationkey::VARCHAR AS state, CASE WHEN s_nationkey <> 3 THEN s_acctbal::DOUBLE END AS lat, (-s_suppkey)::DOUBLE AS long FROM supplier""",
+    "gazetteer_foreign": """SELECT c_nationkey::VARCHAR AS cc1, c_custkey::DOUBLE AS lat, c_acctbal::DOUBLE AS long, upper(c_name) AS full_name_ro, upper(c_name) AS full_name_nd_ro,
+        '' AS short_form, upper(c_mktsegment) AS sort_name_ro FROM customer""",
     "cluster_file_load": """WITH f AS (SELECT l_orderkey || '-' || l_linenumber AS fact, min(l_suppkey::VARCHAR) AS cluster_id FROM lineitem GROUP BY 1)
         SELECT fact, cluster_id, n FROM f JOIN (SELECT cluster_id, count(*) AS n FROM f GROUP BY 1) USING (cluster_id)""",
     "graph_export": """WITH mem AS (SELECT DISTINCT year(l_shipdate)::INTEGER AS win, l_orderkey AS doc, l_suppkey AS person FROM lineitem),

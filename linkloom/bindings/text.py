@@ -43,6 +43,14 @@ def clean_lawyers(spark: SparkSession, d: str) -> DataFrame:
     return consolidate.clean_lawyers(lawyers, ["orgname"])
 
 
+def clean_inventors(spark: SparkSession, d: str) -> DataFrame:
+    """First names, surnames and streets of documents, each cleaned."""
+    words = F.split("text", " ")
+    people = table(spark, d, "documents").select(
+        "doc_id", F.get(words, F.lit(0)).alias("firstname"), F.col("source").alias("lastname"), F.substring("text", 1, 200).alias("street"))
+    return consolidate.clean_inventors(spread(people))
+
+
 def clean_markup(spark: SparkSession, d: str) -> DataFrame:
     pages = spread(table(spark, d, "pages").select("page_id", "html"))
     return normalize_columns(pages, {"html": text.clean_markup})
@@ -157,7 +165,7 @@ def similar_words(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        clean_names, clean_assignee, clean_roles, clean_report, clean_lawyers, clean_markup, escape_outside_sub,
+        clean_names, clean_assignee, clean_roles, clean_report, clean_lawyers, clean_inventors, clean_markup, escape_outside_sub,
         valid_text, fold_ascii, clean_places, country_recode, city_rules, segment_split, date_normalise, doc_number_formats,
         name_prefix, year_list, similar_words,
     )
@@ -252,6 +260,7 @@ ORACLES = {
         UNION ALL SELECT 'source', count(*), count(*) FILTER (source <> {_name_sql('source')}),
         count(*) FILTER (source <> '' AND {_name_sql('source')} = '') FROM documents""",
     "clean_lawyers": "SELECT s_suppkey, replace(s_name, '#', '') AS orgname FROM supplier",
+    "clean_inventors": f"""SELECT doc_id, {_name_sql("string_split(text, ' ')[1]")} AS firstname, {_name_sql('source')} AS lastname, {_name_sql('substr(text, 1, 200)')} AS street FROM documents""",
     "clean_markup": f"SELECT page_id, {_MARKUP} AS html FROM pages",
     "escape_outside_sub": f"SELECT page_id, {_ESC} AS html FROM pages",
     "valid_text": "SELECT doc_id, text FROM documents",

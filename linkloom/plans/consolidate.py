@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.dates import normalise_date
+from linkloom.functions.ids import strip_leading_zero
 from linkloom.functions.text import clean_assignee, clean_name
 from linkloom.operators.aggregates import top_values
 from linkloom.operators.normalize import normalize_columns
@@ -41,9 +42,11 @@ def fact_table(
     classes: DataFrame,
     doc: str = "doc",
     seq: str = "seq",
+    copies: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One row per person and document.
 
+    ``copies`` names further columns that repeat one of the result's (new name to old).
     ``persons`` has (doc, seq, person ...); the other tables are reduced to one row per
     document before they are joined, so the row count is that of ``persons``.
     """
@@ -56,7 +59,13 @@ def fact_table(
     for dim in dims:
         fact = fact.join(dim, doc, "left")
     invnum = F.concat_ws("-", F.col(doc).cast("string"), F.col(seq).cast("string"))
-    return fact.withColumns({"invnum": invnum, "invnum_n": invnum, "unique_record_id": invnum})
+    repeated = {new: F.col(old) for new, old in (copies or {}).items()}
+    return fact.withColumns({"invnum": invnum, "invnum_n": invnum, "unique_record_id": invnum, **repeated})
+
+
+def strip_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Key columns without one zero after their leading capitals; the table's other columns stay."""
+    return normalize_columns(df, {c: strip_leading_zero for c in columns})
 
 
 def clean_lawyers(lawyers: DataFrame, columns: Sequence[str] = ("firstname", "lastname", "orgname")) -> DataFrame:

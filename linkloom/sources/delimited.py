@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.operators.aggregates import ordered_values
-from linkloom.sources.quoted import quoted_records
+from linkloom.operators.normalize import compute_once
+from linkloom.sources.quoted import plain_lines, quoted_records
 
 # Fixed patterns of the type rules.
 NUMBER_MARKS = "[-,.]"
@@ -76,19 +77,20 @@ def _fields(records: DataFrame, width: int, sep: str = ",") -> DataFrame:
     """The fields of each record as text columns ``_c0`` and on; missing ones are NULL, further ones left out."""
     schema = ", ".join(f"_c{i} STRING" for i in range(width))
     parsed = F.from_csv("value", schema, {**_csv_options(sep), "multiLine": "true"})
-    return records.select(parsed.alias("_f")).select("_f.*")
+    return compute_once(records.select("value"), "_f", parsed).select("_f.*")
 
 
 def read_delimited(spark: SparkSession, path: str, header: bool = True, sep: str = ",", multi_line: bool = True) -> DataFrame:
     """All columns as text, '' kept apart from NULL, header names sanitised.
 
     With ``multi_line`` fields may hold quoted line ends and a file is still read by many tasks; a file whose quotes do
-    not pair is an error then.  Without it every line is a record.
+    not pair is an error then.  Without it, and where no field holds a line end, every line is a record.
     """
     reader = spark.read.options(**_csv_options(sep))
+    multi_line = multi_line and not plain_lines(spark, path)
     df = reader.csv(path, header=header, multiLine=multi_line)
     names = sanitise(df.columns) if header else [f"v{i}" for i in range(len(df.columns))]
-    if multi_line and names:
+    if multi_line:
         records = quoted_records(spark, path)
         if header:
             records = records.where((F.col("block") != 0) | (F.col("nth") > 1))
@@ -101,12 +103,14 @@ def read_spec_file(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str,
 
     Only those four rows, known by their place in the file, reach the driver.  Formats such as ``%08d`` pad digit-only
     values; the second result maps each role (UNIQUE, EXACT, FUZZY) to its columns.  Several files have those rows each.
+    Rows come in the order of the file.
     """
     # a file's first records begin in its first split; the reader stops after them
     head = spark.read.options(**_csv_options()).csv(path, header=False, multiLine=True).take(SPEC_ROWS)
     names, types, formats, roles = [[v or "" for v in row] for row in head]
     names = sanitise(names)
-    raw = _fields(quoted_records(spark, path).where((F.col("block") != 0) | (F.col("nth") > SPEC_ROWS)), len(names))
+    data = quoted_records(spark, path).where((F.col("block") != 0) | (F.col("nth") > SPEC_ROWS))
+    raw = _fields(data.orderBy("file_name", "block", "line"), len(names))
     columns = []
     for column, name, kind, pattern in zip(raw.columns, names, types, formats):
         value = F.col(column)

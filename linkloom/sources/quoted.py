@@ -45,6 +45,19 @@ def _splits(lines: DataFrame, quotes: Column) -> DataFrame:
     return found.withColumn("_opened", opened).select(*_SPLIT, "_opened", F.last(start, ignorenulls=True).over(earlier).alias("_carried"))
 
 
+def _quotes(quote: str) -> Column:
+    return F.length("value") - F.length(F.replace(F.col("value"), F.lit(quote), F.lit("")))
+
+
+def plain_lines(spark: SparkSession, path: str, quote: str = '"') -> bool:
+    """Whether every line is a record: no line's quotes are odd and no CR stands inside one.
+
+    One scan that ends in each split at the first such line; Spark's own line reader gives the same records then.
+    """
+    odd = (_quotes(quote) % 2 == 1) | F.col("value").rlike("\r[^\r]|\r\r")
+    return _lines(spark, path).where(odd).select(F.lit(1)).limit(1).count() == 0
+
+
 def quoted_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """(file_name, block, line, nth, value): one row per record, blank ones left out.
 
@@ -54,7 +67,7 @@ def quoted_records(spark: SparkSession, path: str, quote: str = '"') -> DataFram
     them); a file whose quotes do not pair is an error.  A compressed file is one split.
     """
     lines = _lines(spark, path)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(quote), F.lit("")))
+    quotes = _quotes(quote)
     numbered = _numbered(lines, quotes).join(_splits(lines, quotes), list(_SPLIT))
     place = Window.partitionBy(*_SPLIT).orderBy("line")
     first = (F.col("block") == 0) & (F.col("line") == 1)

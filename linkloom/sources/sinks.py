@@ -58,10 +58,16 @@ def write_graph(vertices: DataFrame, edges: DataFrame, path: str, mode: str = "e
     edges.write.mode(mode).partitionBy("win").parquet(f"{path}/edges")
 
 
-def _attribute(name: str) -> Column:
+def _escaped(name: str) -> Column:
     value = F.col(name).cast("string")
-    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\n", "&#10;"), ("\r", "&#13;")):
         value = F.replace(value, F.lit(raw), F.lit(safe))
+    # other control characters have no place in XML
+    return F.regexp_replace(value, r"[\x00-\x08\x0B-\x1F\x{FFFE}\x{FFFF}]", "")
+
+
+def _attribute(name: str) -> Column:
+    value = _escaped(name)
     return F.concat(F.lit(f'<data key="{name}">'), F.coalesce(value, F.lit("")), F.lit("</data>"))
 
 
@@ -79,11 +85,11 @@ def graphml_lines(vertices: DataFrame, edges: DataFrame, vertex_attributes: Sequ
     )
     nodes = vertices.select(
         "win", F.lit(1).alias("section"), F.col("person").cast("string").alias("ord"),
-        F.concat(F.lit('<node id="'), F.col("person").cast("string"), F.lit('">'), *[_attribute(n) for n in vertex_attributes], F.lit("</node>")).alias("line"),
+        F.concat(F.lit('<node id="'), _escaped("person"), F.lit('">'), *[_attribute(n) for n in vertex_attributes], F.lit("</node>")).alias("line"),
     )
     links = edges.select(
         "win", F.lit(2).alias("section"), F.concat_ws("-", F.col("src").cast("string"), F.col("dst").cast("string")).alias("ord"),
-        F.concat(F.lit('<edge source="'), F.col("src").cast("string"), F.lit('" target="'), F.col("dst").cast("string"), F.lit('">'),
+        F.concat(F.lit('<edge source="'), _escaped("src"), F.lit('" target="'), _escaped("dst"), F.lit('">'),
                  *[_attribute(n) for n in edge_attributes], F.lit("</edge>")).alias("line"),
     )
     return windows.withColumn("f", frame).select("win", "f.*").unionByName(nodes).unionByName(links)
@@ -93,3 +99,13 @@ def write_graphml(lines: DataFrame, path: str, mode: str = "errorifexists") -> N
     """Text below one folder per window; the part files in name order form the document."""
     ranged = lines.repartitionByRange("win", "section", "ord").sortWithinPartitions("win", "section", "ord")
     ranged.select("win", "line").write.mode(mode).partitionBy("win").text(path)
+
+
+def write_graphml_files(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One whole document per window, the only file in the window's folder.
+
+    A file has one writer, so a window is one task; it passes through Spark's sort, which spills, and is
+    written line by line.  Spark's commit puts a file in place when it is complete.
+    """
+    whole = lines.repartition("win").sortWithinPartitions("win", "section", "ord")
+    whole.select("win", "line").write.mode(mode).option("maxRecordsPerFile", 0).partitionBy("win").text(path)

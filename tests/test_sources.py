@@ -148,3 +148,19 @@ def test_rows_days_late_are_in_the_result(spark, tmp_path):
     got = jobs.read_upserts(spark, f"{tmp_path}/counts", counts.schema, ["window_start", "g"]).collect()
     assert {(r.window_start.day, r.n) for r in got} == {(10, 2), (12, 1), (1, 2)}
     assert {(r.window_start.day, r.src, r.dst) for r in jobs.read_pairs(spark, f"{tmp_path}/p").collect()} == {(10, 1, 2), (1, 1, 2)}
+
+
+def test_a_whole_graphml_file_per_window(spark, tmp_path):
+    import glob
+    from xml.dom.minidom import parse
+
+    vertices = spark.range(900).selectExpr("int(id % 3) AS win", "concat('p\"&', id) AS person", "concat('a<b', char(1), '\n', id) AS label").repartition(40)
+    edges = spark.range(600).selectExpr("int(id % 3) AS win", "concat('p\"&', id) AS src", "concat('p\"&', id + 3) AS dst", "id AS weight").repartition(40)
+    sinks.write_graphml_files(sinks.graphml_lines(vertices, edges, ["label"], ["weight"]), str(tmp_path / "g"))
+    files = glob.glob(str(tmp_path / "g" / "win=*" / "*.txt"))
+    assert len(files) == 3
+    for file in files:
+        document = parse(file)
+        ids = {n.getAttribute("id") for n in document.getElementsByTagName("node")}
+        assert len(ids) == 300 and len(document.getElementsByTagName("edge")) == 200
+        assert {e.getAttribute("source") for e in document.getElementsByTagName("edge")} <= ids
