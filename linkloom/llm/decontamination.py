@@ -81,64 +81,114 @@ class _Index:
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
         self.maybe[(self.hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         self.edits, self.bound = np.array(self.edits, np.int64), np.array(self.bound, np.int64)
+        self.longest = max((len(c) for c in self.codes), default=0)
+
+    def candidates(self, codes: np.ndarray, positions: int = 1 << 20, postings: int = 1 << 20) -> Iterator[np.ndarray]:
+        """(segment, band) pairs whose overlapping diagonal band reaches the segment's bound, in several arrays.
+
+        The text is read in windows of ``positions`` and its shared grams in steps of about ``postings``.  A band is
+        closed as soon as no later place can lie in it, so periodic texts and items take no more memory than others.
+        """
+        if not len(self.hashes):
+            return
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        for base in range(0, max(len(codes) - self.q + 1, 0), positions):
+            hashes = _gram_hashes(codes[base : base + positions + self.q - 1], self.q)
+            at = np.flatnonzero(self.maybe[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+            found = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
+            same = self.hashes[found] == hashes[at]
+            at, found = at[same] + base, found[same]
+            # each step starts at the first place whose postings pass a multiple of the step's size
+            total = np.cumsum(self.count[found])
+            steps = np.flatnonzero(np.diff(total // postings, prepend=0)) if len(at) else np.empty(0, np.int64)
+            edges = np.unique(np.concatenate([[0], steps, [len(at)]]))
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                keys, counts = self._counted(at[lo:hi], found[lo:hi], keys, counts)
+                upcoming = int(at[hi]) if hi < len(at) else base + positions
+                segment, band = self._unpacked(keys)
+                closed = (band + 2) * (self.edits[segment] + 1) - 1 < upcoming - self.longest
+                enough = closed & (counts >= self.bound[segment])
+                yield np.stack([segment[enough], band[enough]], 1)
+                keys, counts = keys[~closed], counts[~closed]
+        segment, band = self._unpacked(keys)
+        enough = counts >= self.bound[segment]
+        yield np.stack([segment[enough], band[enough]], 1)
+
+    @staticmethod
+    def _unpacked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return keys >> 40, (keys & ((1 << 40) - 1)) - (1 << 38)
 
-    def candidates(self, codes: np.ndarray) -> np.ndarray:
-        """(segment, band) pairs whose overlapping diagonal band reaches the segment's bound."""
-        hashes = _gram_hashes(codes, self.q)
-        at = np.flatnonzero(self.maybe[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-        if not len(at):
-            return np.empty((0, 2), np.int64)
-        found = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
-        same = self.hashes[found] == hashes[at]
-        at, found = at[same], found[same]
+    def _counted(self, at: np.ndarray, found: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``counts`` of the bands ``keys`` and of those that the grams ``found`` at places ``at`` lie in."""
         n = self.count[found]
         ends = np.cumsum(n)
         posting = np.repeat(self.first[found] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)
         segment = self.owner[posting]
         band = (np.repeat(at, n) - self.place[posting]) // (self.edits[segment] + 1)
         # bands are two widths wide and overlap by one, so any run of diagonals of one width lies in a band
-        keys = np.concatenate([segment, segment]) * (1 << 40) + np.concatenate([band, band - 1]) + (1 << 38)
-        keys, counts = np.unique(keys, return_counts=True)
-        segment, band = keys >> 40, (keys & ((1 << 40) - 1)) - (1 << 38)
-        enough = counts >= self.bound[segment]
-        return np.stack([segment[enough], band[enough]], 1)
+        new, times = np.unique(np.concatenate([segment, segment]) * (1 << 40) + np.concatenate([band, band - 1]) + (1 << 38), return_counts=True)
+        merged, place = np.unique(np.concatenate([keys, new]), return_inverse=True)
+        return merged, np.bincount(place, np.concatenate([counts, times]), len(merged)).astype(np.int64)
 
-    def align(self, segment: int, text: np.ndarray, low: int, high: int) -> tuple[int, int]:
-        """(edits, end) of the best match of the segment that starts on diagonals low..high, ``text`` being bounds too."""
+    def align(self, segment: int, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(edits, end) of the best match of the segment in each text ``joined[start:end]``, started on its diagonals low..high.
+
+        Diagonals and ends count from the text's start; the ranges low..high are of one width, and the texts' ends are bounds too.
+        """
         codes, edits = self.codes[segment], int(self.edits[segment])
-        low, high = low - edits, high + edits
-        k = np.arange(low, high + 1)
+        width = int(high[0] - low[0]) + 1 + 2 * edits
+        steps = np.arange(width)
         far = len(codes) + 1
-        padded = np.full(len(codes) + len(k), np.uint32(0xFFFFFFFF))
-        lo, hi = max(0, low), min(len(text), low + len(padded))
-        if hi > lo:
-            padded[lo - low : hi - low] = text[lo:hi]
-        steps = np.arange(len(k))
-        row = np.where((k >= 0) & (k <= len(text)), 0, far)
-        for i, letter in enumerate(codes.tolist()):
-            change = row + (padded[i : i + len(k)] != letter)
-            skip = np.append(row[1:], far) + 1
-            row = np.minimum(change, skip)
-            row = np.minimum(row, np.minimum.accumulate(row - steps) + steps)
-        best = int(row.argmin())
-        return int(row[best]), int(k[best]) + len(codes)
-
-
-def _matches(index: _Index, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
-    """(text number, segment, edits, end) of every verified region, texts being normal."""
+        best, end = [], []
+        at_once = max(1, 400_000 // (len(codes) + width))
+        for lo in range(0, len(low), at_once):
+            part = slice(lo, lo + at_once)
+            begin, size = starts[part, None], (ends - starts)[part, None]
+            k = low[part, None] - edits + steps
+            place = low[part, None] - edits + np.arange(len(codes) + width)
+            inside = (place >= 0) & (place < size)
+            letters = np.where(inside, joined[np.where(inside, place + begin, 0)] if len(joined) else 0, np.uint32(0xFFFFFFFF))
+            row = np.where((k >= 0) & (k <= size), 0, far)
+            for i, letter in enumerate(codes.tolist()):
+                change = row + (letters[:, i : i + width] != letter)
+                change[:, :-1] = np.minimum(change[:, :-1], row[:, 1:] + 1)
+                change[:, -1] = np.minimum(change[:, -1], far + 1)
+                row = np.minimum(change, np.minimum.accumulate(change - steps, 1) + steps)
+            least = row.argmin(1)[:, None]
+            best.append(np.take_along_axis(row, least, 1)[:, 0])
+            end.append(np.take_along_axis(k, least, 1)[:, 0] + len(codes))
+        return np.concatenate(best), np.concatenate(end)
+
+
+def _matches(index: _Index, texts: list[str], settled: np.ndarray | None = None) -> Iterator[tuple[int, int, int, int]]:
+    """(text number, segment, edits, end) of every verified region, texts being normal.
+
+    Texts that the caller marks in ``settled`` meanwhile are not looked at again.
+    """
     joined = _codes("\n".join(texts))
     starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-    for segment, band in index.candidates(joined).tolist():
-        width = int(index.edits[segment]) + 1
-        low, high = band * width, (band + 2) * width - 1
-        # the text that holds the middle of the region, and its neighbours where the band reaches them
-        first = int(np.searchsorted(starts, max(low, 0), "right")) - 1
-        last = int(np.searchsorted(starts, min(high + len(index.codes[segment]), int(starts[-1]) - 1), "right")) - 1
-        for number in range(max(first, 0), min(last, len(texts) - 1) + 1):
-            start = int(starts[number])
-            edits, end = index.align(segment, joined[start : start + len(texts[number])], low - start, high - start)
-            if edits <= index.edits[segment]:
-                yield number, segment, edits, end
+    sizes = np.diff(starts) - 1
+    for found in index.candidates(joined):
+        for segment in np.unique(found[:, 0]).tolist():
+            width = int(index.edits[segment]) + 1
+            low = found[found[:, 0] == segment, 1] * width
+            high = low + 2 * width - 1
+            # the text that holds the middle of the region, and its neighbours where the band reaches them
+            first = np.maximum(np.searchsorted(starts, np.maximum(low, 0), "right") - 1, 0)
+            reach = np.minimum(high + len(index.codes[segment]), int(starts[-1]) - 1)
+            last = np.minimum(np.searchsorted(starts, reach, "right") - 1, len(texts) - 1)
+            n = np.maximum(last - first + 1, 0)
+            number = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            low, high = np.repeat(low, n), np.repeat(high, n)
+            if settled is not None:
+                open_ones = ~settled[number]
+                number, low, high = number[open_ones], low[open_ones], high[open_ones]
+            if not len(number):
+                continue
+            begin = starts[number]
+            edits, end = index.align(segment, joined, begin, begin + sizes[number], low - begin, high - begin)
+            for hit in np.flatnonzero(edits <= index.edits[segment]).tolist():
+                yield int(number[hit]), segment, int(edits[hit]), int(end[hit])
 
 
 _BUILT: dict[tuple, _Index] = {}
@@ -236,8 +286,10 @@ def without_contamination(docs: DataFrame, benchmark: DataFrame, q: int = 12, ed
                 texts = [normal(t) for t in batch.column(at).to_pylist()]
                 clean = np.ones(len(texts), bool)
                 for lo, hi in _slices(texts):
-                    for number, *_ in _matches(index, texts[lo:hi]):
-                        clean[lo + number] = False
+                    settled = np.zeros(hi - lo, bool)
+                    for number, *_ in _matches(index, texts[lo:hi], settled):
+                        settled[number] = True
+                    clean[lo:hi] = ~settled
                 yield batch.filter(pa.array(clean))
         return run
 

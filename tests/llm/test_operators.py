@@ -500,9 +500,75 @@ def test_alignment_equals_full_table():
             for j, other in enumerate(text):
                 new.append(min(row[j] + (letter != other), row[j + 1] + 1, new[j] + 1))
             row = new
-        edits, _ = index.align(0, np.array(_codes(text)), before, before)
+        one = np.array([before])
+        edits, _ = index.align(0, np.array(_codes(text)), np.array([0]), np.array([len(text)]), one, one)
         if min(row) <= index.edits[0]:
-            assert edits == min(row)
+            assert edits[0] == min(row)
+
+
+def fewest_edits(pattern: str, text: str) -> int:
+    """Edits between the pattern and the part of the text nearest to it, by the full table."""
+    row = [0] * (len(text) + 1)
+    for letter in pattern:
+        new = [row[0] + 1]
+        for j, other in enumerate(text):
+            new.append(min(row[j] + (letter != other), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("q,rate", [(4, 0.1), (6, 0.06)])
+def test_contamination_equals_exhaustive_search(q, rate):
+    from linkloom.llm.decontamination import _Index, _matches
+
+    rnd = random.Random(q)
+    for turn in range(12):
+        letters = "ab" if turn % 3 == 0 else "abcdefgh"
+        items = [(i, "".join(rnd.choice(letters) for _ in range(rnd.randint(30, 60)))) for i in range(4)]
+        items.append((4, "ab" * 20))
+        texts = ["", "ab" * 90, items[0][1]]
+        for _ in range(12):
+            chars = list(rnd.choice(items)[1])
+            for _ in range(rnd.randint(0, 5)):
+                at = rnd.randrange(len(chars))
+                chars[at : at + rnd.randint(0, 1)] = rnd.choice(["", "a", "y"])
+            around = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40))) for _ in range(2)]
+            texts.append(around[0] + "".join(chars) + around[1])
+        index, found = _Index(items, q, rate, 120), {}
+        for number, segment, edits, _ in _matches(index, texts):
+            found[number, segment] = min(edits, found.get((number, segment), edits))
+        wanted = {(i, k): fewest_edits(item, text) for i, text in enumerate(texts) for k, (_, item) in enumerate(items)}
+        assert found == {key: edits for key, edits in wanted.items() if edits <= index.edits[key[1]]}
+
+
+def test_contamination_steps_do_not_change_candidates():
+    from linkloom.llm.decontamination import _Index, _codes
+
+    index = _Index([(1, "ab" * 60), (2, prose(90, 25)), (3, "the same again " * 8)], 5, 0.1, 120)
+    codes = _codes("ab" * 400 + prose(90, 25) + "the same again " * 60 + prose(91, 200))
+
+    def pairs(**sizes):
+        return [tuple(r) for part in index.candidates(codes, **sizes) for r in part.tolist()]
+
+    whole = pairs()
+    assert len(whole) == len(set(whole)) > 100
+    for positions, postings in ((7, 1 << 20), (100, 50), (1 << 20, 1), (333, 1000)):
+        assert sorted(pairs(positions=positions, postings=postings)) == sorted(whole)
+
+
+def test_contamination_takes_bounded_memory_on_periodic_text():
+    import tracemalloc
+
+    from linkloom.llm.decontamination import _Index, _matches
+
+    index = _Index([(1, "ab" * 75)], 12, 0.06, 120)
+    peaks = []
+    for size in (100_000, 400_000):
+        tracemalloc.start()
+        assert sum(1 for _ in _matches(index, ["ab" * (size // 2)])) > size // 20
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.3 * peaks[0] + 30_000_000 and peaks[1] < 300_000_000
 
 
 # ---- 8: chat
