@@ -20,8 +20,8 @@ def match_truth(
 ) -> DataFrame:
     """Base rows that agree with a truth row on ``exact`` and resemble it on ``fuzzy``.
 
-    The score is the product of the fuzzy columns' similarities and must exceed 0.90.
-    Equal text pairs are scored once.  Without fuzzy columns the exact join is all.
+    The score is the product of the fuzzy columns' similarities and must exceed 0.90.  Pairs are
+    scored inside the exact join, column after column; without fuzzy columns the exact join is all.
     """
     wanted = truth.select(
         *exact, F.col(truth_id).alias("truth_id"), *[F.col(c).alias(f"_t_{c}") for c in fuzzy]
@@ -29,16 +29,13 @@ def match_truth(
     joined = base.withColumn("cluster_id", F.col(cluster)).join(wanted, list(exact))
     if not fuzzy:
         return joined
-    # no factor exceeds 1, so each must exceed the bound of the product
+    joined = joined.withColumn("score", F.lit(1.0))
+    # no factor exceeds 1, so the product so far must exceed the bound; as an outer generator each score runs once
     for column in fuzzy:
-        pairs = joined.select(column, f"_t_{column}").distinct().withColumn(f"_s_{column}", jarow(column, f"_t_{column}"))
-        pairs = pairs.where(F.col(f"_s_{column}") > MATCH_SCORE)
-        joined = joined.join(pairs, [column, f"_t_{column}"])
-    score = F.lit(1.0)
-    for column in fuzzy:
-        score = score * F.col(f"_s_{column}")
-    scored = joined.withColumn("score", score).where(F.col("score") > MATCH_SCORE)
-    return scored.drop(*[f"_s_{c}" for c in fuzzy], *[f"_t_{c}" for c in fuzzy])
+        passing = F.filter(F.array(F.col("score") * jarow(column, f"_t_{column}")), lambda s: s > MATCH_SCORE)
+        joined = joined.withColumn("_score", F.explode_outer(passing)).where(F.col("_score").isNotNull())
+        joined = joined.drop("score", f"_t_{column}").withColumnRenamed("_score", "score")
+    return joined
 
 
 def best_matches(matches: DataFrame, exact: Sequence[str]) -> DataFrame:
