@@ -31,9 +31,9 @@ _GRANT = """concat('<?xml version="1.0" encoding="UTF-8"?>\\n<!DOCTYPE ', kind,
  IF(o_orderstatus = 'O', '</inventor></inventors><agents>', '</applicant></applicants><agents>'),
  '<agent><addressbook><orgname>Law ', o_orderpriority, '</orgname><address><country>unknown</country></address></addressbook></agent></agents>',
  IF(o_orderstatus = 'O', '', '</parties>'),
- '<us-related-documents><continuation><relation><parent-doc><document-id><country>US</country><doc-number>0', o_custkey, '</doc-number><date>', day, '</date></document-id><parent-status>GRANTED</parent-status></parent-doc>',
+ '<us-related-documents>', IF(o_orderkey % 2 = 1, concat('<us-provisional-application><document-id><country>US</country><doc-number>60', o_orderkey, '</doc-number></document-id></us-provisional-application>'), ''), '<continuation><relation><parent-doc><document-id><country>US</country><doc-number>0', o_custkey, '</doc-number><date>', day, '</date></document-id><parent-status>GRANTED</parent-status></parent-doc>',
  '<child-doc><document-id><country>US</country><doc-number>1', o_custkey, '</doc-number></document-id></child-doc></relation></continuation>',
- '<us-provisional-application><document-id><country>US</country><doc-number>60', o_orderkey, '</doc-number></document-id></us-provisional-application></us-related-documents>',
+ IF(o_orderkey % 2 = 1, '', concat('<us-provisional-application><document-id><country>US</country><doc-number>60', o_orderkey, '</doc-number></document-id></us-provisional-application>')), '</us-related-documents>',
  IF(o_orderpriority = '4-NOT SPECIFIED', '', '</us-bibliographic-data-grant>'), '<abstract><p>Text ', o_orderstatus, '</p></abstract></', kind, '>')"""
 SHRED_TABLES = tuple(shred.TABLES)
 
@@ -190,9 +190,9 @@ ORACLES = {
     "shred_inventor": _shred_sql("""SELECT patent, 'TROY' AS firstname, 'VAN DER ' || c_mktsegment AS lastname, 'MAIN' AS street, 'CITY ' || c_nationkey AS city, '' AS state, 'DE' AS country,
         o_custkey::VARCHAR AS zipcode, 'DE' AS nationality, 0 AS invseq FROM doc"""),
     "shred_lawyer": _shred_sql("SELECT patent, '' AS firstname, '' AS lastname, 'UNKNOWN' AS lawcountry, 'LAW ' || o_orderpriority AS orgname, 0 AS lawseq FROM doc"),
-    "shred_usreldoc": _shred_sql("""SELECT patent, 'CONTINUATION' AS doctype, 1 AS orderseq, 'US' AS country, o_custkey::VARCHAR AS relpatent, '' AS kind, day AS reldate, 'GRANTED' AS status, 'parent-doc' AS relationship, 0 AS seq FROM doc
-        UNION ALL SELECT patent, 'CONTINUATION', -1, 'US', '1' || o_custkey, '', '', '', 'child-doc', 1 FROM doc
-        UNION ALL SELECT patent, 'US-PROVISIONAL-APPLICATION', 0, 'US', '60' || o_orderkey, '', '', '', '', 2 FROM doc"""),
+    "shred_usreldoc": _shred_sql("""SELECT patent, 'CONTINUATION' AS doctype, 1 AS orderseq, 'US' AS country, o_custkey::VARCHAR AS relpatent, '' AS kind, day AS reldate, 'GRANTED' AS status, 'parent-doc' AS relationship, (o_orderkey % 2)::INTEGER AS seq FROM doc
+        UNION ALL SELECT patent, 'CONTINUATION', -1, 'US', '1' || o_custkey, '', '', '', 'child-doc', (1 + o_orderkey % 2)::INTEGER FROM doc
+        UNION ALL SELECT patent, 'US-PROVISIONAL-APPLICATION', 0, 'US', '60' || o_orderkey, '', '', '', '', (2 - 2 * (o_orderkey % 2))::INTEGER FROM doc"""),
     "shred_ipcr": _shred_sql("""SELECT patent, 'A' AS classification_level, o_orderstatus AS section, '' AS class, '' AS subclass, '' AS main_group, '' AS subgroup, '' AS symbol_position,
         '' AS classification_value, '' AS classification_status, '' AS classification_data_source, '20060101' AS ipc_version_indicator, '' AS action_date, 0 AS seq FROM doc"""),
     "bad_documents": """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'other kind' ELSE 'not well-formed' END AS reason, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey

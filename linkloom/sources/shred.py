@@ -77,8 +77,16 @@ def prepare_markup(body: Column) -> Column:
     return F.regexp_replace(text, r"&(?!(amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)[A-Za-z0-9.-]+;", "")
 
 
+def relation_order(body: Column) -> Column:
+    """Names of the related-document elements in the order of the text, which a schema-bound parse does not keep."""
+    opening, closing = "<us-related-documents", "</us-related-documents>"
+    section = F.substring_index(F.substring_index(F.regexp_replace(body, r"(?s)<!--.*?-->", ""), closing, 1), opening, -1)
+    names = F.regexp_extract_all(section, F.lit(rf"<({'|'.join(RELATION_KINDS + PLAIN_RELATIONS)})(?=[\s/>])"), F.lit(1))
+    return F.when(body.contains(closing), names).otherwise(F.array().cast("array<string>"))
+
+
 def parse_grants(documents: DataFrame, body: str = "body", root: str = "root") -> DataFrame:
-    """(patent, g, abstract, plus the input's other columns) for every readable grant."""
+    """(patent, g, abstract, relation_order, plus the input's other columns) for every readable grant."""
     parsed = compute_once(
         documents.where(F.lower(root) == GRANT_ROOT),
         "_x",
@@ -94,6 +102,7 @@ def parse_grants(documents: DataFrame, body: str = "body", root: str = "root") -
         strip_leading_zero(clean_markup(number)).alias("patent"),
         F.col("_x.us-bibliographic-data-grant").alias("g"),
         F.col("_x.abstract.p").alias("abstract"),
+        relation_order(F.col(body)).alias("relation_order"),
     )
 
 
@@ -238,42 +247,50 @@ def lawyers(grants: DataFrame) -> DataFrame:
 
 
 def related_documents(grants: DataFrame) -> DataFrame:
-    """Relations in document-type order: type, relationship, number, kind, date, status."""
+    """Relations in document order: type, relationship, number, kind, date, status."""
 
-    def row(kind: str, relationship: Column, doc: Column, status: Column) -> Column:
+    def row(at: Column, part: Column, kind: str, relationship: Column, doc: Column, status: Column) -> Column:
         return F.struct(
-            F.lit(kind).alias("doctype"), relationship.alias("relationship"), doc["country"].alias("country"),
+            at.alias("at"), part.alias("part"), F.lit(kind).alias("doctype"), relationship.alias("relationship"), doc["country"].alias("country"),
             doc["doc-number"].alias("number"), doc["kind"].alias("kind"), doc["date"].alias("date"), status.alias("status"),
         )
 
     none = F.lit(None).cast("string")
 
-    def of_relation(kind: str):
-        def found(r: Column) -> Column:
+    def of_relation(kind: str, at: Column):
+        def found(r: Column, n: Column) -> Column:
             parent, child = r["parent-doc"], r["child-doc"]
             docs = [
-                row(kind, F.lit(name), doc["document-id"], doc["parent-status"])
-                for name, doc in (
+                row(at, 4 * n + k, kind, F.lit(name), doc["document-id"], doc["parent-status"])
+                for k, (name, doc) in enumerate((
                     ("parent-doc", parent),
                     ("parent-grant-document", parent["parent-grant-document"]),
                     ("parent-pct-document", parent["parent-pct-document"]),
-                )
+                ))
             ]
-            docs.append(row(kind, F.lit("child-doc"), child["document-id"], none))
+            docs.append(row(at, 4 * n + 3, kind, F.lit("child-doc"), child["document-id"], none))
             return F.filter(F.array(*docs), lambda d: d["number"].isNotNull())
 
         return found
 
-    def plain(kind: str):
-        return lambda block: row(kind, none, block["document-id"], none)
+    def places(kind: str) -> Column:
+        """Where the elements of a name stand among all of them."""
+        numbered = F.transform("relation_order", lambda name, i: F.struct(name.alias("name"), i.alias("at")))
+        return F.filter(numbered, lambda e: e["name"] == kind)
+
+    def located(kind: str) -> Column:
+        """The elements of a name, each with its place."""
+        return F.arrays_zip(F.coalesce(_at(f"us-related-documents.{kind}"), F.array()).alias("block"), places(kind).alias("place"))
+
+    def relations(kind: str) -> Column:
+        return F.flatten(F.transform(located(kind), lambda z: F.flatten(
+            F.transform(F.coalesce(z["block"]["relation"], F.array()), of_relation(kind, z["place"]["at"])))))
+
+    def plain(kind: str) -> Column:
+        return F.transform(located(kind), lambda z: row(z["place"]["at"], F.lit(0), kind, none, z["block"]["document-id"], none))
 
-    lists = []
-    for kind in RELATION_KINDS:
-        blocks = F.coalesce(_at(f"us-related-documents.{kind}.relation"), F.array())
-        lists.append(F.flatten(F.transform(F.flatten(blocks), of_relation(kind))))
-    for kind in PLAIN_RELATIONS:
-        lists.append(F.transform(F.coalesce(_at(f"us-related-documents.{kind}"), F.array()), plain(kind)))
-    rows = _position(grants, F.flatten(F.array(*lists)))
+    lists = [relations(kind) for kind in RELATION_KINDS] + [plain(kind) for kind in PLAIN_RELATIONS]
+    rows = _position(grants, F.array_sort(F.flatten(F.array(*lists))))
     order = F.when(F.col("e.relationship") == "child-doc", -1).when(F.col("e.relationship").isNull(), 0).otherwise(1)
     texts = _cleaned(rows.withColumn("_order", order), {c: f"e.{c}" for c in ("country", "number", "kind", "date", "status")}, ("patent", "seq", "e", "_order"))
     return texts.select(

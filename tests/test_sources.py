@@ -29,6 +29,36 @@ def test_concatenated_documents(spark, tmp_path):
     assert documents.list_files(spark, str(tmp_path), "^IPG12").count() == 1
 
 
+def test_related_documents_keep_the_order_of_the_text(spark):
+    def doc(number):
+        return f"<document-id><country>US</country><doc-number>{number}</doc-number></document-id>"
+
+    def relation(*numbers):
+        return "<relation>" + "".join(f"<{n}>{doc(v)}</{n}>" for n, v in numbers) + "</relation>"
+
+    parts = [
+        f"<us-provisional-application>{doc(1)}</us-provisional-application>",
+        f"<division>{relation(('parent-doc', 2), ('child-doc', 3))}</division>",
+        "<!-- <division></division> -->",
+        f"<continuation-in-part>{relation(('parent-doc', 4))}{relation(('child-doc', 5))}</continuation-in-part>",
+        "<reissue/>",
+        f"<division a='b'>{relation(('child-doc', 6))}</division>",
+        f"<related-publication>{doc(7)}</related-publication>",
+        f"<continuation>{relation(('parent-doc', 8))}</continuation>",
+        f"<us-provisional-application\n>{doc(9)}</us-provisional-application>",
+        f"<reissue>{relation(('parent-doc', 10))}</reissue>",
+    ]
+    body = GRANT.format(n=1).replace("<references-cited>", f"<us-related-documents>{''.join(parts)}</us-related-documents><references-cited>")
+    rows = [("us-patent-grant", text[text.index("<us-patent-grant lang"):]) for text in (body, GRANT.format(n=2))]
+    grants = shred.parse_grants(spark.createDataFrame(rows, "root string, body string"))
+    rows = sorted(shred.related_documents(grants).collect(), key=lambda r: r.seq)
+    assert [(r.seq, r.relpatent) for r in rows] == [(i, str(i + 1)) for i in range(10)]
+    assert [r.doctype for r in rows] == [
+        "US-PROVISIONAL-APPLICATION", "DIVISION", "DIVISION", "CONTINUATION-IN-PART", "CONTINUATION-IN-PART", "DIVISION", "RELATED-PUBLICATION",
+        "CONTINUATION", "US-PROVISIONAL-APPLICATION", "REISSUE"]
+    assert {r.patent for r in rows} == {"D1"}
+
+
 def test_claims(spark, tmp_path):
     block = "<PATDOC DTD='2'><B110><DNUM><PDAT>D04</PDAT></DNUM></B110><CL><CLM ID='1'><PARA><PTEXT><PDAT>One &amp;</PDAT></PTEXT></PARA></CLM></CL></PATDOC>\n"
     (tmp_path / "c.xml").write_text("<?xml?>\n<!DOCTYPE PATDOC []>\n" + block + block.replace("One", "Two"))
