@@ -20,8 +20,8 @@ def match_truth(
 ) -> DataFrame:
     """Base rows that agree with a truth row on ``exact`` and resemble it on ``fuzzy``.
 
-    The score is the product of the fuzzy columns' similarities and must exceed 0.90.  Pairs are
-    scored inside the exact join, column after column; without fuzzy columns the exact join is all.
+    The score is the product of the fuzzy columns' similarities and must exceed 0.90.  Of the
+    exact join's rows each distinct pair of texts is scored once, column after column; without fuzzy columns the exact join is all.
     """
     wanted = truth.select(
         *exact, F.col(truth_id).alias("truth_id"), *[F.col(c).alias(f"_t_{c}") for c in fuzzy]
@@ -29,12 +29,19 @@ def match_truth(
     joined = base.withColumn("cluster_id", F.col(cluster)).join(wanted, list(exact))
     if not fuzzy:
         return joined
+    # the score is costly and a pair of texts comes many times, so each distinct pair is scored once; the set number of
+    # tasks keeps the small table of pairs from being scored by a few
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     joined = joined.withColumn("score", F.lit(1.0))
-    # no factor exceeds 1, so the product so far must exceed the bound; as an outer generator each score runs once
+    # no factor exceeds 1, so every factor and the product so far must exceed the bound
     for column in fuzzy:
-        passing = F.filter(F.array(F.col("score") * jarow(column, f"_t_{column}")), lambda s: s > MATCH_SCORE)
-        joined = joined.withColumn("_score", F.explode_outer(passing)).where(F.col("_score").isNotNull())
-        joined = joined.drop("score", f"_t_{column}").withColumnRenamed("_score", "score")
+        pair = [column, f"_t_{column}"]
+        passing = F.filter(F.array(jarow(*pair)), lambda s: s > MATCH_SCORE)
+        scored = joined.select(*pair).distinct().repartition(tasks).withColumn("_factor", F.explode_outer(passing))
+        kept = [c for c in joined.columns if c not in ("score", f"_t_{column}")]
+        product = (F.col("score") * F.col("_factor")).alias("score")
+        joined = joined.join(scored.where(F.col("_factor").isNotNull()), pair).select(*kept, product)
+        joined = joined.where(F.col("score") > MATCH_SCORE)
     return joined
 
 
