@@ -16,7 +16,6 @@ from linkloom.llm.store import written
 from linkloom.operators.components import connected_components
 from linkloom.operators.normalize import compute_once
 
-_SPACE = "[\\x20\\x09-\\x0D]+"
 _VARIABLE = "<*>"
 #: From the start of a token only, without going back.
 _WITH_DIGIT = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+"
@@ -28,11 +27,16 @@ LONG_LINES = ((8, 5), (20, 3), (50, 2))
 _WORDS, _PERCENT, _SKETCH = 5, 80, 256
 
 
-def _tokens(line: Column) -> Column:
-    """Tokens of a line, those with a digit replaced by the variable mark."""
+def _normal(line: Column) -> Column:
+    """A line's tokens with one space between them, those with a digit replaced by the variable mark."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _WITH_DIGIT, _VARIABLE)).otherwise(line)
     plain = F.when(masked.rlike(_OTHER_SPACE), F.regexp_replace(masked, _OTHER_SPACE, " ")).otherwise(masked)
-    return F.filter(F.split(plain, " "), lambda x: x != "")
+    return F.trim(F.when(plain.contains("  "), F.regexp_replace(plain, " {2,}", " ")).otherwise(plain))
+
+
+def _tokens(line: Column) -> Column:
+    """Tokens of a line, those with a digit replaced by the variable mark."""
+    return F.filter(F.split(_normal(line), " "), lambda x: x != "")
 
 
 def _salted(many: DataFrame, few: DataFrame, on: list[str], by: str) -> DataFrame:
@@ -42,9 +46,10 @@ def _salted(many: DataFrame, few: DataFrame, on: list[str], by: str) -> DataFram
 
 
 def _lines(texts: DataFrame, keep: list[str]) -> DataFrame:
-    """A row per line of ``_text``: ``keep``, line number, tokens."""
+    """A row per line of ``_text`` with a token: ``keep``, line number, tokens in one text, how many."""
     rows = texts.select(*keep, F.posexplode(F.split("_text", "\n")).alias("_no", "_line"))
-    return compute_once(rows, "_tok", _tokens(F.col("_line"))).drop("_line")
+    rows = compute_once(rows, "_tok", _normal(F.col("_line"))).drop("_line").where("_tok != ''")
+    return rows.withColumn("_size", F.length("_tok") - F.length(F.replace(F.col("_tok"), F.lit(" "), F.lit(""))) + 1)
 
 
 def _similarity(a: Column, b: Column) -> Column:
@@ -68,13 +73,15 @@ def _near_copies(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     involved = pairs.select(F.explode(F.array("a", "b")).alias("_digest")).distinct()
     wanted = texts.select("_digest", "_text").join(involved.hint("merge"), "_digest", "left_semi").dropDuplicates(["_digest"])
-    hashed = F.transform(F.filter(F.split(F.lower("_text"), _SPACE), lambda x: x != ""), lambda x: F.xxhash64(x))
-    words = compute_once(wanted, "_w", hashed).drop("_text")
+    spaced = F.replace(F.lower("_text"), F.lit("\n"), F.lit(" "))
+    spaced = F.when(spaced.rlike(_OTHER_SPACE), F.regexp_replace(spaced, _OTHER_SPACE, " ")).otherwise(spaced)
+    words = compute_once(wanted, "_all", F.split(spaced, " ")).drop("_text")
+    words = compute_once(words, "_w", F.transform(F.array_remove("_all", ""), lambda x: F.xxhash64(x))).drop("_all")
     grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - _WORDS, F.lit(0))), lambda i: F.xxhash64(*(F.get("_w", i + k) for k in range(_WORDS))))
-    sketches = written(words.select("_digest", F.slice(F.array_sort(F.array_distinct(grams)), 1, _SKETCH).alias("_s")), "sketches")
+    sketches = written(words.select("_digest", F.slice(F.sort_array(F.array_distinct(grams)), 1, _SKETCH).alias("_s")), "sketches")
     ends = [sketches.select(F.col("_digest").alias(c), F.col("_s").alias(f"_{c}")) for c in "ab"]
     both = pairs.join(ends[0].hint("merge"), "a").join(ends[1].hint("merge"), "b")
-    both = compute_once(both, "_u", F.slice(F.array_sort(F.array_union("_a", "_b")), 1, _SKETCH))
+    both = compute_once(both, "_u", F.slice(F.sort_array(F.array_union("_a", "_b")), 1, _SKETCH))
     shared = F.size(F.array_intersect(F.array_intersect("_u", "_a"), F.col("_b")))
     links = written(both.where(100 * shared >= _PERCENT * F.size("_u")).select("a", "b"), "near-copies")
     nodes = links.select(F.explode(F.array("a", "b")).alias("_digest"))
@@ -128,20 +135,20 @@ twice as many, up to ``most_heads``.  Lines under
     """
     digest = F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary")))
     texts = docs.select(docs[id_col].alias("_id"), digest.alias("_digest"), docs[text_col].alias("_text"))
-    tokens = F.col("_tok")
-    worded = (F.size(tokens) > 2) | F.exists(tokens, lambda x: x.rlike("\\p{L}"))
-    lines = _lines(texts, ["_id", "_digest"]).where((F.size(tokens) >= max(min_tokens, 1)) & worded)
+    worded = (F.col("_size") > 2) | F.col("_tok").rlike("\\p{L}")
+    lines = _lines(texts, ["_id", "_digest"]).where((F.col("_size") >= max(min_tokens, 1)) & worded)
     least = _bound(F.col("_size"), min_texts, long_lines)
     lines = written(lines.select(
-        "_id", "_digest", "_no", F.size(tokens).alias("_size"), F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth)).alias("_leaf"),
-        F.unhex(F.md5(F.array_join(tokens, "\n").cast("binary"))).alias("_form")), "lines")
+        "_id", "_digest", "_no", "_size", F.xxhash64("_size", F.substring_index("_tok", " ", depth)).alias("_leaf"),
+        F.unhex(F.md5(F.replace(F.col("_tok"), F.lit(" "), F.lit("\n")).cast("binary"))).alias("_form")), "lines")
 
     # one row per form and text, then per form; leaves that too few lines reach are left out
     busy = lines.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_c"), F.min("_size").alias("_size")).where(F.col("_c") >= least).select("_leaf")
+    # copies of a text have the same lines, so the least id and the least number belong together
+    in_text = lines.groupBy("_leaf", "_form", "_digest").agg(F.min("_id").alias("_id"), F.min("_no").alias("_no"), F.min("_size").alias("_size"))
     order = F.struct(F.col("_id").isNull().alias("_late"), F.col("_id"), F.col("_digest"), F.col("_no"))
-    in_text = lines.groupBy("_leaf", "_form", "_digest").agg(F.min(order).alias("_first"), F.min("_size").alias("_size"))
     forms = written(
-        in_text.groupBy("_leaf", "_form").agg(F.count(F.lit(1)).alias("_texts"), F.min("_first").alias("_first"), F.min("_size").alias("_size"))
+        in_text.groupBy("_leaf", "_form").agg(F.count(F.lit(1)).alias("_texts"), F.min(order).alias("_first"), F.min("_size").alias("_size"))
         .join(busy, "_leaf", "left_semi"), "forms")
 
     # tokens of the forms that have company in their leaf, from each form's first text
@@ -184,7 +191,7 @@ twice as many, up to ``most_heads``.  Lines under
         F.sum("_texts").alias("_sum"), F.count(F.lit(1)).alias("_k"), F.min("_first").alias("_first"), F.min("_size").alias("_size")).where(F.col("_sum") >= least)
     candidates = written(named.select("_leaf", "_form", "_template").join(grouped, ["_leaf", "_template"]), "candidates")
     several = (
-        _salted(in_text.select("_leaf", "_form", "_digest"), candidates.where("_k > 1").select("_leaf", "_form", "_template"), ["_leaf", "_form"], "_digest")
+        _salted(lines.select("_leaf", "_form", "_digest"), candidates.where("_k > 1").select("_leaf", "_form", "_template"), ["_leaf", "_form"], "_digest")
         .select("_leaf", "_template", "_digest").distinct()
         .groupBy("_leaf", "_template").agg(F.count(F.lit(1)).alias("_n"))
     )

@@ -9,6 +9,7 @@ again.  Texts with other white space go through a slower cut that is just as saf
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 from array import array
@@ -16,7 +17,24 @@ from collections.abc import Sequence
 from string import ascii_letters
 
 import numpy as np
-
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Steps before the model of a word vocabulary.  They lower a plain word's letters, write its bytes as characters and part it from
+#: the marks after it, so both may be encoded apart.
+_WORD_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "truncation": None, "padding": None,
+}
+_MARKS = ".,%&*#$"
+_PLAIN = re.compile("[a-zà-öø-ÿß]+")
+_MARKED = f"^(?P<word>[a-zA-ZÀ-ÖØ-öø-ÿ]+)(?P<marks>[{_MARKS}]*)$"
+_SHOWN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: The byte-level alphabet, in which the space stays a space.
+_BYTES = {b: b for b in [*_SHOWN_BYTES, 0x20]} | {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN_BYTES) if b != 0x20}
 _PAIR = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 _OTHER_SPACE = ("\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "  ", "\n\n", " \n", "\n ")
@@ -48,6 +66,7 @@ class WordCache:
         self._drops_space = not self._ids(" ")
         self._line_end = self._ids("\n")
         self._stop = {mark: self._ids(mark) for mark in ".,"}
+        self._bare = self._model_of_words(Tokenizer)
         self._clear()
 
     def _ids(self, text: str) -> list[int]:
@@ -59,9 +78,25 @@ class WordCache:
         self._letters = 0
         self._views = None
 
+    def _cut(self, texts: Sequence[str | None]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """How many parts each text has, the distinct parts, and each part's place among these.
+
+        Parts lie between single spaces and line ends; a plain word and the marks after it are two.
+        """
+        plain = pc.replace_substring(pa.array(texts, pa.large_string()).fill_null(""), "\n", " ")
+        cut = pc.split_pattern(plain, " ")
+        counts = pc.list_value_length(cut).to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        pieces, places = coded.dictionary, coded.indices.to_numpy()
+        if not self._bare:
+            return counts, pieces.to_pylist(), places
+        found = pc.extract_regex(pieces, _MARKED)
+        words = pc.utf8_lower(pc.struct_field(found, "word"))
+        both = pa.concat_arrays([pc.if_else(found.is_valid(), words, pieces), pc.if_else(found.is_valid(), pc.struct_field(found, "marks"), "")])
+        both = both.dictionary_encode()
+        return 2 * counts, both.dictionary.to_pylist(), both.indices.to_numpy().reshape(2, -1).T[places].reshape(-1)
+
     def _pieces(self, text: str) -> list[str]:
-        if self._drops_space:
-            return text.replace("\n", " ").split(" ")
         if not text:
             return []
         if "\0" in text or not _single_spaces(text):
@@ -105,7 +140,58 @@ class WordCache:
         finally:
             gc.enable()
 
+    def _model_of_words(self, kind: type):
+        """A tokenizer of lower-case words in the byte-level alphabet between spaces; None for vocabularies with other steps."""
+        known = json.loads(self._tokenizer.to_str())
+        if any(known[k] != v for k, v in _WORD_STEPS.items()) or not all("|" in t["content"] for t in known["added_tokens"]):
+            return None
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        bare = kind(self._tokenizer.model)
+        bare.pre_tokenizer = WhitespaceSplit()
+        # a zero byte is no part of a plain word, so its id parts the words' ids
+        parting = self._ids("\0")
+        mark = chr(_BYTES[0])
+        self._parting = f" {mark} ", *parting
+        ids = bare.encode(f"a {mark} b", add_special_tokens=False).ids
+        return bare if len(parting) == 1 and ids == [*self._ids("a"), *parting, *self._ids("b")] else None
+
+    def _encode_words(self, words: list[str]) -> None:
+        """Keep the ids of lower-case plain words, many of which go into one text."""
+        for lo in range(0, len(words), 2_000):
+            part = words[lo : lo + 2_000]
+            between, mark = self._parting
+            text = " ".join([*part, ""]).encode().decode("latin-1").translate(_BYTES).replace(" ", between)
+            ids = np.array(self._bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == mark)
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer joined words across spaces")
+            self._keep_all(part, np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
+
+    def _keep_all(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        at = len(self._first)
+        self._code.update(zip(pieces, range(at, at + len(pieces))))
+        self._first.frombytes((len(self._kept) + np.cumsum(counts) - counts).astype(np.int64).tobytes())
+        self._count.frombytes(counts.astype(np.int64).tobytes())
+        self._kept.frombytes(ids.astype(np.uint32).tobytes())
+        self._letters += sum(map(len, pieces))
+        self._views = None
+
+    def _gathered(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces of these numbers one after another, and how many each has."""
+        if self._views is None:
+            self._views = np.array(self._kept, np.uint32), np.array(self._first), np.array(self._count)
+        kept, first, count = self._views
+        lens = count[codes]
+        ends = np.cumsum(lens)
+        total = int(ends[-1]) if len(ends) else 0
+        return kept[np.repeat(first[codes] - (ends - lens), lens) + np.arange(total)], lens
+
     def _encode_new(self, pieces: set[str]) -> None:
+        if self._bare:
+            words = [p for p in pieces if _PLAIN.fullmatch(p)]
+            self._encode_words(words)
+            pieces = pieces.difference(words)
         todo = {p: self._core(p) for p in pieces}
         cores = [c for c in {core for _, core, _ in todo.values()} if c not in self._code]
         for lo in range(0, len(cores), 20_000):
@@ -123,23 +209,22 @@ class WordCache:
         """All ids one after another, and the number of ids of each text (null: empty)."""
         if len(self._code) > self._limit or self._letters > self._limit * self._longest:
             self._clear()
-        cut = [self._pieces(t or "") for t in texts]
-        flat = [p for pieces in cut for p in pieces]
+        if self._drops_space:
+            lengths, flat, places = self._cut(texts)
+        else:
+            cut = [self._pieces(t or "") for t in texts]
+            lengths, flat, places = list(map(len, cut)), [p for pieces in cut for p in pieces], None
         codes = np.fromiter(map(self._code.__getitem__, flat), np.int64, len(flat))
         unknown = np.flatnonzero(codes < 0).tolist()
         if unknown:
             self._learn({flat[i] for i in unknown})
             codes[unknown] = [self._code[flat[i]] for i in unknown]
-        if self._views is None:
-            self._views = np.array(self._kept, np.uint32), np.array(self._first), np.array(self._count)
-        kept, first, count = self._views
-        lens = count[codes]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        where = np.repeat(first[codes] - (ends - lens), lens) + np.arange(total)
-        bounds = np.cumsum([0, *map(len, cut)])
-        at = np.concatenate([[0], ends])
-        return kept[where], at[bounds[1:]] - at[bounds[:-1]]
+        if places is not None:
+            codes = codes[places]
+        ids, lens = self._gathered(codes)
+        bounds = np.cumsum([0, *lengths])
+        at = np.concatenate([[0], np.cumsum(lens)])
+        return ids, at[bounds[1:]] - at[bounds[:-1]]
 
 
 _OPEN: dict[str, WordCache] = {}
