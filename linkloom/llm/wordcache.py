@@ -29,12 +29,22 @@ _WORD_STEPS = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
     "post_processor": None, "truncation": None, "padding": None,
 }
-_MARKS = ".,%&*#$"
+#: Steps of a byte-level vocabulary.  They part a word from the marks after it, and a single line end from what stands on both sides.
+_BYTE_STEPS = {
+    "normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+    "post_processor": None, "truncation": None, "padding": None,
+}
+_MARKS = ".,%&*#$!?;:"
 _PLAIN = re.compile("[a-zà-öø-ÿß]+")
-_MARKED = f"^(?P<word>[a-zA-ZÀ-ÖØ-öø-ÿ]+)(?P<marks>[{_MARKS}]*)$"
+_PLAIN_CASED = re.compile("\0?[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+_MARKED = f"^(?P<word>\0?[a-zA-ZÀ-ÖØ-öø-ÿ]+)(?P<marks>[{_MARKS}]*)$"
+#: Texts that go through the slower cut where white space is kept: a zero byte, white space but single spaces and line ends, a space at the end.
+_ODD = "[\\x00\t\x0b-\r\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|[ \n][ \n]| $"
 _SHOWN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: The byte-level alphabet, in which the space stays a space.
 _BYTES = {b: b for b in [*_SHOWN_BYTES, 0x20]} | {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN_BYTES) if b != 0x20}
+_SPACE = chr(0x120)
+_ZERO, _NONE = pa.scalar("\0", pa.large_string()), pa.scalar("", pa.large_string())
 _PAIR = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 _OTHER_SPACE = ("\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "  ", "\n\n", " \n", "\n ")
@@ -83,16 +93,38 @@ class WordCache:
 
         Parts lie between single spaces and line ends; a plain word and the marks after it are two.
         """
-        plain = pc.replace_substring(pa.array(texts, pa.large_string()).fill_null(""), "\n", " ")
-        cut = pc.split_pattern(plain, " ")
+        plain = pa.array(texts, pa.large_string()).fill_null("")
+        if self._drops_space:
+            return self._parts(pc.replace_substring(plain, "\n", " "))
+        odd = pc.match_substring_regex(plain, _ODD)
+        # "\0" marks a piece without a space before it
+        spaced = pc.binary_join_element_wise(_ZERO, pc.replace_substring(plain, "\n", " \0\n \0"), _NONE)
+        counts, flat, places = self._parts(pc.if_else(odd, _ZERO, spaced))
+        odd = odd.to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(odd)
+        if len(rows):
+            slow = [self._pieces(texts[row] or "") for row in rows.tolist()]
+            own = list(dict.fromkeys(p for pieces in slow for p in pieces))
+            number = dict(zip(own, range(len(flat), len(flat) + len(own))))
+            kept, counts = places[~np.repeat(odd, counts)], counts.copy()
+            counts[rows] = list(map(len, slow))
+            is_slow = np.repeat(odd, counts)
+            among = np.empty(len(is_slow), np.int64)
+            among[~is_slow], among[is_slow] = kept, [number[p] for pieces in slow for p in pieces]
+            flat, places = flat + own, among
+        return counts, flat, places
+
+    def _parts(self, spaced: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+        cut = pc.split_pattern(spaced, " ")
         counts = pc.list_value_length(cut).to_numpy()
         coded = cut.flatten().dictionary_encode()
         pieces, places = coded.dictionary, coded.indices.to_numpy()
         if not self._bare:
             return counts, pieces.to_pylist(), places
         found = pc.extract_regex(pieces, _MARKED)
-        words = pc.utf8_lower(pc.struct_field(found, "word"))
-        both = pa.concat_arrays([pc.if_else(found.is_valid(), words, pieces), pc.if_else(found.is_valid(), pc.struct_field(found, "marks"), "")])
+        words, marks = pc.struct_field(found, "word"), pc.struct_field(found, "marks")
+        words, marks = (pc.utf8_lower(words), marks) if self._drops_space else (words, pc.binary_join_element_wise(_ZERO, marks, _NONE))
+        both = pa.concat_arrays([pc.if_else(found.is_valid(), words, pieces), pc.if_else(found.is_valid(), marks, "")])
         both = both.dictionary_encode()
         return 2 * counts, both.dictionary.to_pylist(), both.indices.to_numpy().reshape(2, -1).T[places].reshape(-1)
 
@@ -141,9 +173,10 @@ class WordCache:
             gc.enable()
 
     def _model_of_words(self, kind: type):
-        """A tokenizer of lower-case words in the byte-level alphabet between spaces; None for vocabularies with other steps."""
+        """A tokenizer of plain words in the byte-level alphabet between spaces; None for vocabularies with other steps."""
         known = json.loads(self._tokenizer.to_str())
-        if any(known[k] != v for k, v in _WORD_STEPS.items()) or not all("|" in t["content"] for t in known["added_tokens"]):
+        steps = _WORD_STEPS if self._drops_space else _BYTE_STEPS
+        if any(known[k] != v for k, v in steps.items()) or not all("|" in t["content"] for t in known["added_tokens"]):
             return None
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
@@ -153,20 +186,31 @@ class WordCache:
         parting = self._ids("\0")
         mark = chr(_BYTES[0])
         self._parting = f" {mark} ", *parting
+        # tokens that only begin a word after a space, and those that only end a word
+        tokens = [bare.id_to_token(i) or "" for i in range(bare.get_vocab_size())]
+        suffix = known["model"].get("end_of_word_suffix")
+        self._first_of = np.array([t[:1] == _SPACE for t in tokens])
+        self._last = np.array([bool(suffix) and t.endswith(suffix) for t in tokens])
         ids = bare.encode(f"a {mark} b", add_special_tokens=False).ids
         return bare if len(parting) == 1 and ids == [*self._ids("a"), *parting, *self._ids("b")] else None
 
-    def _encode_words(self, words: list[str]) -> None:
-        """Keep the ids of lower-case plain words, many of which go into one text."""
+    def _encode_words(self, words: list[str], lead: str = "") -> None:
+        """Keep the ids of plain words, many of which go into one text, each with ``lead`` before it."""
+        between, mark = self._parting
+        marked = not lead and not self._last.any()
         for lo in range(0, len(words), 2_000):
             part = words[lo : lo + 2_000]
-            between, mark = self._parting
-            text = " ".join([*part, ""]).encode().decode("latin-1").translate(_BYTES).replace(" ", between)
+            text = " ".join([w[1:] if w[0] == "\0" else w for w in part]).encode().decode("latin-1").translate(_BYTES)
+            text = lead + text.replace(" ", f" {lead}") if lead or not marked else text.replace(" ", between) + between
             ids = np.array(self._bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(ids == mark)
-            if len(ends) != len(part):
+            if lead:
+                counts = np.diff(np.flatnonzero(self._first_of[ids]), append=len(ids))
+            else:
+                ends = np.flatnonzero(ids == mark if marked else self._last[ids])
+                counts, ids = np.diff(ends, prepend=-1) - marked, np.delete(ids, ends) if marked else ids
+            if len(counts) != len(part):
                 raise ValueError("the tokenizer joined words across spaces")
-            self._keep_all(part, np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
+            self._keep_all(part, ids, counts)
 
     def _keep_all(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         at = len(self._first)
@@ -189,8 +233,13 @@ class WordCache:
 
     def _encode_new(self, pieces: set[str]) -> None:
         if self._bare:
-            words = [p for p in pieces if _PLAIN.fullmatch(p)]
-            self._encode_words(words)
+            plain = _PLAIN if self._drops_space else _PLAIN_CASED
+            words = [p for p in pieces if plain.fullmatch(p)]
+            if self._drops_space:
+                self._encode_words(words)
+            else:
+                self._encode_words([p for p in words if p[0] != "\0"], _SPACE)
+                self._encode_words([p for p in words if p[0] == "\0"])
             pieces = pieces.difference(words)
         todo = {p: self._core(p) for p in pieces}
         cores = [c for c in {core for _, core, _ in todo.values()} if c not in self._code]
@@ -209,7 +258,7 @@ class WordCache:
         """All ids one after another, and the number of ids of each text (null: empty)."""
         if len(self._code) > self._limit or self._letters > self._limit * self._longest:
             self._clear()
-        if self._drops_space:
+        if self._drops_space or self._bare:
             lengths, flat, places = self._cut(texts)
         else:
             cut = [self._pieces(t or "") for t in texts]

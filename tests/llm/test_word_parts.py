@@ -29,6 +29,22 @@ def test_words_share_encodings_and_ids_stay(monkeypatch):
     assert np.array_equal(cache.encode(texts)[0], ids)
 
 
+def test_byte_level_words_share_encodings(monkeypatch):
+    texts = ["The the THE, the.\nthe,%%% éTÉ ?!the the's", "the", None, "", "\nthe\n", " the", "the ", "a\0the \0", "the  the\n\nthe\tthe a\u00a0b", "日本語 <|endoftext|> the<|endoftext|>",
+             "\x1c a\u2003b", "4.0. BY-NC DE,!! ½ ª"]
+    cache = WordCache(tokenizer_file("byte_bpe_50k.json"))
+    passed = []
+    several = cache._encode_words
+    monkeypatch.setattr(cache, "_encode_words", lambda words, lead="": (passed.extend(words), several(words, lead)))
+    ids, counts = cache.encode(texts)
+    whole = [cache._tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in whole]
+    assert ids.tolist() == [i for w in whole for i in w]
+    # a word counts apart from its marks, with and without a space before it
+    assert passed.count("the") == 1 and passed.count("\0the") == 1 and "the," not in passed
+    assert np.array_equal(cache.encode(texts[::-1])[1], counts[::-1])
+
+
 def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
     def files() -> set[str]:
         tops = {os.path.dirname(os.path.dirname(f)) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()}
