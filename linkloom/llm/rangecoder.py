@@ -33,10 +33,12 @@ class BlockError(ValueError):
 class _Model:
     def __init__(self, lanes: int, vocabulary: int):
         self.v = vocabulary
-        self.guess1, self.sure1 = np.zeros(1 << _BITS1, np.uint32), np.zeros(1 << _BITS1, np.uint8)
-        self.guess2, self.sure2 = np.zeros(1 << _BITS2, np.uint32), np.zeros(1 << _BITS2, np.uint8)
+        # per context the guess and below it, in two bits, its confidence
+        self.table1, self.table2 = np.zeros(1 << _BITS1, np.uint32), np.zeros(1 << _BITS2, np.uint32)
+        # the last id and the one before it, each times its factor of the hashes
         self.last = np.zeros(lanes, np.uint64)
         self.before = np.zeros(lanes, np.uint64)
+        self.older = np.zeros(lanes, np.uint64)
         self.weight = np.tile(np.array([2, 1, 3], np.int64), (32, 1))
         self.counts = np.zeros(vocabulary, np.int64)
         self.fresh: list[np.ndarray] = []
@@ -50,39 +52,43 @@ class _Model:
         total, room = int(self.counts.sum()), (1 << _ID_BITS) - self.v
         freq = 1 + (self.counts * room // total if total else np.zeros(self.v, np.int64))
         freq[-1] += (1 << _ID_BITS) - int(freq.sum())
-        self.cum0 = np.concatenate([[0], np.cumsum(freq)]).astype(np.uint64)
-        self.freq0 = freq.astype(np.uint64)
+        self.cum0 = np.concatenate([[0], np.cumsum(freq)]).astype(np.uint32)
+        self.freq0 = freq.astype(np.uint32)
 
     def predict(self) -> None:
         """Guesses of both contexts, the mixing context and the weights of this step."""
         if self.step and (self.step & (self.step - 1) == 0 or self.step % 16 == 0):
             self._order0()
-        self.i1 = ((self.last * 0x9E3779B97F4A7C15) >> (64 - _BITS1)).astype(np.int64)
-        self.i2 = (((self.before * 0xC2B2AE3D27D4EB4F) ^ (self.last * 0x9E3779B97F4A7C15)) * 0xD6E8FEB86659FD93
-                   >> (64 - _BITS2)).astype(np.int64)
-        self.g1, self.g2 = self.guess1[self.i1], self.guess2[self.i2]
-        self.c1, self.c2 = self.sure1[self.i1], self.sure2[self.i2]
-        self.context = (self.c2.astype(np.int64) * 4 + self.c1) * 2 + (self.g1 == self.g2)
+        self.i1 = (self.last >> (64 - _BITS1)).view(np.int64)
+        self.i2 = (((self.before ^ self.last) * 0xD6E8FEB86659FD93) >> (64 - _BITS2)).view(np.int64)
+        e1, e2 = self.table1[self.i1], self.table2[self.i2]
+        self.g1, self.g2 = e1 >> 2, e2 >> 2
+        self.c1, self.c2 = e1 & 3, e2 & 3
+        #: the slots of a lane's mixing context begin here
+        self.base = 3 * (((self.c2 << 3) | (self.c1 << 1) | (self.g1 == self.g2)).astype(np.int64))
         freq = 1 + self.weight * ((1 << _SLOT_BITS) - 3) // self.weight.sum(1, keepdims=True)
         freq[:, 2] += (1 << _SLOT_BITS) - freq.sum(1)
-        self.slot_freq = freq.astype(np.uint64)
-        self.slot_cum = (np.cumsum(freq, 1) - freq).astype(np.uint64)
+        self.slot_freq = freq.astype(np.uint64).reshape(-1)
+        self.slot_cum = (np.cumsum(freq, 1) - freq).astype(np.uint64).reshape(-1)
 
-    def update(self, ids: np.ndarray, slot: np.ndarray, literals: np.ndarray) -> None:
-        self.weight += 4 * np.bincount(self.context * 3 + slot, minlength=96).reshape(32, 3)
+    def update(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray, place: np.ndarray, literals: np.ndarray) -> None:
+        """Learn the step's ids, whether they are the guesses, and ``place``, the slots taken."""
+        self.weight += 4 * np.bincount(place, minlength=96).reshape(32, 3)
         if len(literals):
             self.fresh.append(literals)
-        hit1, hit2 = ids == self.g1, ids == self.g2
+        entry = ids << 2
         # equal contexts of one step: the last lane's entry stays, on both sides
-        self.guess1[self.i1], self.sure1[self.i1] = ids, np.where(hit1, np.minimum(self.c1 + 1, 3), 0)
-        self.guess2[self.i2], self.sure2[self.i2] = ids, np.where(hit2, np.minimum(self.c2 + 1, 3), 0)
-        self.before, self.last = self.last, ids.astype(np.uint64)
+        self.table1[self.i1] = entry | (np.minimum(self.c1 + 1, 3) * hit1)
+        self.table2[self.i2] = entry | (np.minimum(self.c2 + 1, 3) * hit2)
+        wide = ids.astype(np.uint64)
+        self.before, self.older, self.last = self.older, wide * 0xC2B2AE3D27D4EB4F, wide * 0x9E3779B97F4A7C15
         self.step += 1
 
 
 def _encode_lanes(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
     lanes, steps = ids.shape
     model = _Model(lanes, vocabulary)
+    ids = np.ascontiguousarray(ids.T)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     out, used = np.empty((lanes, 2 * steps + 2), np.uint32), np.zeros(lanes, np.int64)
 
@@ -101,15 +107,16 @@ def _encode_lanes(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndar
         low[lane], size[lane] = start, width
 
     for t in range(steps):
-        now = ids[:, t]
+        now = ids[t]
         model.predict()
-        slot = np.where(now == model.g2, 0, np.where(now == model.g1, 1, 2))
-        put(slice(None), model.slot_cum[model.context, slot], model.slot_freq[model.context, slot], _SLOT_BITS)
-        escaped = np.flatnonzero(slot == 2)
+        hit1, hit2 = now == model.g1, now == model.g2
+        place = model.base + np.where(hit2, 0, 2 - hit1)
+        put(slice(None), model.slot_cum[place], model.slot_freq[place], _SLOT_BITS)
+        escaped = np.flatnonzero(~(hit1 | hit2))
         literals = now[escaped]
         if len(escaped):
             put(escaped, model.cum0[literals], model.freq0[literals], _ID_BITS)
-        model.update(now, slot, literals)
+        model.update(now, hit1, hit2, place, literals)
     every = np.arange(lanes)
     for word in (low >> _WORD, low & _LOW):
         out[every, used] = word
@@ -125,7 +132,7 @@ def _decode_lanes(words: np.ndarray, used: np.ndarray, steps: int, vocabulary: i
     code = (words[at].astype(np.uint64) << _WORD) | words[at + 1]
     at += 2
     words = np.append(words, np.uint32(0))
-    ids = np.empty((lanes, steps), np.uint32)
+    ids = np.empty((steps, lanes), np.uint32)
 
     def take(lane, part, cum, freq) -> None:
         start, width, left = low[lane] + part * cum, part * freq, code[lane] - part * cum
@@ -142,21 +149,24 @@ def _decode_lanes(words: np.ndarray, used: np.ndarray, steps: int, vocabulary: i
     for t in range(steps):
         model.predict()
         part = size >> _SLOT_BITS
-        value = code // part
-        cum = model.slot_cum[model.context]
-        slot = (value >= cum[:, 1]).astype(np.int64) + (value >= cum[:, 2])
-        take(slice(None), part, model.slot_cum[model.context, slot], model.slot_freq[model.context, slot])
+        slot = (code >= part * model.slot_cum[model.base + 1]).astype(np.int64) + (code >= part * model.slot_cum[model.base + 2])
+        place = model.base + slot
+        take(slice(None), part, model.slot_cum[place], model.slot_freq[place])
         now = np.where(slot == 0, model.g2, model.g1)
         escaped = np.flatnonzero(slot == 2)
         literals = np.empty(0, np.uint32)
         if len(escaped):
             part = size[escaped] >> _ID_BITS
-            literals = np.searchsorted(model.cum0[1:], code[escaped] // part, side="right").astype(np.uint32)
+            value = (code[escaped] // part).astype(np.uint32)
+            # rising values are found near each other
+            order = np.argsort(value)
+            literals = np.empty(len(order), np.uint32)
+            literals[order] = np.searchsorted(model.cum0[1:], value[order], side="right")
             take(escaped, part, model.cum0[literals], model.freq0[literals])
             now[escaped] = literals
-        ids[:, t] = now
-        model.update(now, slot, literals)
-    return ids
+        ids[t] = now
+        model.update(now, now == model.g1, now == model.g2, place, literals)
+    return np.ascontiguousarray(ids.T)
 
 
 def encode_block(doc_ids: list, counts: list, ids: np.ndarray, vocabulary: int,
