@@ -10,17 +10,25 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Bytes of a symbol at most: 1, 2, 4 or 8.
+WIDEST = 8
+
 
 def _symbols(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of ``width`` bytes, numbered from 1 in order, of every string from each of its first ``width`` bytes on; their counts."""
     sizes = np.array([len(s) for s in strings], np.int64)
-    data = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16)
+    data = np.frombuffer(b"".join(strings), np.uint8)
     ends = np.cumsum(sizes)
-    value = data if width == 1 else (data[:-1] << 8) | data[1:]
+    value, bits = data.astype(np.uint64 if width == 8 else np.uint32 if width == 4 else np.uint16), 8
+    while bits < 8 * width:
+        value, bits = (value[: -(bits // 8)] << bits) | value[bits // 8 :], 2 * bits
     counts = np.stack([np.maximum(sizes - phase, 0) // width for phase in range(width)], 1).reshape(-1)
     first = ((ends - sizes)[:, None] + np.arange(width)).reshape(-1)
     at = np.repeat(first - width * (np.cumsum(counts) - counts), counts) + width * np.arange(int(counts.sum()))
     text = value[at]
+    if width > 2:
+        seen, number = np.unique(text, return_inverse=True)
+        return (number + 1).astype(np.uint16 if len(seen) + 1 < 1 << 16 else np.uint32), counts
     seen = np.zeros(1 << 16, bool)
     seen[text] = True
     number = np.cumsum(seen)
@@ -28,15 +36,15 @@ def _symbols(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return number[text].astype(np.uint16 if number[-1] < 1 << 16 else np.uint32), counts
 
 
-def repeated_starts(strings: list[bytes], length: int) -> np.ndarray:
+def repeated_starts(strings: list[bytes], length: int, widest: int = WIDEST) -> np.ndarray:
     """Codes ``number << 32 | start`` of the places where a substring of ``length`` bytes begins that begins elsewhere too.
 
-    For an even length symbols are pairs of bytes and every string takes part twice, from its first
-    and from its second byte, which halves the rounds.
+    Symbols are as many bytes, 1 to ``widest``, as a power of two divides the length, and every string takes part
+    from each byte of its first symbol, so that there are fewer rounds.
     """
     if not strings or max(map(len, strings)) < length:
         return np.empty(0, np.int64)
-    width = 2 if length % 2 == 0 else 1
+    width = min(length & -length, widest)
     text, sizes = _symbols(strings, width)
     length //= width
     ends, count = np.cumsum(sizes), len(sizes)
@@ -57,14 +65,14 @@ def repeated_starts(strings: list[bytes], length: int) -> np.ndarray:
             low, high = np.where(right, middle + 1, low), np.where(open_ & ~right, middle, high)
         return low
 
-    # streams over the sorted suffixes: symbol in front, common prefix with the one before, place in the text
+    # streams over the sorted suffixes: symbol in front, common prefix with the one before
     numbers = np.arange(count)
     symbols = before(numbers, 0)
     transform = symbols
     common = np.zeros(count, np.uint16)
-    places = ends.astype(np.int32 if len(text) < 1 << 31 else np.int64)
+    place = np.int32 if len(text) < 1 << 31 else np.int64
     # positions of the suffixes, by the symbol in front: the order of the suffixes one longer; where each symbol starts
-    sources = np.empty(0, places.dtype)
+    sources = np.empty(0, place)
     starts = np.zeros(int(text.max()) + 2, np.int64)
     fresh = np.arange(count)
     for size in range(1, int(sizes.max()) + 1):
@@ -97,10 +105,16 @@ def repeated_starts(strings: list[bytes], length: int) -> np.ndarray:
         shared = np.empty(len(kept), np.uint16)
         shared[kept] = common
         shared[count + touched] = prefix
-        named = np.empty(len(kept), places.dtype)
-        named[kept], named[fresh] = places, ends[numbers] - size
-        sources = np.flatnonzero(kept).astype(sources.dtype).take(sources)
-        transform, common, places = stream, shared, named
+        sources = np.flatnonzero(kept).astype(place).take(sources)
+        transform, common = stream, shared
+    # where the suffixes lie in the text, from the transform alone: the ranks of the symbols lead from each to the one longer
+    places, rank = np.empty(len(transform), place), np.empty(len(transform), place)
+    rank[sources] = np.arange(len(sources), dtype=place)
+    numbers, spot, size = np.arange(count), np.arange(count), 0
+    while len(spot):
+        places[spot] = ends[numbers] - size
+        inside = transform[spot] != 0
+        numbers, spot, size = numbers[inside], count + rank[spot[inside]], size + 1
     long = common >= length
     found = places[long | np.append(long[1:], False)].astype(np.int64)
     owner = np.searchsorted(ends, found, "right")

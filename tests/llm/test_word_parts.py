@@ -10,8 +10,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from linkloom.llm.bound import tokenizer_file
+from linkloom.llm.column_bwt import repeated_starts
 from linkloom.llm.rangecoder import _Model, decode_block, encode_block
 from linkloom.llm.store import written
+from linkloom.llm.templates import _lines
 from linkloom.llm.wordcache import WordCache
 
 
@@ -72,3 +74,27 @@ def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
         time.sleep(0.2)
     assert files() <= before
     assert rows.count() == 7
+
+
+def test_wide_symbols_find_the_same_starts():
+    rnd = np.random.default_rng(5)
+    base = rnd.integers(97, 100, 300).astype(np.uint8).tobytes()
+    strings = [base[a : a + n] + rnd.integers(0, 256, k).astype(np.uint8).tobytes() for a, n, k in rnd.integers(0, 90, (60, 3)).tolist()] + [b"", b"ab" * 60, b"a" * 9]
+    for length in (16, 20, 22, 25):
+        where: dict[bytes, list[int]] = {}
+        for number, string in enumerate(strings):
+            for start in range(len(string) - length + 1):
+                where.setdefault(string[start : start + length], []).append(number << 32 | start)
+        want = sorted(x for v in where.values() if len(v) > 1 for x in v)
+        assert want
+        for widest in (1, 2, 4, 8):
+            assert sorted(repeated_starts(strings, length, widest=widest).tolist()) == want
+
+
+def test_a_line_passes_each_rule_once(spark):
+    texts = spark.createDataFrame([(1, "a\tb  7 \n\n  \n c\x0b\x0cd9e\t\t12 \nx y"), (2, None), (3, "")], "_id int, _text string")
+    got = [(r._id, r._no, r._tok, r._size) for r in _lines(texts, ["_id"]).collect()]
+    assert sorted(got) == [(1, 0, "a b <*>", 3), (1, 3, "c <*> <*>", 3), (1, 4, "x y", 2)]
+    # a generator's expressions are not shared, so a text that is named twice there would be made twice
+    generators = [x for x in _lines(texts, ["_id"])._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Generate" in x]
+    assert generators and not any("RLIKE" in x or "regexp_replace" in x for x in generators)
