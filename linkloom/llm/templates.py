@@ -27,6 +27,11 @@ LONG_LINES = ((8, 5), (20, 3), (50, 2))
 _WORDS, _PERCENT, _SKETCH = 5, 80, 256
 
 
+def _single(text: Column) -> Column:
+    """Other white space as spaces, in an array of one: what is named in a function is made once."""
+    return F.transform(F.array(text), lambda x: F.when(x.rlike(_OTHER_SPACE), F.regexp_replace(x, _OTHER_SPACE, " ")).otherwise(x))
+
+
 def _normal(line: Column) -> Column:
     """A line's tokens with one space between them, those with a digit replaced by the variable mark."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _WITH_DIGIT, _VARIABLE)).otherwise(line)
@@ -48,7 +53,8 @@ def _salted(many: DataFrame, few: DataFrame, on: list[str], by: str) -> DataFram
 def _lines(texts: DataFrame, keep: list[str]) -> DataFrame:
     """A row per line of ``_text`` with a token: ``keep``, line number, tokens in one text, how many."""
     rows = texts.select(*keep, F.posexplode(F.split("_text", "\n")).alias("_no", "_line"))
-    rows = compute_once(rows, "_tok", _normal(F.col("_line"))).drop("_line").where("_tok != ''")
+    # a projection makes each rule's text once, a generator would make it wherever it is named
+    rows = compute_once(rows.withColumn("_line", _normal(F.col("_line"))), "_tok", F.col("_line")).drop("_line").where("_tok != ''")
     return rows.withColumn("_size", F.length("_tok") - F.length(F.replace(F.col("_tok"), F.lit(" "), F.lit(""))) + 1)
 
 
@@ -73,11 +79,10 @@ def _near_copies(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     involved = pairs.select(F.explode(F.array("a", "b")).alias("_digest")).distinct()
     wanted = texts.select("_digest", "_text").join(involved.hint("merge"), "_digest", "left_semi").dropDuplicates(["_digest"])
-    spaced = F.replace(F.lower("_text"), F.lit("\n"), F.lit(" "))
-    spaced = F.when(spaced.rlike(_OTHER_SPACE), F.regexp_replace(spaced, _OTHER_SPACE, " ")).otherwise(spaced)
-    words = compute_once(wanted, "_all", F.split(spaced, " ")).drop("_text")
+    spaced = _single(F.replace(F.lower("_text"), F.lit("\n"), F.lit(" ")))
+    words = wanted.withColumn("_all", F.explode(F.transform(spaced, lambda x: F.split(x, " ")))).drop("_text")
     words = compute_once(words, "_w", F.transform(F.array_remove("_all", ""), lambda x: F.xxhash64(x))).drop("_all")
-    grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - _WORDS, F.lit(0))), lambda i: F.xxhash64(*(F.get("_w", i + k) for k in range(_WORDS))))
+    grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - _WORDS, F.lit(0))), lambda i: F.xxhash64(F.slice("_w", i + 1, F.lit(_WORDS))))
     sketches = written(words.select("_digest", F.slice(F.sort_array(F.array_distinct(grams)), 1, _SKETCH).alias("_s")), "sketches")
     ends = [sketches.select(F.col("_digest").alias(c), F.col("_s").alias(f"_{c}")) for c in "ab"]
     both = pairs.join(ends[0].hint("merge"), "a").join(ends[1].hint("merge"), "b")
