@@ -47,8 +47,8 @@ def truth_match_exact(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("truth_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _detail(spark: SparkSession, d: str) -> DataFrame:
-    return evaluate.verify(cut_lineage(_base(spark, d)), _truth(spark, d), EXACT, FUZZY, "cluster", "uid", "year", "2000")
+def _detail(spark: SparkSession, d: str, columns: list[str] | None = None) -> DataFrame:
+    return evaluate.verify(cut_lineage(_base(spark, d)), _truth(spark, d), EXACT, FUZZY, "cluster", "uid", "year", "2000", columns)
 
 
 def truth_expand(spark: SparkSession, d: str) -> DataFrame:
@@ -56,13 +56,13 @@ def truth_expand(spark: SparkSession, d: str) -> DataFrame:
 
 
 def truth_summary(spark: SparkSession, d: str) -> DataFrame:
-    done = evaluate.summarise(_detail(spark, d))
+    done = evaluate.summarise(_detail(spark, d, ["year"]))
     return done.select(*[F.round(c, 9).alias(c) if c in ("over_share", "under_share", "precision", "recall") else F.col(c) for c in done.columns])
 
 
 def truth_summary_all_years(spark: SparkSession, d: str) -> DataFrame:
     """Sizes and under-match share without a last year."""
-    marked = evaluate.verify(cut_lineage(_base(spark, d)), _truth(spark, d), EXACT, FUZZY, "cluster", "uid")
+    marked = evaluate.verify(cut_lineage(_base(spark, d)), _truth(spark, d), EXACT, FUZZY, "cluster", "uid", columns=[])
     return evaluate.summarise(marked).select("original", "total", "under_clump", F.round(100 * F.col("under_share"), 6).alias("under_percent"))
 
 

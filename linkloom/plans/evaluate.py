@@ -104,12 +104,17 @@ def summarise(marked: DataFrame) -> DataFrame:
 
 def verify(
     base: DataFrame, truth: DataFrame, exact: Sequence[str], fuzzy: Sequence[str], cluster: str, truth_id: str,
-    year: str | None = None, last_year: str | None = None,
+    year: str | None = None, last_year: str | None = None, columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The flagged detail table of a whole verification run."""
-    # both are read several times below
-    best = cut_lineage(best_matches(match_truth(base, truth, exact, fuzzy, cluster, truth_id), exact))
-    return mark_errors(cut_lineage(expand_clusters(base, best, exact, cluster)), year, last_year)
+    """The flagged detail table of a whole verification run.
+
+    ``columns`` are those of the base that the table is to show, all where none are given; the others are not written again.
+    """
+    best = best_matches(match_truth(base, truth, exact, fuzzy, cluster, truth_id), exact)
+    # both are read several times below; of the best matches only what marks the base's rows
+    best = cut_lineage(best.select("cluster_id", "truth_id", *exact))
+    rows = base if columns is None else base.select(*dict.fromkeys([*exact, cluster, *columns]))
+    return mark_errors(cut_lineage(expand_clusters(rows, best, exact, cluster)), year, last_year)
 
 
 def gold_sample(facts: DataFrame, wanted: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
